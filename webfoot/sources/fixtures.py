@@ -137,12 +137,16 @@ def suffix_rules(spark: SparkSession) -> DataFrame:
     return rules_table(spark, SUFFIX_RULES)
 
 
+def final_url_of(url) -> Column:
+    """F7 as a column of the capture: http URLs ended up at their https form."""
+    u = F.col(url) if isinstance(url, str) else url
+    return F.when(u.startswith("http://"), F.concat(F.lit("https://"), F.substring(u, 8, 1 << 20))) \
+        .otherwise(u)
+
+
 def final_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """where each captured URL ended up (http -> https)."""
-    u = F.col("url")
-    return tables.pages(spark, sf_dir).select(
-        "url", F.when(u.startswith("http://"), F.concat(F.lit("https://"), F.substring(u, 8, 1 << 20)))
-        .otherwise(u).alias("final_url"))
+    return tables.pages(spark, sf_dir).select("url", final_url_of("url").alias("final_url"))
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
