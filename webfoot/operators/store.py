@@ -110,4 +110,5 @@ def html_archive(spark: SparkSession, pages: DataFrame, out_dir: str | None = No
     path = out_dir or scratch_path(spark, "html_archive")
     pages.select("sld", "url", "html_path", "html").write.mode("errorifexists") \
         .partitionBy("sld").parquet(path)
-    return spark.read.parquet(path)
+    # Explicit schema: partition values are read as text, never inferred.
+    return spark.read.schema("url string, html_path string, html string, sld string").parquet(path)
