@@ -1,20 +1,38 @@
 """Link graph work.
 
-The traversal is a driver loop of DataFrame levels: each level joins the
-frontier to the edges, keeps the lowest parent per new node (an aggregate,
-combined map-side), drops nodes already reached (anti-join) and cuts lineage
-with a reliable checkpoint.  Edges are hash-partitioned by ``src`` once and
-checkpointed, so each level shuffles only the (small) frontier; every level
-is partitioned by ``node`` so the anti-join against earlier levels reuses it.
+The traversal (O57) is a driver loop of DataFrame levels over tables written
+in the shared checkpoint folder (each write cuts lineage and survives
+executor loss):
+
+* edges are written once, bucketed by ``(src, salt)``.  ``salt`` is 0 except
+  for hub nodes (out-degree above ``hub_degree``), whose edges are spread
+  over ``salts`` buckets by a hash of ``dst``, so one very popular node does
+  not land in a single task;
+* every level is written bucketed by ``node`` with the same bucket count.
+
+Per level the frontier is expanded to ``(src, salt)`` (hubs get one row per
+salt), joined to the bucketed edges, reduced to the lowest parent per new
+node (a partial aggregate, so a node reached from many parents combines
+map-side), and anti-joined to every earlier level.  The anti-joins read
+tables bucketed on the join key, so they add no exchange: the aggregate is
+the one shuffle per level besides the (small) frontier.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..session import cut_lineage
+from ..session import broadcast_if_bounded, scratch_path
+
+# --- fixed values: traversal defaults ---
+HUB_DEGREE = 1_000_000      # out-degree above which a node's edges are salted
+SALTS = 32                  # buckets a hub's edges are spread over
+MAX_BROADCAST_HUBS = 1_000_000
+# --- end of fixed values ---
 
 
 def links_to_hosts(edges: DataFrame, dst: str = "dst") -> DataFrame:
@@ -36,9 +54,33 @@ def inlinks(edges: DataFrame) -> DataFrame:
     )
 
 
+def write_bucketed(df: DataFrame, cols: list[str], buckets: int, name: str) -> DataFrame:
+    """Write ``df`` as an external table bucketed by ``cols`` in the shared folder."""
+    spark = df.sparkSession
+    table = f"wf_{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, *cols).write.bucketBy(buckets, *cols)
+     .option("path", scratch_path(spark, name)).mode("errorifexists").saveAsTable(table))
+    return spark.table(table)
+
+
+def _salt_edges(edges: DataFrame, hub_degree: int, salts: int) -> tuple[DataFrame, DataFrame]:
+    spark = edges.sparkSession
+    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    path = scratch_path(spark, "bfs_hubs")
+    deg.where(F.col("deg") > hub_degree).select("src").write.mode("errorifexists").parquet(path)
+    hubs = spark.read.schema("src string").parquet(path).withColumn("hub", F.lit(True))
+    hubs = broadcast_if_bounded(hubs, MAX_BROADCAST_HUBS)
+    salted = edges.select("src", "dst").join(hubs, "src", "left").select(
+        "src",
+        F.when(F.col("hub"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+        .alias("salt"),
+        "dst")
+    return salted, hubs
+
+
 def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
-                   already_seen: DataFrame | None = None,
-                   partitions: int | None = None) -> DataFrame:
+                   already_seen: DataFrame | None = None, buckets: int | None = None,
+                   hub_degree: int = HUB_DEGREE, salts: int = SALTS) -> DataFrame:
     """Breadth-first levels from ``seeds(node)`` over ``edges(src, dst)``.
 
     Returns ``(node, depth, parent)``: every node reached within ``max_depth``
@@ -47,29 +89,31 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
     ``already_seen(node)`` are never entered (the store of earlier runs).
     Stops when a level is empty or ``max_depth`` is reached.
     """
-    spark = edges.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = cut_lineage(edges.select("src", "dst").repartition(n, "src"))
+    spark: SparkSession = edges.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted, hubs = _salt_edges(edges, hub_degree, salts)
+    e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
 
-    level = seeds.select("node").distinct()
+    start = seeds.select("node").where(F.col("node").isNotNull()).distinct()
     if already_seen is not None:
-        level = level.join(already_seen.select("node"), "node", "left_anti")
-    level = cut_lineage(level.select("node", F.lit(0).alias("depth"),
-                                     F.lit(None).cast("string").alias("parent"))
-                        .repartition(n, "node"))
+        start = start.join(already_seen.select("node"), "node", "left_anti")
+    level = write_bucketed(start.select("node", F.lit(0).alias("depth"),
+                                        F.lit(None).cast("string").alias("parent")), ["node"], n, "bfs_level")
     levels = [level]
-    blocked = [already_seen.select("node")] if already_seen is not None else []
     depth = 0
     while max_depth is None or depth < max_depth:
-        reached = (level.select(F.col("node").alias("src")).join(e, "src")
+        front = level.select(F.col("node").alias("src")).join(hubs, "src", "left").select(
+            "src", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                             .otherwise(F.array(F.lit(0)))).alias("salt"))
+        reached = (front.join(e, ["src", "salt"])
                    .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent")))
-        visited = levels[0].select("node")
-        for prev in levels[1:] + blocked:
-            visited = visited.unionByName(prev.select("node"))
-        reached = reached.join(visited, "node", "left_anti")
+        for prev in levels:
+            reached = reached.join(prev.select("node"), "node", "left_anti")
+        if already_seen is not None:
+            reached = reached.join(already_seen.select("node"), "node", "left_anti")
         depth += 1
-        level = cut_lineage(reached.select("node", F.lit(depth).alias("depth"), "parent")
-                            .repartition(n, "node"))
+        level = write_bucketed(reached.select("node", F.lit(depth).alias("depth"), "parent"),
+                               ["node"], n, "bfs_level")
         if level.isEmpty():
             break
         levels.append(level)

@@ -315,8 +315,9 @@ def write_index(spark, sf):
 
 
 def seen_union(spark, sf):
-    r = links.resolved_rows(_refs_rich(spark, sf)).where(F.col("target").isNotNull())
-    t = r.select(F.col("target").alias("url"))
+    res = links.with_resolved(_refs_rich(spark, sf))
+    found = F.filter("__wf_res", lambda x: x.target.isNotNull())
+    t = res.select(F.explode(F.transform(found, lambda x: x.target)).alias("url"))
     p = tables.pages(spark, sf).select("url")
     return seen.seen_union(t, p)
 

@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +67,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never localCheckpoint."""
+    """Reliable checkpoint (survives executor loss), never localCheckpoint.
+
+    The frame is persisted first so the checkpoint write reuses the first
+    computation instead of running the plan a second time.
+    """
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
