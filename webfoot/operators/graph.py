@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +55,17 @@ def inlinks(edges: DataFrame) -> DataFrame:
     )
 
 
-def write_bucketed(df: DataFrame, cols: list[str], buckets: int, name: str) -> DataFrame:
-    """Write ``df`` as an external table bucketed by ``cols`` in the shared folder."""
+def write_bucketed(df: DataFrame, cols: list[str], buckets: int, name: str,
+                   partitioned: bool = False) -> DataFrame:
+    """Write ``df`` as an external table bucketed by ``cols`` in the shared folder.
+
+    Unless ``df`` is already hash-partitioned by ``cols`` (``partitioned``), it
+    is repartitioned first so each bucket is written by one task (one file).
+    """
     spark = df.sparkSession
     table = f"wf_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(buckets, *cols).write.bucketBy(buckets, *cols)
+    data = df if partitioned else df.repartition(buckets, *cols)
+    (data.write.bucketBy(buckets, *cols)
      .option("path", scratch_path(spark, name)).mode("errorifexists").saveAsTable(table))
     return spark.table(table)
 
@@ -91,8 +98,13 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
     """
     spark: SparkSession = edges.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salted, hubs = _salt_edges(edges, hub_degree, salts)
-    e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
+    # Two passes over the input (degrees, then the salted write): keep it cached.
+    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        salted, hubs = _salt_edges(edges, hub_degree, salts)
+        e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
+    finally:
+        edges.unpersist()
 
     start = seeds.select("node").where(F.col("node").isNotNull()).distinct()
     if already_seen is not None:
@@ -112,8 +124,9 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
         if already_seen is not None:
             reached = reached.join(already_seen.select("node"), "node", "left_anti")
         depth += 1
+        # The anti-joins leave ``reached`` hash-partitioned by node already.
         level = write_bucketed(reached.select("node", F.lit(depth).alias("depth"), "parent"),
-                               ["node"], n, "bfs_level")
+                               ["node"], n, "bfs_level", partitioned=True)
         if level.isEmpty():
             break
         levels.append(level)
