@@ -59,13 +59,15 @@ def url_records(pages: DataFrame, rules: DataFrame, html_out: str | None = None,
     return rec.select("page_id", *URL_FIELDS)
 
 
-def failed_url_records(frontier: DataFrame, rules: DataFrame) -> DataFrame:
+def failed_url_records(frontier: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """O70 failure records (D6, D10): targets with no capture, status 400.
 
     The record is keyed by the URL as last attempted (``www.`` fallback);
-    host, sld and paths come from the original URL.
+    host, sld and paths come from the original URL.  ``keep`` columns of
+    ``frontier`` are carried along.
     """
     rec = frontier.select(
+        *keep,
         U.www_fallback("node").alias("url"), U.url_host("node").alias("fqdn"),
         F.lit(None).cast("string").alias("redirect"),
         F.array(F.col("parent")).alias("pre_url"),
@@ -75,7 +77,7 @@ def failed_url_records(frontier: DataFrame, rules: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("screenshot"),
         F.lit(400).alias("status"), F.lit(None).cast("string").alias("exception"))
     rec = domains.with_registrable_domain(rec, rules, "fqdn", "sld")
-    return rec.select(*URL_FIELDS)
+    return rec.select(*keep, *URL_FIELDS)
 
 
 def dns_records(targets: DataFrame, answers: DataFrame, rules: DataFrame, rtypes: list[str],

@@ -386,15 +386,44 @@ def ip_records(spark, sf):
                       F.col("ipinfo.asn").alias("asn"), F.col("ipinfo.country").alias("country"), "status")
 
 
-def url_crawl(spark, sf):
-    """O57 + O44 + O70: records for the whole crawl from the captured pages."""
+def _crawl_records(spark, sf):
+    """O57 + O44 + O70: a record per reached node (captured: 200, else 400), with its depth."""
     fr = _page_crawl(spark, sf)
     p = tables.pages(spark, sf)
-    ok = jobs.url_records(p, _rules(spark), HTML_OUT, SCREEN_OUT)
+    ok = jobs.url_records(p, _rules(spark), HTML_OUT, SCREEN_OUT).drop("page_id")
+    ok = ok.join(fr.select(F.col("node").alias("url"), "depth"), "url").withColumn("node", F.col("url"))
     missing = fr.join(p.select(F.col("url").alias("node")), "node", "left_anti")
-    bad = jobs.failed_url_records(missing, _rules(spark))
-    allrec = ok.drop("page_id").unionByName(bad)
-    return allrec.select("url", "fqdn", "sld", F.col("pre_url")[0].alias("pre_url"), "url_nums", "status")
+    bad = jobs.failed_url_records(missing, _rules(spark), keep=("node", "depth"))
+    return ok.unionByName(bad)
+
+
+def url_crawl(spark, sf):
+    """Records for the whole crawl from the captured pages."""
+    rec = _crawl_records(spark, sf)
+    return rec.select("url", "fqdn", "sld", F.col("pre_url")[0].alias("pre_url"), "url_nums", "status")
+
+
+def _url_writes(spark, sf):
+    """Crawl records numbered in write order (depth, then node): the O52 counter."""
+    rec = _crawl_records(spark, sf)
+    idx = S.write_index(rec.select("node", "depth"), "url_set", "node", ["depth", "node"])
+    return rec.join(idx.select(F.col("member").alias("node"), F.col("score").alias("seq")), "node")
+
+
+def url_store(spark, sf):
+    """O70 -> O58: the URL store after writing every crawl record in order."""
+    rows = S.to_store_rows(_url_writes(spark, sf), "url", "url", "seq", jobs.URL_FIELDS)
+    v = S.write_version(spark, S.upsert(None, rows), "url_store")
+    rec = F.from_json("value", "status int, url_nums int, pre_url array<string>")
+    return v.select("key", "key_md5", "seq", rec.status.alias("j_status"),
+                    rec.url_nums.alias("j_url_nums"), rec.pre_url[0].alias("j_pre_url"))
+
+
+def url_index(spark, sf):
+    """The ordered index of the URL store, member -> newest counter."""
+    w = _url_writes(spark, sf)
+    return w.groupBy("url").agg(F.max("seq").alias("score")).select(
+        F.lit("url_set").alias("set_name"), F.col("url").alias("member"), "score")
 
 
 def _queries() -> dict[str, Query]:
@@ -447,6 +476,8 @@ def _queries() -> dict[str, Query]:
         "url_records": url_records,
         "ip_records": ip_records,
         "url_crawl": url_crawl,
+        "url_store": url_store,
+        "url_index": url_index,
     }
     for kind in ("a", "link", "script", "img"):
         q[f"links_{kind}"] = _links_of(kind)
