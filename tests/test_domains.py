@@ -24,3 +24,21 @@ def test_rule_kinds(spark):
         "q.org": "q.org",
         "h.example.org.": "h.example.org",
     }
+
+
+def test_fallback_join_agrees_with_broadcast_lookup(spark):
+    from webfoot.plans import queries as Q
+    hosts = Q._domain_hosts(spark, "/root/testdata/sf0.01")
+    rules = FX.suffix_rules(spark)
+    a = {(r.host, r.sld) for r in domains.registrable_domains(hosts, rules).collect()}
+    b = {(r.host, r.sld) for r in domains._domains_by_candidate_join(
+        hosts.where("host is not null").distinct(), rules, "host").collect()}
+    assert a == b and len(a) > 100
+
+
+def test_lookup_is_narrow(spark):
+    df = spark.createDataFrame([("a.b.co.uk",), ("x.example.com",)], "host string")
+    out = domains.with_registrable_domain(df, FX.suffix_rules(spark), "host")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
+    assert {r.host: r.sld for r in out.collect()} == {"a.b.co.uk": "b.co.uk", "x.example.com": "x.example.com"}

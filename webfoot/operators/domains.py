@@ -10,10 +10,12 @@ suffix text, and the prevailing match is chosen per host:
 * no match: no suffix, the registrable domain is ``domain + '.'``,
 * the host is itself a suffix: ``'.' + suffix``.
 
-Work is done once per *distinct* host (the distinct is pre-aggregated on the
-map side, so a host that holds a large share of rows costs no more than
-others) and joined back by the caller.  The rule table has a size bounded by
-the rule list, and is broadcast only behind a row-count check.
+Per row (:func:`with_registrable_domain`) the lookup is narrow: a rule has
+at most K labels (K is read from the rule table), so the host's last 1..K
+labels are looked up with K left joins against the broadcast rule table.
+Nothing is shuffled and a very popular host costs nothing extra.  The rule
+table is broadcast only behind a row-count check; past the bound the work
+falls back to one row per *distinct* host joined back on the host.
 """
 
 from __future__ import annotations
@@ -65,13 +67,13 @@ def normalize_rules(rules_df: DataFrame) -> DataFrame:
          .otherwise(F.lit("normal")).alias("kind"))
 
 
-def registrable_domains(hosts: DataFrame, rules_df: DataFrame, host_col: str = "host") -> DataFrame:
-    """``(host, sld, suffix)`` for every distinct value of ``host_col``.
+def _domains_by_candidate_join(hosts: DataFrame, rules_df: DataFrame, host_col: str) -> DataFrame:
+    """Fallback for rule tables too large to broadcast: ``(host, sld)`` per distinct host.
 
-    ``host_col`` may hold a netloc; it is reduced with :func:`bare_host`.
+    One row per candidate suffix joined to the rules (a shuffle join), then the
+    prevailing match per host (an aggregate over at most one row per label).
     """
     rules = normalize_rules(rules_df)
-    rules = broadcast_if_bounded(rules, MAX_BROADCAST_RULES)
 
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull()).distinct()
     h = h.withColumn("__bare", bare_host("host")).withColumn("__labels", F.split("__bare", r"\."))
@@ -98,17 +100,66 @@ def registrable_domains(hosts: DataFrame, rules_df: DataFrame, host_col: str = "
         "host",
         F.when(is_ip, F.concat(F.col("__bare"), F.lit(".")))
          .otherwise(F.concat(domain, F.lit("."), suffix)).alias("sld"),
-        F.when(is_ip, F.lit("")).otherwise(suffix).alias("suffix"),
     )
 
 
+def registrable_domains(hosts: DataFrame, rules_df: DataFrame, host_col: str = "host") -> DataFrame:
+    """``(host, sld)`` for every distinct non-null value of ``host_col``.
+
+    ``host_col`` may hold a netloc; it is reduced with :func:`bare_host`.
+    """
+    h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull()).distinct()
+    return with_registrable_domain(h, rules_df, "host", "sld").select("host", "sld")
+
+
+def _rule_kinds(rules_df: DataFrame) -> DataFrame:
+    """One row per rule text with flags for the kinds it has."""
+    r = normalize_rules(rules_df)
+    return r.groupBy("rule").agg(
+        F.max(F.col("kind") == "normal").alias("is_normal"),
+        F.max(F.col("kind") == "wildcard").alias("is_wildcard"),
+        F.max(F.col("kind") == "exception").alias("is_exception"))
+
+
 def with_registrable_domain(df: DataFrame, rules_df: DataFrame, host_col: str,
                             out: str = "sld") -> DataFrame:
-    """Add ``out`` to ``df`` by joining the per-host result back on ``host_col``.
+    """Add ``out`` (the registrable domain of ``host_col``) to every row of ``df``.
 
-    The join is a plain equi-join: AQE broadcasts the host table when its
-    measured size is small and splits skewed host partitions otherwise.
+    Narrow: K broadcast lookups of the host's last 1..K labels.  Falls back to
+    a per-distinct-host table joined back when the rules are too many to
+    broadcast.
     """
-    doms = registrable_domains(df, rules_df, host_col).select(
-        F.col("host").alias("__wf_host"), F.col("sld").alias(out))
-    return df.join(doms, df[host_col] == doms["__wf_host"], "left").drop("__wf_host")
+    kinds = _rule_kinds(rules_df)
+    small = broadcast_if_bounded(kinds, MAX_BROADCAST_RULES)
+    if small is kinds:  # not broadcastable: per distinct host, then join back
+        doms = _domains_by_candidate_join(df, rules_df, host_col).select(
+            F.col("host").alias("__wf_host"), F.col("sld").alias(out))
+        return df.join(doms, df[host_col] == doms["__wf_host"], "left").drop("__wf_host")
+    k_max = kinds.select(F.max(F.size(F.split("rule", r"\.")))).first()[0] or 1
+
+    d = df.withColumn("__wf_bare", bare_host(F.col(host_col))) \
+          .withColumn("__wf_labels", F.split("__wf_bare", r"\."))
+    n = F.size("__wf_labels")
+    exc, best = [], []
+    for k in range(1, k_max + 1):
+        cand = F.when(n >= k, F.array_join(F.slice("__wf_labels", -k, k), "."))
+        look = small.select(F.col("rule").alias(f"__wf_r{k}"), F.col("is_normal").alias(f"__wf_n{k}"),
+                            F.col("is_wildcard").alias(f"__wf_w{k}"),
+                            F.col("is_exception").alias(f"__wf_x{k}"))
+        d = d.withColumn(f"__wf_c{k}", cand)
+        d = d.join(look, d[f"__wf_c{k}"] == look[f"__wf_r{k}"], "left")
+        exc.append(F.when(F.col(f"__wf_x{k}"), F.lit(k - 1)))
+        best.append(F.when(F.col(f"__wf_n{k}"), F.lit(k)))
+        best.append(F.when(F.col(f"__wf_w{k}") & (n >= k + 1), F.lit(k + 1)))
+    top = (lambda cs: cs[0] if len(cs) == 1 else F.greatest(*cs))
+    slen = F.coalesce(top(exc), top(best), F.lit(0))
+    d = d.withColumn("__wf_slen", slen)
+    labels, sl = F.col("__wf_labels"), F.col("__wf_slen")
+    suffix = F.when(sl == 0, F.lit("")).otherwise(F.array_join(F.slice(labels, n - sl + 1, sl), "."))
+    domain = F.when(sl >= n, F.lit("")).otherwise(F.element_at(labels, n - sl))
+    is_ip = F.col("__wf_bare").rlike(IPV4_PATTERN)
+    sld = F.when(F.col(host_col).isNull(), F.lit(None).cast("string")) \
+        .when(is_ip, F.concat(F.col("__wf_bare"), F.lit("."))) \
+        .otherwise(F.concat(domain, F.lit("."), suffix))
+    helpers = [c for c in d.columns if c.startswith("__wf_")]
+    return d.withColumn(out, sld).drop(*helpers)

@@ -404,8 +404,12 @@ def url_crawl(spark, sf):
 
 
 def _url_writes(spark, sf):
-    """Crawl records numbered in write order (depth, then node): the O52 counter."""
-    rec = _crawl_records(spark, sf)
+    """Crawl records numbered in write order (depth, then node): the O52 counter.
+
+    The records are written once (a lineage cut in the shared folder) since
+    both the numbering and the store rows read them.
+    """
+    rec = S.write_version(spark, _crawl_records(spark, sf), "crawl_records")
     idx = S.write_index(rec.select("node", "depth"), "url_set", "node", ["depth", "node"])
     return rec.join(idx.select(F.col("member").alias("node"), F.col("score").alias("seq")), "node")
 

@@ -10,9 +10,26 @@ TABLES = (
 ).split()
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A file with a single row group is read by one task, so all the work of
+    the stage after it (HTML scanning above all) would run on one core.  Such
+    an input is small by construction, so a round-robin redistribution is
+    cheap; a large input already has many splits and is left untouched (no
+    shuffle is ever added at scale).
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
