@@ -33,6 +33,8 @@ from ..session import broadcast_if_bounded, scratch_path
 HUB_DEGREE = 1_000_000      # out-degree above which a node's edges are salted
 SALTS = 32                  # buckets a hub's edges are spread over
 MAX_BROADCAST_HUBS = 1_000_000
+EDGES_PER_BUCKET = 2_000_000  # about 100 MB of edge rows per bucket
+MAX_BUCKETS = 100_000         # Spark's default bucket limit
 # --- end of fixed values ---
 
 
@@ -70,6 +72,12 @@ def write_bucketed(df: DataFrame, cols: list[str], buckets: int, name: str,
     return spark.table(table)
 
 
+def bucket_count(spark: SparkSession, n_edges: int) -> int:
+    """Buckets for the traversal tables: sized by the edge count, at least one per core."""
+    want = -(-n_edges // EDGES_PER_BUCKET)
+    return max(spark.sparkContext.defaultParallelism, min(want, MAX_BUCKETS))
+
+
 def _salt_edges(edges: DataFrame, hub_degree: int, salts: int) -> tuple[DataFrame, DataFrame]:
     spark = edges.sparkSession
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
@@ -97,10 +105,10 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
     Stops when a level is empty or ``max_depth`` is reached.
     """
     spark: SparkSession = edges.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Two passes over the input (degrees, then the salted write): keep it cached.
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        n = buckets or bucket_count(spark, edges.count())
         salted, hubs = _salt_edges(edges, hub_degree, salts)
         e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
     finally:
