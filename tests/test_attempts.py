@@ -46,3 +46,17 @@ def test_fixture_facts(spark):
 def test_window_limit_is_partial(spark):
     plan = A.resolve_attempts(FX.attempts(spark, SF01))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_target_is_limited_before_the_shuffle(spark):
+    """One target holding a third of all attempts: each task keeps at most max_tries rows of it."""
+    from pyspark.sql import functions as F
+    log = FX.attempts(spark, SF01)
+    hot = log.withColumn("target", F.when(F.col("attempt_id") % 3 == 0, F.lit("https://hot.example.com/"))
+                         .otherwise(F.col("target")))
+    out = A.resolve_attempts(hot, max_tries=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    head, _, tail = plan.partition("Exchange hashpartitioning(target")
+    assert "WindowGroupLimit" in tail and "Partial" in tail     # below the exchange: map side
+    rows = {r.target: r for r in out.collect()}
+    assert rows["https://hot.example.com/"].tries <= 4

@@ -72,3 +72,22 @@ def test_artifact_path(spark):
     import hashlib
     assert r.p == "/out/h.com:8_" + hashlib.md5(b"http://h.com:8/x").hexdigest() + ".html"
     assert r.q is None
+
+
+def test_resolution_idempotent_on_absolute_targets(spark):
+    """Resolving an already resolved http(s) URL against any base gives it back."""
+    rows = [(b, r) for b in BASES for r in REFS]
+    df = urls.resolve_refs(spark.createDataFrame(rows, "base string, ref string"), "base", "ref", "t")
+    df = df.where("t rlike '^https?://'")
+    again = urls.resolve_refs(df, "base", "t", "t2").collect()
+    assert again and all(x.t2 == x.t for x in again)
+
+
+def test_follow_only_http_schemes(spark):
+    from webfoot.operators import links
+    html = '<a href="/x">x</a><a href="mailto:a@b.c">m</a><a href="javascript:void(0)">j</a>'
+    df = spark.createDataFrame([(1, "https://h.com/", html)], "page_id long, url string, html string")
+    refs = links.extract_refs(df)
+    assert {r.dst for r in links.page_edges(refs).collect()} == {"https://h.com/x", "mailto:a@b.c",
+                                                                  "javascript:void(0)"}
+    assert {r.dst for r in links.page_edges(refs, schemes=("http", "https")).collect()} == {"https://h.com/x"}

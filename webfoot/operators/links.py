@@ -71,12 +71,19 @@ def resolved_rows(refs_df: DataFrame, keep: tuple[str, ...] = ("page_id", "url")
     return U.resolve_refs(ref_rows(refs_df, keep), "url", "raw", "target")
 
 
-def page_edges(refs_df: DataFrame, kinds: tuple[str, ...] = ("a",)) -> DataFrame:
+def page_edges(refs_df: DataFrame, kinds: tuple[str, ...] = ("a",),
+               schemes: tuple[str, ...] | None = None) -> DataFrame:
     """Edges ``(src, dst)`` from a page to each distinct resolved target.
 
     Only ``a`` links are followed by default (O30c).  Distinct inside the row.
+    ``schemes`` (e.g. ``("http", "https")``) keeps only targets with one of
+    those schemes; off by default, as the reference follows every reference
+    (``mailto:``, ``javascript:`` ...) (D11).
     """
     res = with_resolved(refs_df, "url")
     r = F.col("__wf_res")
     targets = F.array_distinct(F.flatten(F.array(*[kind_targets(r, k) for k in kinds])))
+    if schemes:
+        allowed = [s.lower() for s in schemes]
+        targets = F.filter(targets, lambda t: F.lower(F.regexp_extract(t, U.URL_PARTS, 1)).isin(allowed))
     return res.select(F.col("url").alias("src"), F.explode(targets).alias("dst"))
