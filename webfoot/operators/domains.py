@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_bounded
 
 # --- fixed values ---
 # Hosts that are IPv4 literals have no suffix (domain is the whole address).
@@ -130,12 +129,14 @@ def with_registrable_domain(df: DataFrame, rules_df: DataFrame, host_col: str,
     broadcast.
     """
     kinds = _rule_kinds(rules_df)
-    small = broadcast_if_bounded(kinds, MAX_BROADCAST_RULES)
-    if small is kinds:  # not broadcastable: per distinct host, then join back
+    # One small job: the rule count (the broadcast bound) and the most labels.
+    stats = kinds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("rule", r"\."))).alias("k")).first()
+    if stats["n"] > MAX_BROADCAST_RULES:  # not broadcastable: per distinct host, then join back
         doms = _domains_by_candidate_join(df, rules_df, host_col).select(
             F.col("host").alias("__wf_host"), F.col("sld").alias(out))
         return df.join(doms, df[host_col] == doms["__wf_host"], "left").drop("__wf_host")
-    k_max = kinds.select(F.max(F.size(F.split("rule", r"\.")))).first()[0] or 1
+    small = F.broadcast(kinds)
+    k_max = stats["k"] or 1
 
     d = df.withColumn("__wf_bare", bare_host(F.col(host_col))) \
           .withColumn("__wf_labels", F.split("__wf_bare", r"\."))
