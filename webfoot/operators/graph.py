@@ -93,27 +93,8 @@ def _salt_edges(edges: DataFrame, hub_degree: int, salts: int) -> tuple[DataFram
     return salted, hubs
 
 
-def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
-                   already_seen: DataFrame | None = None, buckets: int | None = None,
-                   hub_degree: int = HUB_DEGREE, salts: int = SALTS) -> DataFrame:
-    """Breadth-first levels from ``seeds(node)`` over ``edges(src, dst)``.
-
-    Returns ``(node, depth, parent)``: every node reached within ``max_depth``
-    steps at its lowest depth; ``parent`` is the lowest-named node of the
-    previous level that links to it (null for seeds).  Nodes in
-    ``already_seen(node)`` are never entered (the store of earlier runs).
-    Stops when a level is empty or ``max_depth`` is reached.
-    """
-    spark: SparkSession = edges.sparkSession
-    # Two passes over the input (degrees, then the salted write): keep it cached.
-    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = buckets or bucket_count(spark, edges.count())
-        salted, hubs = _salt_edges(edges, hub_degree, salts)
-        e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
-    finally:
-        edges.unpersist()
-
+def _levels(spark: SparkSession, e: DataFrame, hubs: DataFrame, seeds: DataFrame,
+            max_depth: int | None, already_seen: DataFrame | None, n: int, salts: int) -> list[DataFrame]:
     start = seeds.select("node").where(F.col("node").isNotNull()).distinct()
     if already_seen is not None:
         start = start.join(already_seen.select("node"), "node", "left_anti")
@@ -125,10 +106,11 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
         front = level.select(F.col("node").alias("src")).join(hubs, "src", "left").select(
             "src", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(salts - 1)))
                              .otherwise(F.array(F.lit(0)))).alias("salt"))
-        reached = (front.join(e, ["src", "salt"])
+        # The frontier is the hash-join build side: the edges stream through unsorted.
+        reached = (e.join(front.hint("shuffle_hash"), ["src", "salt"])
                    .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent")))
         for prev in levels:
-            reached = reached.join(prev.select("node"), "node", "left_anti")
+            reached = reached.join(prev.select("node").hint("shuffle_hash"), "node", "left_anti")
         if already_seen is not None:
             reached = reached.join(already_seen.select("node"), "node", "left_anti")
         depth += 1
@@ -138,6 +120,39 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
         if level.isEmpty():
             break
         levels.append(level)
+    return levels
+
+
+def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
+                   already_seen: DataFrame | None = None, buckets: int | None = None,
+                   hub_degree: int = HUB_DEGREE, salts: int = SALTS) -> DataFrame:
+    """Breadth-first levels from ``seeds(node)`` over ``edges(src, dst)``.
+
+    Returns ``(node, depth, parent)``: every node reached within ``max_depth``
+    steps at its lowest depth; ``parent`` is the lowest-named node of the
+    previous level that links to it (null for seeds).  Nodes in
+    ``already_seen(node)`` are never entered (the store of earlier runs).
+    Stops when a level is empty or ``max_depth`` is reached.
+    """
+    spark: SparkSession = edges.sparkSession
+    # Two passes over the input (degrees, then the salted write): keep it cached.
+    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = buckets or bucket_count(spark, edges.count())
+        salted, hubs = _salt_edges(edges, hub_degree, salts)
+        e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
+    finally:
+        edges.unpersist()
+
+    # Shuffles inside the traversal use the bucket count, so the aggregate's
+    # output lines up with the bucketed level tables (restored at the end).
+    key = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        levels = _levels(spark, e, hubs, seeds, max_depth, already_seen, n, salts)
+    finally:
+        spark.conf.set(key, saved)
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
