@@ -23,11 +23,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..session import broadcast_if_bounded, scratch_path
+from ..session import scratch_path
 
 # --- fixed values: traversal defaults ---
 HUB_DEGREE = 1_000_000      # out-degree above which a node's edges are salted
@@ -78,19 +78,30 @@ def bucket_count(spark: SparkSession, n_edges: int) -> int:
     return max(spark.sparkContext.defaultParallelism, min(want, MAX_BUCKETS))
 
 
-def _salt_edges(edges: DataFrame, hub_degree: int, salts: int) -> tuple[DataFrame, DataFrame]:
+def _salt_edges(edges: DataFrame, hub_degree: int, salts: int) -> tuple[DataFrame, DataFrame, int]:
+    """Hub list written to the shared folder; edges with their salt; the edge count.
+
+    The edge and hub counts are observed while the hub list is written, so
+    they cost no extra job.
+    """
     spark = edges.sparkSession
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    obs = Observation("wf_bfs_degrees")
+    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg")).observe(
+        obs, F.sum("deg").alias("edges"),
+        F.sum(F.when(F.col("deg") > hub_degree, 1).otherwise(0)).alias("hubs"))
     path = scratch_path(spark, "bfs_hubs")
     deg.where(F.col("deg") > hub_degree).select("src").write.mode("errorifexists").parquet(path)
+    stats = obs.get
+    n_edges, n_hubs = int(stats.get("edges") or 0), int(stats.get("hubs") or 0)
     hubs = spark.read.schema("src string").parquet(path).withColumn("hub", F.lit(True))
-    hubs = broadcast_if_bounded(hubs, MAX_BROADCAST_HUBS)
+    if n_hubs <= MAX_BROADCAST_HUBS:  # size checked: at most n_edges / hub_degree rows
+        hubs = F.broadcast(hubs)
     salted = edges.select("src", "dst").join(hubs, "src", "left").select(
         "src",
         F.when(F.col("hub"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
         .alias("salt"),
         "dst")
-    return salted, hubs
+    return salted, hubs, n_edges
 
 
 def _levels(spark: SparkSession, e: DataFrame, hubs: DataFrame, seeds: DataFrame,
@@ -138,8 +149,8 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
     # Two passes over the input (degrees, then the salted write): keep it cached.
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = buckets or bucket_count(spark, edges.count())
-        salted, hubs = _salt_edges(edges, hub_degree, salts)
+        salted, hubs, n_edges = _salt_edges(edges, hub_degree, salts)
+        n = buckets or bucket_count(spark, n_edges)
         e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
     finally:
         edges.unpersist()
