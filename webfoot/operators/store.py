@@ -103,12 +103,16 @@ def write_index(df: DataFrame, set_name: str, member: str, order: list[str],
 
 
 def html_archive(spark: SparkSession, pages: DataFrame, out_dir: str | None = None) -> DataFrame:
-    """The page HTML stored as a table partitioned by ``sld`` with its path column.
+    """The page HTML stored as a table with its ``sld`` and ``html_path`` columns.
 
     ``pages`` needs ``url, sld, html_path, html``.  Returns the read-back table.
+    Rows are sorted by ``(sld, url)`` inside each task and written without
+    directory partitioning: one file per task and no shuffle of the HTML,
+    while the sorted row groups let a lookup by ``sld`` skip most of each
+    file.  (Partitioning by ``sld`` itself would make one folder per domain
+    and a file per task and domain, far too many files at scale.)
     """
     path = out_dir or scratch_path(spark, "html_archive")
-    pages.select("sld", "url", "html_path", "html").write.mode("errorifexists") \
-        .partitionBy("sld").parquet(path)
-    # Explicit schema: partition values are read as text, never inferred.
-    return spark.read.schema("url string, html_path string, html string, sld string").parquet(path)
+    (pages.select("sld", "url", "html_path", "html").sortWithinPartitions("sld", "url")
+     .write.mode("errorifexists").parquet(path))
+    return spark.read.schema("sld string, url string, html_path string, html string").parquet(path)
