@@ -69,3 +69,12 @@ def test_whois_latest_matches_reference_store_semantics(spark):
         store[r.sld] = (r.fqdn, r.idx)
     got = {r.sld: (r.fqdn, r.idx) for r in enrich.whois_latest(with_sld).collect()}
     assert got == store
+
+
+def test_dns_by_host_equals_row_form(spark):
+    targets = FX.page_hosts(Q.tables.pages(spark, SF01))
+    answers = FX.dns_answers(spark, SF01)
+    a = {r.fqdn: dict(r.records) for r in enrich.dns_records_by_host(targets, answers, FX.RTYPES).collect()}
+    rows = enrich.dns_record_maps(enrich.dns_collect(enrich.dns_probes(targets, FX.RTYPES), answers))
+    b = {r.fqdn: dict(r.records) for r in rows.collect()}
+    assert a == b and len(a) == 58

@@ -53,6 +53,28 @@ def dns_collect(probes: DataFrame, answers: DataFrame) -> DataFrame:
                     "outcome", "rrset_text")
 
 
+def dns_records_by_host(targets: DataFrame, answers: DataFrame, rtypes: list[str]) -> DataFrame:
+    """O39 + O47 per host: ``(fqdn, records map<rtype, text>)`` for distinct targets.
+
+    The answers are grouped per host first (at most one row per record type,
+    so a bounded group), then joined to the targets on ``fqdn`` alone: both
+    sides arrive hash-partitioned by ``fqdn``, so the join adds no shuffle and
+    the map is built inside the row.  Duplicate answers for one (host, type)
+    resolve to the smallest, deterministically.
+    """
+    per_host = answers.groupBy("fqdn").agg(
+        F.array_sort(F.collect_list(F.struct("rtype", "outcome", "rrset_text"))).alias("__wf_ans"))
+    j = targets.select("fqdn").join(per_host, "fqdn", "left")
+
+    def entry(t):
+        hit = F.get(F.filter(F.coalesce(F.col("__wf_ans"), F.array().cast(per_host.schema["__wf_ans"].dataType)),
+                             lambda a: a.rtype == t), 0)
+        return F.struct(t.alias("key"), dns_outcome(hit.outcome, hit.rrset_text).alias("value"))
+
+    types = F.array(*[F.lit(t) for t in rtypes])
+    return j.select("fqdn", F.map_from_entries(F.transform(types, entry)).alias("records"))
+
+
 def dns_record_maps(collected: DataFrame) -> DataFrame:
     """One map record type -> text per host (bounded by the type list)."""
     return collected.groupBy("fqdn").agg(

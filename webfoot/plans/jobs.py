@@ -86,8 +86,7 @@ def dns_records(targets: DataFrame, answers: DataFrame, rules: DataFrame, rtypes
     t = seen.drop_sentinel(targets.select("fqdn"), "fqdn").distinct()
 
     def fetch(x: DataFrame) -> DataFrame:
-        col = enrich.dns_collect(enrich.dns_probes(x, rtypes), answers)
-        return enrich.dns_record_maps(col)
+        return enrich.dns_records_by_host(x, answers, rtypes)
 
     rec = t.transform(collector(fetch, "fqdn", store))
     rec = domains.with_registrable_domain(rec, rules, "fqdn", "sld")
