@@ -28,27 +28,26 @@ def test_rrset_rows_parse_multi_line(spark):
         (0, 300, "IN", "A", "10.0.0.1"), (1, 300, "IN", "A", "10.0.0.2")]
 
 
-def _ip(s):
-    a, b, c, d = (int(x) for x in s.split("."))
-    return a * 2 ** 24 + b * 2 ** 16 + c * 2 ** 8 + d
-
-
-def test_ip_range_join_against_brute_force(spark):
-    blocks = FX.ip_blocks(spark, SF01).collect()
+def test_ip_prefix_match_against_brute_force(spark):
+    """Longest-prefix match (IPv4 and IPv6) against Python's ipaddress module."""
+    import ipaddress
+    blocks = [(ipaddress.ip_network(r.cidr), r.cidr) for r in FX.ip_blocks(spark, SF01).collect()]
     addrs = [r.ip for r in enrich.host_addresses(FX.dns_answers(spark, SF01)).collect()]
-    addrs += ["10.208.0.1", "10.255.255.255", "9.0.0.1", "10.1.2.300", "fd00::1"]
+    addrs += ["10.208.0.1", "10.255.255.255", "9.0.0.1", "10.1.2.300", "fd00::1", "FD00::D123", "fd00::d123",
+              "fe80::1", "::", "1::2::3", "fd00:0:0:0:0:0:0:a001", "not an ip", "::ffff:zz"]
     df = spark.createDataFrame([(a,) for a in addrs], "ip string")
     got = {r.ip: (r.outcome, r.cidr) for r in enrich.ip_enrich(df, FX.ip_blocks(spark, SF01)).collect()}
     for a in addrs:
-        parts = a.split(".")
-        if len(parts) != 4 or not all(p.isdigit() and int(p) <= 255 for p in parts):
-            assert got[a] == ("unknown", None)
+        try:
+            ip = ipaddress.ip_address(a.lower())
+        except ValueError:
+            assert got[a] == ("unknown", None), a
             continue
-        hits = [b for b in blocks if b.lo <= _ip(a) <= b.hi]
+        hits = [(n, c) for n, c in blocks if n.version == ip.version and ip in n]
         if not hits:
-            assert got[a] == ("failed", None)
+            assert got[a] == ("failed", None), a
         else:
-            assert got[a] == ("ok", max(hits, key=lambda b: b.prefix_len).cidr)
+            assert got[a] == ("ok", max(hits, key=lambda h: h[0].prefixlen)[1]), a
 
 
 def test_ip_enrich_plans_no_nested_loop(spark):

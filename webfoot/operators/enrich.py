@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rangejoin import range_join
+from .prefixjoin import longest_prefix_match
 
 # --- fixed values: DNS outcome texts, by failure class (O31) ---
 DNS_OUTCOME_TEXT = [("no_answer", "No Answer"), ("no_metaqueries", "Not Allow"),
@@ -28,7 +28,6 @@ ADDRESS_TYPES = ["A", "AAAA"]
 # --- end of fixed values ---
 
 RRSET_LINE = r"^(\S+)\s+(\d+)\s+(\S+)\s+(\S+)\s+(.*)$"
-IPV4 = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
 
 
 def dns_outcome(outcome: Column, text: Column) -> Column:
@@ -104,33 +103,21 @@ def address_lists(answers: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list("ip")).alias("ips"))
 
 
-def ipv4_to_long(ip: Column) -> Column:
-    """Dotted IPv4 -> bigint, null if not a valid IPv4 literal."""
-    o = [F.regexp_extract(ip, IPV4, i).try_cast("bigint") for i in range(1, 5)]
-    valid = ip.rlike(IPV4) & o[0].between(0, 255) & o[1].between(0, 255) \
-        & o[2].between(0, 255) & o[3].between(0, 255)
-    return F.when(valid, o[0] * 16777216 + o[1] * 65536 + o[2] * 256 + o[3])
-
-
 def ip_enrich(ips: DataFrame, blocks: DataFrame, ip: str = "ip") -> DataFrame:
-    """O41 + O33: registry answer per address by longest-prefix range match.
+    """O41 + O33: registry answer per address by longest-prefix match (IPv4 and IPv6).
 
     Output: every input row plus ``outcome`` (ok | failed | unknown), and
-    ``cidr``, ``asn``, ``country`` of the most specific block.
+    ``cidr``, ``asn``, ``country`` of the most specific block.  Not an address
+    at all: ``unknown``; an address no block covers: ``failed``.
     """
-    pts = ips.withColumn("__wf_num", ipv4_to_long(F.col(ip)))
-    distinct_pts = pts.select("__wf_num").where(F.col("__wf_num").isNotNull()).distinct()
-    b = blocks.select("cidr", "lo", "hi", "prefix_len", "asn", "country")
-    hits = range_join(distinct_pts, "__wf_num", b)
-    best = hits.groupBy("__wf_num").agg(
-        F.max_by(F.struct("cidr", "asn", "country", "prefix_len"), F.col("prefix_len")).alias("__wf_b"))
-    j = pts.join(best, "__wf_num", "left")
-    outcome = (F.when(F.col("__wf_num").isNull(), F.lit(IP_OTHER_ERROR))
-               .when(F.col("__wf_b").isNull(), F.lit(IP_LOOKUP_ERROR))
+    best = longest_prefix_match(ips, ip, blocks, ["asn", "country"])
+    j = ips.join(best.withColumnRenamed("ip", "__wf_ip"), F.col(ip) == F.col("__wf_ip"), "left")
+    outcome = (F.when(F.col("__wf_ip").isNull(), F.lit(IP_OTHER_ERROR))
+               .when(F.col("__wf_match").isNull(), F.lit(IP_LOOKUP_ERROR))
                .otherwise(F.lit("ok")))
     return j.select(*ips.columns, outcome.alias("outcome"),
-                    F.col("__wf_b.cidr").alias("cidr"), F.col("__wf_b.asn").alias("asn"),
-                    F.col("__wf_b.country").alias("country"))
+                    F.col("__wf_match.cidr").alias("cidr"), F.col("__wf_match.asn").alias("asn"),
+                    F.col("__wf_match.country").alias("country"))
 
 
 def whois_outcome(fqdn: Column, outcome: Column, registrar: Column, created: Column) -> Column:

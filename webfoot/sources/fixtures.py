@@ -110,7 +110,11 @@ def whois_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ip_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """10.0.0.0/8 in 16 /12 blocks, each with one nested /16; block 13 is a gap."""
+    """10.0.0.0/8 in 16 /12 blocks, each with one nested /16; block 13 is a gap.
+
+    IPv6: fd00::/16, and inside it 16 /116 blocks ``fd00::X000`` (X = 0..f)
+    except X = d.
+    """
     n = tables.nation(spark, sf_dir).select("n_nationkey", "n_name")
     b = spark.range(16).select(F.col("id").cast("int").alias("b")).where(F.col("b") != 13)
     base = F.lit(10 * 2 ** 24) + F.col("b").cast("bigint") * 2 ** 20
@@ -126,7 +130,17 @@ def ip_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (base + off.cast("bigint") * 2 ** 16 + 2 ** 16 - 1).alias("hi"), F.lit(16).alias("prefix_len"),
         F.concat(F.lit("AS"), (F.col("b") + 65000).cast("string")).alias("asn"),
         F.concat(F.lit("10."), (F.col("b") * 16 + off).cast("string"), F.lit(".0.0/16")).alias("cidr"))
-    blocks = wide.unionByName(nested)
+    hexd = F.lower(F.hex(F.col("b")))
+    v6 = b.select(
+        "b", ((F.col("b") + 7) % 25).alias("nk"), F.lit(None).cast("bigint").alias("lo"),
+        F.lit(None).cast("bigint").alias("hi"), F.lit(116).alias("prefix_len"),
+        F.concat(F.lit("AS"), (F.col("b") + 64600).cast("string")).alias("asn"),
+        F.concat(F.lit("fd00::"), hexd, F.lit("000/116")).alias("cidr"))
+    v6_wide = spark.range(1).select(
+        F.lit(99).alias("b"), F.lit(24).cast("bigint").alias("nk"), F.lit(None).cast("bigint").alias("lo"),
+        F.lit(None).cast("bigint").alias("hi"), F.lit(16).alias("prefix_len"), F.lit("AS64700").alias("asn"),
+        F.lit("fd00::/16").alias("cidr"))
+    blocks = wide.unionByName(nested).unionByName(v6).unionByName(v6_wide, allowMissingColumns=False)
     return blocks.join(n, blocks["nk"] == n["n_nationkey"]).select(
         "cidr", "lo", "hi", "prefix_len", "asn", F.col("n_name").alias("country"))
 
