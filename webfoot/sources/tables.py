@@ -27,14 +27,19 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    ``spread`` is for tables whose next stage is CPU-heavy per row (HTML
+    scanning of ``pages``, edge building from ``lineitem``).
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if spread else df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured pages ``(page_id, url, html)``: the re-aimed page capture."""
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return table(spark, sf_dir, "pages", spread=True).select("page_id", "url", "html")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +47,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem")
+    return table(spark, sf_dir, "lineitem", spread=True)
 
 
 def nation(spark: SparkSession, sf_dir: str) -> DataFrame:
