@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..session import scratch_path
 
+# --- fixed values: whitespace Python's str.strip() removes (Unicode spaces and \x1c-\x1f) ---
+PY_STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# --- end of fixed values ---
+
 
 def parse_positional(lines: DataFrame) -> DataFrame:
     """O1 + O9: line -> ``(url, host)``; the line is trimmed, fields are not.
@@ -22,7 +26,8 @@ def parse_positional(lines: DataFrame) -> DataFrame:
     A line with fewer than three fields raises under ANSI mode, as the
     reference does.
     """
-    host = F.split(F.trim(F.col("value")), ",").getItem(2)
+    stripped = F.regexp_replace(F.col("value"), PY_STRIP, "")
+    host = F.split(stripped, ",").getItem(2)
     return lines.select(U.https_prefix(host).alias("url"), host.alias("host"))
 
 
@@ -32,9 +37,12 @@ def read_positional(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str) -> DataFrame:
-    """O2 + O9: header CSV with ``host`` and ``ip`` -> ``(url, host, ip)``."""
-    df = (spark.read.option("header", True).option("enforceSchema", False)
-          .schema("host string, ip string").csv(path))
+    """O2 + O9: header CSV with ``host`` and ``ip`` -> ``(url, host, ip)``.
+
+    Columns are found by header name in any order (others are ignored); no
+    type inference, every value is read as text.
+    """
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     return df.select(U.http_prefix("host").alias("url"), "host", "ip")
 
 
