@@ -17,6 +17,7 @@ def test_last_writer_wins_and_idempotent(spark):
     rows = S.to_store_rows(w, "events", "key", "event_id", ["key", "event_id", "event_type"])
     once = S.upsert(None, rows)
     twice = S.upsert(once, rows)
+    assert once.schema.simpleString() == "struct<" + S.STORE_SCHEMA.replace(" ", ":").replace(",:", ",") + ">"
     a = sorted(tuple(r) for r in once.collect())
     assert a == sorted(tuple(r) for r in twice.collect())
     expect = {}
@@ -38,7 +39,9 @@ def test_json_keeps_nulls_and_round_trips(spark):
 
 def test_write_index_matches_enumeration(spark):
     w = _writes(spark)
-    got = {r.member: r.score for r in S.write_index(w, "s", "key", ["ts", "event_id"]).collect()}
+    idx = S.write_index(w, "s", "key", ["ts", "event_id"])
+    assert idx.schema.simpleString() == "struct<" + S.INDEX_SCHEMA.replace(" ", ":").replace(",:", ",") + ">"
+    got = {r.member: r.score for r in idx.collect()}
     ordered = sorted(w.collect(), key=lambda r: (r.ts, r.event_id))
     expect = {}
     for i, r in enumerate(ordered):

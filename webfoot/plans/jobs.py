@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..operators import domains, enrich, links, seen
-from ..operators import store as S
 from ..sources import fixtures
 
+# --- fixed values: record field names and order of the four record kinds ---
 URL_FIELDS = ["url", "fqdn", "sld", "redirect", "pre_url", "next_url", "url_nums", "title",
               "html", "screenshot", "status", "exception"]
 DNS_FIELDS = ["fqdn", "sld", "records", "status", "exception"]
 WHOIS_FIELDS = ["fqdn", "sld", "whois", "status", "exception"]
 IP_FIELDS = ["ip", "fqdn", "ipinfo", "status", "exception"]
+# --- end of fixed values ---
 
 
 def collector(fetch: Callable[[DataFrame], DataFrame], key: str,
@@ -128,8 +129,3 @@ def crawl_report(records: DataFrame) -> DataFrame:
         F.count_distinct("fqdn").alias("hosts"),
         F.count("redirect").alias("redirects"),
     )
-
-
-def store_rows_for(records: DataFrame, store: str, key: str, seq: str, fields: list[str]) -> DataFrame:
-    """Records -> store rows (O58 input)."""
-    return S.to_store_rows(records, store, key, seq, fields)

@@ -279,7 +279,7 @@ def links_to_hosts(spark, sf):
 def _page_crawl(spark, sf):
     refs = links.extract_refs(tables.pages(spark, sf))
     edges = links.page_edges(refs)
-    seeds_df = tables.pages(spark, sf).select(F.col("url").alias("node"))
+    seeds_df = seeds.url_seeds(tables.pages(spark, sf)).select(F.col("url").alias("node"))
     return graph.crawl_frontier(edges, seeds_df, max_depth=None)
 
 

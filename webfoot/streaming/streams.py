@@ -111,7 +111,7 @@ class _Stores:
         ipr = S.write_version(self.spark, ipr.withColumn("seq", F.lit(batch_id).cast("bigint")),
                               f"stream_chain_ip_records_{batch_id}")
         dns_rows = S.to_store_rows(dns, "dns", "fqdn", "seq", jobs.DNS_FIELDS)
-        ip_rows = S.to_store_rows(ipr, "ip", "ip", "seq", ["ip", "fqdn", "outcome", "status"])
+        ip_rows = S.to_store_rows(ipr, "ip", "ip", "seq", jobs.IP_FIELDS)
         self.dns = S.write_version(self.spark, S.upsert(self.dns, dns_rows), f"stream_chain_dns_{batch_id}")
         self.ip = S.write_version(self.spark, S.upsert(self.ip, ip_rows), f"stream_chain_ip_{batch_id}")
         self.ip_records = ipr if self.ip_records is None else self.ip_records.unionByName(ipr)
