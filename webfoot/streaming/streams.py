@@ -18,6 +18,7 @@ shared checkpoint folder.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,45 +88,66 @@ def stream_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class _Stores:
-    """Current versions of the DNS and IP stores, replaced per micro-batch."""
+    """DNS and IP stores of a chained stream, one version per micro-batch.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self.dns: DataFrame | None = None
-        self.ip: DataFrame | None = None
-        self.ip_records: DataFrame | None = None
+    Versions live in ``{base}/{kind}/batch={id}``.  A batch reads the newest
+    version older than itself and writes its own with overwrite, so a batch
+    replayed after a failure (same id) recomputes exactly the same version,
+    and a restarted driver finds the stores where the last run left them.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
         self.answers = FX.dns_answers(spark, sf_dir)
         self.blocks = FX.ip_blocks(spark, sf_dir)
         self.rules = FX.suffix_rules(spark)
 
+    def version(self, kind: str, before: int | None = None) -> DataFrame | None:
+        """The newest stored version of ``kind`` (older than batch ``before``), or None."""
+        try:
+            allv = self.spark.read.schema(S.STORE_SCHEMA + ", batch bigint").parquet(f"{self.base}/{kind}")
+        except AnalysisException:
+            return None
+        if before is not None:
+            allv = allv.where(F.col("batch") < before)
+        last = allv.agg(F.max("batch")).first()[0]
+        return None if last is None else allv.where(F.col("batch") == last).drop("batch")
+
+    def _write(self, kind: str, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.base}/{kind}/batch={batch_id}")
+
     def batch(self, pages: DataFrame, batch_id: int) -> None:
+        dns_store, ip_store = self.version("dns", batch_id), self.version("ip", batch_id)
         hosts = pages.select(U.url_host("url").alias("fqdn")).where(F.col("fqdn") != "")
-        dns = jobs.dns_records(hosts, self.answers, self.rules, FX.RTYPES, store=self.dns)
+        dns = jobs.dns_records(hosts, self.answers, self.rules, FX.RTYPES, store=dns_store)
         dns = dns.withColumn("seq", F.lit(batch_id).cast("bigint"))
         # Only the hosts new in this batch bring addresses.
-        new_hosts = dns.select("fqdn")
-        answers = self.answers.join(new_hosts, "fqdn", "left_semi")
-        pairs = jobs.dns_to_ip(answers, self.ip)
+        answers = self.answers.join(dns.select("fqdn"), "fqdn", "left_semi")
+        pairs = jobs.dns_to_ip(answers, ip_store)
         cand = pairs.select("ip", "fqdn", F.lit(1).alias("src"), F.lit(batch_id).alias("idx"))
-        ipr = jobs.ip_records(cand, self.blocks, store=self.ip)
-        ipr = S.write_version(self.spark, ipr.withColumn("seq", F.lit(batch_id).cast("bigint")),
-                              f"stream_chain_ip_records_{batch_id}")
+        ipr = jobs.ip_records(cand, self.blocks, store=ip_store).withColumn("seq", F.lit(batch_id).cast("bigint"))
         dns_rows = S.to_store_rows(dns, "dns", "fqdn", "seq", jobs.DNS_FIELDS)
-        ip_rows = S.to_store_rows(ipr, "ip", "ip", "seq", jobs.IP_FIELDS)
-        self.dns = S.write_version(self.spark, S.upsert(self.dns, dns_rows), f"stream_chain_dns_{batch_id}")
-        self.ip = S.write_version(self.spark, S.upsert(self.ip, ip_rows), f"stream_chain_ip_{batch_id}")
-        self.ip_records = ipr if self.ip_records is None else self.ip_records.unionByName(ipr)
+        ip_rows = S.to_store_rows(ipr, "ip", "ip", "seq", jobs.IP_FIELDS + ["outcome"])
+        self._write("dns", S.upsert(dns_store, dns_rows), batch_id)
+        self._write("ip", S.upsert(ip_store, ip_rows), batch_id)
+
 
+def stream_chain(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
+    """Captures -> hosts -> DNS -> IP per micro-batch; returns the IP store's records.
 
-def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stores = _Stores(spark, sf_dir)
-    ck = scratch_path(spark, "stream_chain_ck")
+    ``base`` is the stream's folder (checkpoint and store versions); pass the
+    same one to resume after a restart.
+    """
+    base = (base or scratch_path(spark, "stream_chain")).rstrip("/")
+    stores = _Stores(spark, sf_dir, base)
     src = page_stream(spark, sf_dir).select("page_id", "url")
-    _run_to_end(src.writeStream.foreachBatch(stores.batch).option("checkpointLocation", ck),
+    _run_to_end(src.writeStream.foreachBatch(stores.batch).option("checkpointLocation", f"{base}/checkpoint"),
                 "stream_chain")
-    if stores.ip_records is None:
+    ip = stores.version("ip")
+    if ip is None:
         return spark.createDataFrame([], "ip string, fqdn string, outcome string")
-    return stores.ip_records.select("ip", "fqdn", "outcome")
+    rec = F.from_json("value", "ip string, fqdn string, outcome string")
+    return ip.select(rec.ip.alias("ip"), rec.fqdn.alias("fqdn"), rec.outcome.alias("outcome"))
 
 
 def queries() -> dict:
