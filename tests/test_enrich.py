@@ -71,7 +71,8 @@ def test_whois_latest_matches_reference_store_semantics(spark):
 
 
 def test_dns_by_host_equals_row_form(spark):
-    targets = FX.page_hosts(Q.tables.pages(spark, SF01))
+    from webfoot.sources import tables
+    targets = FX.page_hosts(tables.pages(spark, SF01))
     answers = FX.dns_answers(spark, SF01)
     a = {r.fqdn: dict(r.records) for r in enrich.dns_records_by_host(targets, answers, FX.RTYPES).collect()}
     rows = enrich.dns_record_maps(enrich.dns_collect(enrich.dns_probes(targets, FX.RTYPES), answers))

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import urls as U
 from ..operators import attempts as A
 from ..operators import domains, enrich, graph, links, seen
@@ -24,7 +25,7 @@ from . import jobs
 HTML_OUT = "/archive/html"
 SCREEN_OUT = "/archive/png"
 FRONTIER_SEED = "o0"
-FRONTIER_MAX_DEPTH = 6
+FRONTIER_MAX_DEPTH = None  # until no unseen node is left, as the reference crawl
 SPLIT_TS = "2024-01-15 00:00:00"
 # --- end of fixed values ---
 
@@ -272,7 +273,7 @@ def whois_latest(spark, sf):
 
 
 def links_to_hosts(spark, sf):
-    e = links.page_edges(_refs_rich(spark, sf), kinds=tuple(links.H.LINK_KINDS))
+    e = links.page_edges(_refs_rich(spark, sf), kinds=tuple(H.LINK_KINDS))
     return graph.links_to_hosts(e)
 
 
