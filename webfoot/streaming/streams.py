@@ -18,7 +18,6 @@ shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,17 +100,18 @@ class _Stores:
         self.answers = FX.dns_answers(spark, sf_dir)
         self.blocks = FX.ip_blocks(spark, sf_dir)
         self.rules = FX.suffix_rules(spark)
-
-    def version(self, kind: str, before: int | None = None) -> DataFrame | None:
-        """The newest stored version of ``kind`` (older than batch ``before``), or None."""
-        try:
-            allv = self.spark.read.schema(S.STORE_SCHEMA + ", batch bigint").parquet(f"{self.base}/{kind}")
-        except AnalysisException:
-            return None
+        # An empty version -1 (written only if absent), so every read finds the folders.
+        empty = spark.createDataFrame([], S.STORE_SCHEMA)
+        for kind in ("dns", "ip"):
+            empty.write.mode("ignore").parquet(f"{self.base}/{kind}/batch=-1")
+
+    def version(self, kind: str, before: int | None = None) -> DataFrame:
+        """The newest stored version of ``kind`` (older than batch ``before`` if given)."""
+        allv = self.spark.read.schema(S.STORE_SCHEMA + ", batch bigint").parquet(f"{self.base}/{kind}")
         if before is not None:
             allv = allv.where(F.col("batch") < before)
         last = allv.agg(F.max("batch")).first()[0]
-        return None if last is None else allv.where(F.col("batch") == last).drop("batch")
+        return allv.where(F.col("batch") == last).drop("batch")
 
     def _write(self, kind: str, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.base}/{kind}/batch={batch_id}")
@@ -144,8 +144,6 @@ def stream_chain(spark: SparkSession, sf_dir: str, base: str | None = None) -> D
     _run_to_end(src.writeStream.foreachBatch(stores.batch).option("checkpointLocation", f"{base}/checkpoint"),
                 "stream_chain")
     ip = stores.version("ip")
-    if ip is None:
-        return spark.createDataFrame([], "ip string, fqdn string, outcome string")
     rec = F.from_json("value", "ip string, fqdn string, outcome string")
     return ip.select(rec.ip.alias("ip"), rec.fqdn.alias("fqdn"), rec.outcome.alias("outcome"))
 
