@@ -21,7 +21,8 @@ LINK_KINDS = ["a", "link", "script", "img"]
 
 # --- fixed values: entities decoded in attribute values and titles ('&amp;' last) ---
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+            ("&amp;", "&")]
 # --- end of fixed values ---
 
 WS = r"[ \t\n\r\f]"
