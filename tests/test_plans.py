@@ -28,3 +28,11 @@ def test_links_need_no_key_shuffle(spark):
     for name in ("resolved_links", "outlink_bundle", "url_nums", "distinct_refs"):
         plan = _plan(QUERIES[name](spark, SF))
         assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan, name
+
+
+def test_html_is_scanned_once(spark):
+    """Exploding the links must not copy the HTML scan into an inferred filter."""
+    for name in ("resolved_links", "distinct_refs", "seen_union", "first_referrer", "inlinks",
+                 "unseen_targets", "links_to_hosts", "url_host"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert plan.count("regexp_extract_all(") == 1, name

@@ -60,9 +60,25 @@ def bundle(refs_df: DataFrame, base: str = "url") -> DataFrame:
     ).withColumn("url_nums", F.size(F.filter("refs", lambda x: x.kind == "a"))).drop("__wf_res")
 
 
+def explode_rows(df: DataFrame, keep, arr, names: tuple[str, ...], with_pos: bool = False) -> DataFrame:
+    """Explode an expensive computed array without evaluating it twice.
+
+    Plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push that
+    filter below the projections, where it inlines (and so recomputes) the
+    whole expression that built ``arr``, e.g. the HTML scan.  The ``_outer``
+    form infers nothing; its null rows for empty arrays are dropped right
+    after the generator, where no filter can move below it.
+    """
+    if with_pos:
+        g = F.posexplode_outer(arr).alias("pos", *names)
+    else:
+        g = F.explode_outer(arr).alias(*names)
+    return df.select(*keep, g).where(F.col(names[0]).isNotNull())
+
+
 def ref_rows(refs_df: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """One row per distinct (page, kind, raw) with its position in the page."""
-    return refs_df.select(*keep, F.posexplode("refs").alias("pos", "ref")).select(
+    return explode_rows(refs_df, keep, F.col("refs"), ("ref",), with_pos=True).select(
         *keep, "pos", F.col("ref.kind").alias("kind"), F.col("ref.raw").alias("raw"))
 
 
@@ -86,4 +102,4 @@ def page_edges(refs_df: DataFrame, kinds: tuple[str, ...] = ("a",),
     if schemes:
         allowed = [s.lower() for s in schemes]
         targets = F.filter(targets, lambda t: F.lower(F.regexp_extract(t, U.URL_PARTS, 1)).isin(allowed))
-    return res.select(F.col("url").alias("src"), F.explode(targets).alias("dst"))
+    return explode_rows(res, [F.col("url").alias("src")], targets, ("dst",))

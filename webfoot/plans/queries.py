@@ -301,7 +301,7 @@ def first_referrer(spark, sf):
     """Per link target, the earliest linking page (page order, then URL)."""
     res = links.with_resolved(_refs_rich(spark, sf))
     targets = F.array_distinct(links.kind_targets(F.col("__wf_res"), "a"))
-    rows = res.select("page_id", F.col("url").alias("src"), F.explode(targets).alias("dst"))
+    rows = links.explode_rows(res, ["page_id", F.col("url").alias("src")], targets, ("dst",))
     first = seen.first_arrival(rows, "dst", ["page_id", "src"])
     return first.select("dst", F.col("src").alias("first_src"), F.col("page_id").alias("first_page_id"))
 
@@ -318,7 +318,7 @@ def write_index(spark, sf):
 def seen_union(spark, sf):
     res = links.with_resolved(_refs_rich(spark, sf))
     found = F.filter("__wf_res", lambda x: x.target.isNotNull())
-    t = res.select(F.explode(F.transform(found, lambda x: x.target)).alias("url"))
+    t = links.explode_rows(res, [], F.transform(found, lambda x: x.target), ("url",))
     p = tables.pages(spark, sf).select("url")
     return seen.seen_union(t, p)
 
