@@ -2,6 +2,45 @@
 
 from __future__ import annotations
 
+_OP2 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM d),
+phrases(label, ps) AS (VALUES ('mit', ['under', 'the', 'mit', 'license']),
+  ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])),
+places AS (
+  SELECT r, i, label FROM w JOIN phrases ON word = ps[1] JOIN d USING (r)
+  WHERE list_slice(ws, i + 1, i + len(ps)) = ps),
+base AS (
+  SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
+templates(t, label, body) AS (VALUES
+  (0, 'mit', 'released under the mit license'),
+  (1, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files'),
+  (2, 'apache-2', 'licensed under the apache license version 2 0'),
+  (3, 'cc-by-nc', 'licensed under cc by nc 4 0'),
+  (4, 'gpl-3', 'this work is licensed under the gnu general public license version 3'),
+  (5, 'gpl-3', 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license'),
+  (6, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+  (7, 'mpl-2', 'this source code form is subject to the terms of the mozilla public license v 2 0')),
+tt AS (SELECT t, label, len(string_split(body, ' ')) AS step, len(list_distinct(string_split(body, ' '))) AS size FROM templates),
+tw AS (SELECT DISTINCT t, unnest(string_split(body, ' ')) AS word FROM templates),
+hits AS (SELECT w.r, t, word, unnest(CASE WHEN i // step > 0 THEN [i // step, i // step - 1] ELSE [0] END) AS k
+  FROM w JOIN tw USING (word) JOIN tt USING (t)),
+met AS (
+  SELECT r, t, k, count(DISTINCT word) AS shared FROM hits GROUP BY r, t, k),
+best AS (
+  SELECT r, max(shared::DOUBLE / size) AS score, list(DISTINCT label) AS ls
+  FROM met JOIN tt USING (t) WHERE 5 * shared >= 4 * size GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(ls, []), CASE WHEN n_base > 0 THEN string_split(base_labels, ',') ELSE [] END))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN best USING (r)
+"""
+
 _OP6 = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -21,6 +60,18 @@ SELECT page_id, host, path,
 FROM p
 """
 
+_OP7 = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+q AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+    max(page_id) OVER (PARTITION BY payload) AS keeper FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
+FROM q
+"""
+
 _OP9 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -63,4 +114,4 @@ FROM m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": _OP6, "op9_repetition": _OP9}
+    return {"op2_license_scan": _OP2, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}

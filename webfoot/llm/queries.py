@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from webfoot.llm import repetition, urlrules
+from webfoot.llm import licenses, repetition, urlrules, warc
 from webfoot.llm.common import read
 
 #: (verdict, host, path)
@@ -14,11 +15,22 @@ URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.license_scan(docs, keep=["doc_id"]).drop("matches")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return urlrules.judge(pages, urlrules.rule_table(spark, URL_RULES), keep=["page_id"])
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = warc.write_archives(read(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, path, payloads=False).where("kind = 'record'").select(
+        F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return repetition.repetition(docs, keep=["doc_id"]).select(
@@ -27,4 +39,4 @@ def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_url_filter, op9_repetition)}
+    return {f.__name__: f for f in (op2_license_scan, op6_url_filter, op7_warc, op9_repetition)}
