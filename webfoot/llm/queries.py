@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfoot.llm import licenses, repetition, urlrules, warc
+from webfoot.llm import licenses, packing, repetition, urlrules, warc
 from webfoot.llm.common import read
 
 #: (verdict, host, path)
@@ -31,6 +31,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return repetition.repetition(docs, keep=["doc_id"]).select(
@@ -39,4 +43,4 @@ def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_license_scan, op6_url_filter, op7_warc, op9_repetition)}
+    return {f.__name__: f for f in (op2_license_scan, op6_url_filter, op7_warc, op8_packing, op9_repetition)}
