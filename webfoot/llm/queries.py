@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfoot.llm import licenses, packing, repetition, toxicity, urlrules, warc
+from webfoot.llm import licenses, neardup, packing, repetition, toxicity, urlrules, warc
 from webfoot.llm.common import read
 
 #: (verdict, host, path)
@@ -27,6 +27,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, k=4)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return urlrules.judge(pages, urlrules.rule_table(spark, URL_RULES), keep=["page_id"])
@@ -50,4 +55,4 @@ def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_license_scan, op3_toxicity, op6_url_filter, op7_warc, op8_packing, op9_repetition)}
+    return {f.__name__: f for f in (op2_license_scan, op3_toxicity, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition)}
