@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
+_OP1 = r"""
+WITH RECURSIVE sizes AS (
+  SELECT source AS s, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
+raw AS (SELECT s, 1024 * w / (SELECT sum(w) FROM sizes) AS r FROM sizes),
+part AS (
+  SELECT s, row_number() OVER (ORDER BY s) AS i, floor(r)::BIGINT
+    + CASE WHEN row_number() OVER (ORDER BY r - floor(r) DESC, s) <= 1024 - sum(floor(r)) OVER () THEN 1 ELSE 0 END AS p FROM raw),
+lists AS (SELECT list(p ORDER BY i) AS ps FROM part),
+run(t, done, picked) AS (
+  SELECT 0, list_transform(ps, lambda x: 0::BIGINT), 0::BIGINT FROM lists
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda d, i: d + CASE WHEN i = best.i THEN 1 ELSE 0 END), best.i
+  FROM (SELECT t, done, ps, list_min(list_filter(list_transform(ps, lambda p, i:
+      {'dl': CASE WHEN done[i] < p AND (done[i] * 1024) // p <= t THEN ((done[i] + 1) * 1024 + p - 1) // p ELSE 1000000 END, 'i': i}),
+      lambda x: x.dl < 1000000)) AS best FROM run, lists WHERE t < 1024)),
+slots AS (SELECT picked AS i, t - 1 AS slot, done[picked] AS number FROM run WHERE t > 0),
+numbered AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('mix-1:' || doc_id::VARCHAR), doc_id) - 1 AS n FROM documents),
+b AS (SELECT doc_id, source, n % 16 AS place, n // 16 AS block, p, i FROM numbered JOIN part ON source = s)
+SELECT doc_id, source, block AS mix_block, place AS mix_place,
+  (block // p) * 1024 + ((block % p) * 1024) // p AS mix_release,
+  (block // p) * 1024 + ((block % p + 1) * 1024 + p - 1) // p AS mix_deadline,
+  (block // p) * 1024 + slot AS mix_slot
+FROM b JOIN slots ON b.i = slots.i AND slots.number = block % p + 1
+"""
+
 _OP2 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -114,4 +140,4 @@ FROM m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": _OP2, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}
+    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}

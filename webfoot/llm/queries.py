@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfoot.llm import licenses, neardup, packing, repetition, toxicity, urlrules, warc
+from webfoot.llm import licenses, mixing, neardup, packing, pii, repetition, toxicity, urlrules, warc
 from webfoot.llm.common import read
 
 #: (verdict, host, path)
@@ -15,6 +15,11 @@ URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.license_scan(docs, keep=["doc_id"]).drop("matches")
@@ -54,5 +59,10 @@ def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return pii.replace_entities(docs, length_col="n_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_license_scan, op3_toxicity, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition)}
+    return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_toxicity, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition, op10_surrogates)}
