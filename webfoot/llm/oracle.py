@@ -67,6 +67,18 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, la
 FROM d LEFT JOIN base USING (r) LEFT JOIN best USING (r)
 """
 
+_OP4 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
 _OP6 = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -140,4 +152,4 @@ FROM m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}
+    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op4_top_k": _OP4, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfoot.llm import licenses, mixing, neardup, packing, pii, repetition, toxicity, urlrules, warc
+from webfoot.llm import licenses, mixing, neardup, packing, pii, repetition, topk, toxicity, urlrules, warc
 from webfoot.llm.common import read
 
 #: (verdict, host, path)
@@ -32,6 +32,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, lambda vec_id: vec_id % 100 == 0)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, k=4)
@@ -65,4 +70,4 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_toxicity, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition, op10_surrogates)}
+    return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_toxicity, op4_top_k, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition, op10_surrogates)}
