@@ -48,6 +48,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing reads them any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
     start = held = 0
     for i, n in enumerate(sizes):
@@ -98,3 +107,19 @@ def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField],
             yield pa.RecordBatch.from_arrays(cols, names=arrow.names)
 
     return source.mapInArrow(run, schema)
+
+
+def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The rows of ``df``, unchanged, for whose text the function gives True."""
+    text = "_wf_text"
+    while text in df.columns:
+        text += "_"
+    width = len(df.columns)
+    source = df.select(*map(col, df.columns), col(text_col).cast("string").alias(text))
+
+    def run(batches):
+        fn = make()
+        for part, texts in text_slices(batches, width):
+            yield part.filter(pa.array(fn(texts), pa.bool_())).select(range(width))
+
+    return source.mapInArrow(run, df.schema)

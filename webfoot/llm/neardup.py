@@ -43,10 +43,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webfoot.llm.common import col, materialize, text_slices
+from webfoot.llm.common import col, discard, materialize, text_slices
 
 PERCENT = 80
 BANDS, ROWS = 32, 4
@@ -208,7 +208,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .where("u <> v").distinct(), "links")
-    before = None
+    before, last = None, edges
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -219,6 +219,8 @@ def components(links: DataFrame) -> DataFrame:
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "stars")
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1_000_003)).first()
+        discard(last)
+        last = edges
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
@@ -309,6 +311,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b"))
     _, roots = _extended(links, roots, same_id)
 
+    discard(shared, candidates, links)
     classes = _with_root(reps.select("f1", "f2", "rep"), roots, "rep", "root").select("f1", "f2", "root")
     return (signed.select("doc_id", "n", "f1", "f2")
             .join(classes, ["f1", "f2"], "left")
@@ -316,3 +319,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         .otherwise(F.col("doc_id")))
             .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, unchanged, that stay: one of each component.
+
+    Of rows that repeat an id that stays, the one with the smallest text does;
+    rows with a null id all stay.
+    """
+    decided = materialize(near_duplicates(docs, id_col, text_col, k, percent).where("doc_id is not null"), "decided")
+    gone = decided.where("not kept").select(F.col("doc_id").alias("_wf_id")).distinct()
+    again = decided.where("kept").groupBy(F.col("doc_id").alias("_wf_id")).agg(F.count(F.lit(1)).alias("n")).where(
+        "n > 1").drop("n")
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)  # at most 4 MB of ids; beyond that the join shuffles
+    same = col(id_col).cast("long") == F.col("_wf_id")
+    rest = docs.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return rest
+    order = Window.partitionBy(col(id_col)).orderBy(col(text_col).asc_nulls_last())
+    first = rest.join(again, same, "left_semi").withColumn("_wf_nth", F.row_number().over(order)).where("_wf_nth = 1")
+    return rest.join(again, same, "left_anti").unionByName(first.drop("_wf_nth"))

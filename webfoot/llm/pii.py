@@ -266,12 +266,12 @@ def settle(entities: DataFrame, key: str) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY,
-                     length_col: str | None = None) -> DataFrame:
-    """``docs`` with the text's entities replaced, ``n_entities`` and ``kinds`` added.
+                     length_col: str | None = None, add: bool = True) -> DataFrame:
+    """``docs`` with the text's entities replaced and, with ``add``, ``n_entities`` and ``kinds`` added.
 
     ``length_col`` names a column that holds the text's length and follows it.
     """
-    added = ["n_entities", "kinds"]
+    added = ["n_entities", "kinds"] if add else []
     kept = without(docs, added)
     fixes = materialize(settle(entity_table(docs, text_col), key), "fixes")
     rows = docs.select(*map(col, kept)).withColumn("_wf_text", col(text_col).cast("string")).withColumn(
@@ -294,7 +294,9 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT
     joined = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size("_wf_found")), fakes, lambda a, b: F.concat(a, b)), ""),
                       F.element_at(between, -1))
     text = F.when(F.size("_wf_found") > 0, joined).otherwise(F.col("_wf_text"))
-    out = {text_col: text, "n_entities": F.size("_wf_found").cast("long"), "kinds": F.array_join(F.array_sort(
+    out = {text_col: text}
+    if add:
+        out |= {"n_entities": F.size("_wf_found").cast("long"), "kinds": F.array_join(F.array_sort(
         F.array_distinct(F.transform("_wf_found", lambda v: kind_of(v)))), ",")}
     if length_col:
         out[length_col] = F.when(F.size("_wf_found") > 0, F.length(text)).otherwise(col(length_col)).cast(

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webfoot.llm.common import append_columns, col, materialize, text_slices
+from webfoot.llm.common import append_columns, col, discard, filter_rows, materialize, text_slices
 
 SAMPLE_PER_CLASS = 6000
 MAX_LEXICON = 2000
@@ -356,6 +356,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model.curve = fit_curve([tuple(r) for r in append_columns(
         sample, "text", FIELDS, lambda: Scorer(model), ["_wf_doc", "_wf_toxic"])
         .select("_wf_doc", "_wf_toxic", "strength").collect()])  # bounded by the sample
+    discard(sample, table)
     return model
 
 
@@ -378,3 +379,11 @@ def fit_curve(rows: list[tuple], ridge: float = 0.1) -> tuple[float, float]:
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``score``, ``predicted``, ``strength`` and ``hits``."""
     return append_columns(docs, text_col, FIELDS, lambda: Scorer(model), keep)
+
+
+def clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, that are not predicted toxic."""
+    def make():
+        scorer = Scorer(model)
+        return lambda texts: [p == 0 for p in scorer(texts)[1]]
+    return filter_rows(docs, text_col, make)
