@@ -73,6 +73,12 @@ def www_fallback(c) -> Column:
                   F.replace(c, F.lit("https://"), F.lit("https://www."))).otherwise(c)
 
 
+def www_fallback_times(c, times: Column) -> Column:
+    """O27 applied once for each of ``times`` failures."""
+    return F.when(times > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(times, F.lit(1))), _c(c),
+                                         lambda url, _: www_fallback(url))).otherwise(_c(c))
+
+
 def defrag(c) -> Column:
     """Drop the fragment."""
     return F.regexp_replace(_c(c), r"(?s)#.*$", "")

@@ -62,12 +62,12 @@ def resolve_attempts(log: DataFrame, max_tries: int = MAX_TRIES,
     ks = F.sequence(F.lit(1), tries)
     total = F.aggregate(F.transform(ks, lambda k: try_timeout(k, page_timeout, timeout_index)),
                         F.lit(0).cast("bigint"), lambda a, x: a + x)
-    rewritten = (status == 400) | (tries > 1)
+    failures = F.when(status == 400, tries).otherwise(tries - 1)
     return per.select(
         "target",
         status.alias("status"),
         tries.alias("tries"),
-        F.when(rewritten, U.www_fallback("target")).otherwise(F.col("target")).alias("url"),
+        U.www_fallback_times("target", failures).alias("url"),
         try_timeout(tries, page_timeout, timeout_index).alias("timeout_ms"),
         total.alias("total_timeout_ms"),
         F.when(F.size(failed_before) > 0, last_err).alias("last_error_id"),

@@ -55,13 +55,15 @@ def dns_collect(probes: DataFrame, answers: DataFrame) -> DataFrame:
 def dns_records_by_host(targets: DataFrame, answers: DataFrame, rtypes: list[str]) -> DataFrame:
     """O39 + O47 per host: ``(fqdn, records map<rtype, text>)`` for distinct targets.
 
-    The answers are grouped per host first (at most one row per record type,
-    so a bounded group), then joined to the targets on ``fqdn`` alone: both
-    sides arrive hash-partitioned by ``fqdn``, so the join adds no shuffle and
-    the map is built inside the row.  Duplicate answers for one (host, type)
-    resolve to the smallest, deterministically.
+    Answers of hosts that are no targets go first (semi-join), then each
+    (host, type) is reduced to its smallest answer with partial aggregation:
+    a host captured daily for years comes to one row per type.  Only these
+    are gathered per host (bounded by the types), and joined to the targets.
     """
-    per_host = answers.groupBy("fqdn").agg(
+    asked = answers.join(targets.select("fqdn"), "fqdn", "left_semi").where(F.col("rtype").isin(*rtypes))
+    per_type = asked.groupBy("fqdn", "rtype").agg(F.min(F.struct("outcome", "rrset_text")).alias("a")).select(
+        "fqdn", "rtype", "a.outcome", "a.rrset_text")
+    per_host = per_type.groupBy("fqdn").agg(
         F.array_sort(F.collect_list(F.struct("rtype", "outcome", "rrset_text"))).alias("__wf_ans"))
     j = targets.select("fqdn").join(per_host, "fqdn", "left")
 
@@ -92,14 +94,14 @@ def rrset_rows(answers: DataFrame) -> DataFrame:
 
 
 def host_addresses(answers: DataFrame) -> DataFrame:
-    """O30e + O48: addresses of A/AAAA answers, one row per (ip, fqdn), and per host a sorted list."""
-    rows = rrset_rows(answers).where(F.col("type").isin(*ADDRESS_TYPES))
+    """O30e: ``(ip, fqdn)`` of the A and AAAA lines in answers to A and AAAA queries."""
+    rows = rrset_rows(answers.where(F.col("rtype").isin(*ADDRESS_TYPES))).where(F.col("type").isin(*ADDRESS_TYPES))
     return rows.select(F.col("rdata").alias("ip"), "fqdn")
 
 
 def address_lists(answers: DataFrame) -> DataFrame:
-    """Per host, its addresses sorted (one DNS answer, so bounded)."""
-    return host_addresses(answers).groupBy("fqdn").agg(
+    """Per host, its distinct addresses sorted."""
+    return host_addresses(answers).distinct().groupBy("fqdn").agg(
         F.array_sort(F.collect_list("ip")).alias("ips"))
 
 

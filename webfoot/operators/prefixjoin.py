@@ -107,5 +107,7 @@ def longest_prefix_match(points: DataFrame, ip: str, blocks: DataFrame, info: li
     probes = probes.withColumn("__wf_key", F.col("__wf_bits").substr(F.lit(1), F.col("__wf_len")))
     hits = probes.join(b, ["__wf_family", "__wf_len", "__wf_key"], "left")
     matched = F.when(F.col(cidr).isNotNull(), F.struct(F.col(cidr).alias("cidr"), *[F.col(c) for c in info]))
-    return hits.groupBy("ip").agg(F.max_by(matched, F.when(F.col(cidr).isNotNull(), F.col("__wf_len")))
+    # Of two blocks with the same prefix the one whose fields come last in order wins.
+    order = F.when(F.col(cidr).isNotNull(), F.struct("__wf_len", cidr, *info))
+    return hits.groupBy("ip").agg(F.max_by(matched, order)
                                   .alias("__wf_match"))

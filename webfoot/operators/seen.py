@@ -1,7 +1,8 @@
 """Seen checks and de-duplication.
 
-A key is "seen" when its md5 digest is in a store.  The checks are joins on
-the digest, planned by Catalyst (shuffle hash / sort-merge, or broadcast when
+A key is "seen" when its md5 digest is in the store of that name (URL, DNS,
+WHOIS and IP records are separate stores of one table).  The checks are joins
+on the digest, planned by Catalyst (shuffle hash / sort-merge, or broadcast when
 AQE measures one side as small).
 """
 
@@ -22,17 +23,21 @@ def with_digest(df: DataFrame, key_col: str, out: str = "key_md5") -> DataFrame:
     return df.withColumn(out, F.md5(F.col(key_col).cast("string")))
 
 
-def unseen(candidates: DataFrame, store: DataFrame, key_col: str) -> DataFrame:
-    """Candidates whose key digest is not in ``store.key_md5`` (left anti-join)."""
+def _digests(store: DataFrame, name: str) -> DataFrame:
+    return store.where(F.col("store") == name).select(F.col("key_md5").alias("__wf_md5"))
+
+
+def unseen(candidates: DataFrame, store: DataFrame, key_col: str, name: str) -> DataFrame:
+    """Candidates whose key digest is not in the store ``name`` (left anti-join)."""
     c = with_digest(candidates, key_col, "__wf_md5")
-    s = store.select(F.col("key_md5").alias("__wf_md5"))
+    s = _digests(store, name)
     return c.join(s, "__wf_md5", "left_anti").drop("__wf_md5")
 
 
-def already_seen(candidates: DataFrame, store: DataFrame, key_col: str) -> DataFrame:
-    """The "have done" report: candidates already in the store (left semi-join)."""
+def already_seen(candidates: DataFrame, store: DataFrame, key_col: str, name: str) -> DataFrame:
+    """The "have done" report: candidates already in the store ``name`` (left semi-join)."""
     c = with_digest(candidates, key_col, "__wf_md5")
-    s = store.select(F.col("key_md5").alias("__wf_md5"))
+    s = _digests(store, name)
     return c.join(s, "__wf_md5", "left_semi").drop("__wf_md5")
 
 

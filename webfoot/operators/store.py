@@ -26,7 +26,11 @@ INDEX_SCHEMA = "set_name string, member string, score bigint"
 
 
 def record_json(df: DataFrame, fields: list[str]) -> DataFrame:
-    """``value`` = JSON of ``fields`` with nulls kept, dates as ISO text."""
+    """``value`` = JSON of ``fields`` with nulls kept, dates as ISO text.
+
+    ``next_url`` is written as four lists in the order of its kinds; ``ipinfo``
+    as an object, or as the text in ``outcome`` where the lookup failed.
+    """
     cols = []
     for f in df.schema.fields:
         if f.name not in fields:
@@ -36,6 +40,11 @@ def record_json(df: DataFrame, fields: list[str]) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        elif f.name == "next_url" and isinstance(f.dataType, T.StructType):
+            c = F.array(*[c[k] for k in f.dataType.names])
+        elif f.name == "ipinfo" and "outcome" in df.columns:
+            c = F.when(F.col("outcome") == "ok", F.parse_json(F.to_json(F.col("ipinfo")))).otherwise(
+                F.parse_json(F.concat(F.lit('"'), F.col("outcome"), F.lit('"'))))
         cols.append(c.alias(f.name))
     return df.withColumn("value", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
 
@@ -48,9 +57,9 @@ def to_store_rows(df: DataFrame, store: str, key: str, seq: str, fields: list[st
 
 
 def newest_per_key(rows: DataFrame) -> DataFrame:
-    """Last writer wins per (store, key_md5); ``max_by`` combines map-side."""
+    """Last writer wins per (store, key_md5); of equal ``seq`` the larger value; ``max_by`` combines map-side."""
     g = rows.groupBy("store", "key_md5").agg(
-        F.max_by(F.struct("key", "value", "seq"), F.col("seq")).alias("__wf_w"))
+        F.max_by(F.struct("key", "value", "seq"), F.struct("seq", "value", "key")).alias("__wf_w"))
     return g.select("store", "key_md5", "__wf_w.key", "__wf_w.value", "__wf_w.seq")
 
 
@@ -67,10 +76,10 @@ def write_version(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def lookup(keys: DataFrame, key: str, store: DataFrame, schema: str | T.StructType) -> DataFrame:
-    """Read records back by key digest and decode the JSON."""
+def lookup(keys: DataFrame, key: str, store: DataFrame, schema: str | T.StructType, name: str) -> DataFrame:
+    """Read records of the store ``name`` back by key digest and decode the JSON."""
     k = keys.withColumn("__wf_md5", F.md5(F.col(key).cast("string")))
-    s = store.select(F.col("key_md5").alias("__wf_md5"), "value")
+    s = store.where(F.col("store") == name).select(F.col("key_md5").alias("__wf_md5"), "value")
     j = k.join(s, "__wf_md5", "left")
     return j.withColumn("record", F.from_json("value", schema)).drop("__wf_md5")
 

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..operators import domains, enrich, links, seen
-from ..sources import fixtures
+from ..operators import attempts, domains, enrich, links, seen
 
 # --- fixed values: record field names and order of the four record kinds ---
 URL_FIELDS = ["url", "fqdn", "sld", "redirect", "pre_url", "next_url", "url_nums", "title",
@@ -26,11 +25,11 @@ IP_FIELDS = ["ip", "fqdn", "ipinfo", "status", "exception"]
 # --- end of fixed values ---
 
 
-def collector(fetch: Callable[[DataFrame], DataFrame], key: str,
+def collector(fetch: Callable[[DataFrame], DataFrame], key: str, name: str,
               store: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
     """Wrap a fetch step with the seen check; use as ``targets.transform(c)``."""
     def run(targets: DataFrame) -> DataFrame:
-        t = targets if store is None else seen.unseen(targets, store, key)
+        t = targets if store is None else seen.unseen(targets, store, key, name)
         return fetch(t)
     return run
 
@@ -39,14 +38,17 @@ def url_records(pages: DataFrame, rules: DataFrame, html_out: str | None = None,
                 screen_out: str | None = None, pre_url: DataFrame | None = None) -> DataFrame:
     """O70 for captured pages: one record per page, status 200.
 
-    ``pages(page_id, url, html)``; ``pre_url(url, pre_url)`` optionally gives
-    the first referrer (seeds have none).
+    ``pages(page_id, url, html)``, with ``final_url`` where the capture has
+    seen a redirect; ``pre_url(url, pre_url)`` optionally gives the first
+    referrer (seeds have none).
     """
-    refs = links.extract_refs(pages, keep=("page_id", "url"))
+    if "final_url" not in pages.columns:
+        pages = pages.withColumn("final_url", F.lit(None).cast("string"))
+    refs = links.extract_refs(pages, keep=("page_id", "url", "final_url"))
     b = links.bundle(refs)
     rec = b.select(
         "page_id", "url", U.url_host("url").alias("fqdn"),
-        F.when(fixtures.final_url_of("url") != F.col("url"), fixtures.final_url_of("url")).alias("redirect"),
+        F.when(F.col("final_url") != F.col("url"), F.col("final_url")).alias("redirect"),
         "next_url", "url_nums", "title",
         U.artifact_path(html_out, "url", "html").alias("html"),
         U.artifact_path(screen_out, "url", "png").alias("screenshot"),
@@ -60,22 +62,25 @@ def url_records(pages: DataFrame, rules: DataFrame, html_out: str | None = None,
     return rec.select("page_id", *URL_FIELDS)
 
 
-def failed_url_records(frontier: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def failed_url_records(frontier: DataFrame, rules: DataFrame, keep: tuple[str, ...] = (),
+                       html_out: str | None = None, screen_out: str | None = None,
+                       max_tries: int = attempts.MAX_TRIES) -> DataFrame:
     """O70 failure records (D6, D10): targets with no capture, status 400.
 
-    The record is keyed by the URL as last attempted (``www.`` fallback);
-    host, sld and paths come from the original URL.  ``keep`` columns of
-    ``frontier`` are carried along.
+    The record is keyed by the URL as last attempted (the ``www.`` fallback
+    after each of ``max_tries`` failures); host, sld and paths come from the
+    original URL.  ``keep`` columns of ``frontier`` are carried along.
     """
     rec = frontier.select(
         *keep,
-        U.www_fallback("node").alias("url"), U.url_host("node").alias("fqdn"),
+        U.www_fallback_times("node", F.lit(max_tries)).alias("url"), U.url_host("node").alias("fqdn"),
         F.lit(None).cast("string").alias("redirect"),
         F.array(F.col("parent")).alias("pre_url"),
         F.struct(*[F.array().cast("array<string>").alias(k) for k in ("a", "link", "script", "img")])
         .alias("next_url"),
         F.lit(0).alias("url_nums"), F.lit(None).cast("string").alias("title"),
-        F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("screenshot"),
+        U.artifact_path(html_out, "node", "html").alias("html"),
+        U.artifact_path(screen_out, "node", "png").alias("screenshot"),
         F.lit(400).alias("status"), F.lit(None).cast("string").alias("exception"))
     rec = domains.with_registrable_domain(rec, rules, "fqdn", "sld")
     return rec.select(*keep, *URL_FIELDS)
@@ -89,7 +94,7 @@ def dns_records(targets: DataFrame, answers: DataFrame, rules: DataFrame, rtypes
     def fetch(x: DataFrame) -> DataFrame:
         return enrich.dns_records_by_host(x, answers, rtypes)
 
-    rec = t.transform(collector(fetch, "fqdn", store))
+    rec = t.transform(collector(fetch, "fqdn", "dns", store))
     rec = domains.with_registrable_domain(rec, rules, "fqdn", "sld")
     return rec.select("fqdn", "sld", "records", F.lit(200).alias("status"),
                       F.lit(None).cast("string").alias("exception"))
@@ -98,25 +103,30 @@ def dns_records(targets: DataFrame, answers: DataFrame, rules: DataFrame, rtypes
 def dns_to_ip(answers: DataFrame, ip_store: DataFrame | None) -> DataFrame:
     """``(ip, fqdn)`` of A/AAAA answers whose ip is not in the IP store."""
     pairs = enrich.host_addresses(answers).distinct()
-    return pairs if ip_store is None else seen.unseen(pairs, ip_store, "ip")
+    return pairs if ip_store is None else seen.unseen(pairs, ip_store, "ip", "ip")
 
 
 def ip_records(candidates: DataFrame, blocks: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """``candidates(ip, fqdn, src, idx)``; first host to bring an ip wins."""
     first = seen.first_arrival(candidates.select("ip", "fqdn", "src", "idx"), "ip", ["src", "idx", "fqdn"])
-    first = first if store is None else seen.unseen(first, store, "ip")
+    first = first if store is None else seen.unseen(first, store, "ip", "ip")
     e = enrich.ip_enrich(first, blocks)
     info = F.when(F.col("outcome") == "ok", F.struct("cidr", "asn", "country"))
     return e.select("ip", "fqdn", "outcome", info.alias("ipinfo"), F.lit(200).alias("status"),
                     F.lit(None).cast("string").alias("exception"))
 
 
-def whois_records(targets: DataFrame, answers: DataFrame, rules: DataFrame) -> DataFrame:
-    """``targets(fqdn, idx)`` -> the record the store holds per sld."""
+def whois_records(targets: DataFrame, answers: DataFrame, rules: DataFrame,
+                  store: DataFrame | None = None) -> DataFrame:
+    """``targets(fqdn, idx)`` -> the record the store holds per sld.
+
+    Targets already in ``store`` are not looked up.  The winner of each sld is
+    chosen on the slim targets, so one row per sld meets the answers.
+    """
     t = seen.drop_sentinel(targets.select("fqdn", "idx"), "fqdn")
+    t = t if store is None else seen.unseen(t, store, "fqdn", "whois")
     t = domains.with_registrable_domain(t, rules, "fqdn", "sld")
-    collected = enrich.whois_collect(t, answers)
-    latest = enrich.whois_latest(collected)
+    latest = enrich.whois_collect(enrich.whois_latest(t), answers)
     return latest.select("fqdn", "sld", "whois", F.lit(200).alias("status"),
                          F.lit(None).cast("string").alias("exception"), "idx")
 

@@ -149,7 +149,7 @@ def url_nums(spark, sf):
 
 
 def _url_records(spark, sf):
-    return jobs.url_records(tables.pages(spark, sf), _rules(spark), HTML_OUT, SCREEN_OUT)
+    return jobs.url_records(FX.captures(spark, sf), _rules(spark), HTML_OUT, SCREEN_OUT)
 
 
 def record_json(spark, sf):
@@ -158,7 +158,9 @@ def record_json(spark, sf):
     return rec.select(
         "url", j("$.status").cast("int").alias("j_status"), j("$.url_nums").cast("int").alias("j_url_nums"),
         j("$.title").alias("j_title"), j("$.redirect").alias("j_redirect"), j("$.sld").alias("j_sld"),
-        F.col("value").contains('"exception":null').alias("keeps_nulls"))
+        F.col("value").contains('"exception":null').alias("keeps_nulls"),
+        F.size(F.from_json(j("$.next_url"), "array<array<string>>")).alias("j_lists"),
+        F.array_join(F.from_json(j("$.next_url[0]"), "array<string>"), " ").alias("j_next_a"))
 
 
 def www_fallback(spark, sf):
@@ -226,11 +228,11 @@ def _rich_targets(spark, sf):
 
 
 def unseen_targets(spark, sf):
-    return seen.unseen(_rich_targets(spark, sf), _url_store(spark, sf), "target")
+    return seen.unseen(_rich_targets(spark, sf), _url_store(spark, sf), "target", "url")
 
 
 def seen_targets(spark, sf):
-    return seen.already_seen(_rich_targets(spark, sf), _url_store(spark, sf), "target")
+    return seen.already_seen(_rich_targets(spark, sf), _url_store(spark, sf), "target", "url")
 
 
 def dns_probe_plan(spark, sf):
@@ -273,8 +275,8 @@ def whois_latest(spark, sf):
 
 
 def links_to_hosts(spark, sf):
-    e = links.page_edges(_refs_rich(spark, sf), kinds=tuple(H.LINK_KINDS))
-    return graph.links_to_hosts(e)
+    """Only followed (``a``) links hand their hosts on."""
+    return graph.links_to_hosts(links.page_edges(_refs_rich(spark, sf)))
 
 
 def _page_crawl(spark, sf):
@@ -317,8 +319,7 @@ def write_index(spark, sf):
 
 def seen_union(spark, sf):
     res = links.with_resolved(_refs_rich(spark, sf))
-    found = F.filter("__wf_res", lambda x: x.target.isNotNull())
-    t = links.explode_rows(res, [], F.transform(found, lambda x: x.target), ("url",))
+    t = links.explode_rows(res, [], links.kind_targets(F.col("__wf_res"), "a"), ("url",))  # O50: a links only
     p = tables.pages(spark, sf).select("url")
     return seen.seen_union(t, p)
 
@@ -354,7 +355,7 @@ def store_lookup(spark, sf):
     p = tables.pages(spark, sf)
     keys = p.select(F.col("url").alias("key")).unionByName(p.select(U.www_fallback("url").alias("key"))).distinct()
     schema = "url string, status int, url_nums int, title string"
-    got = S.lookup(keys, "key", st, schema)
+    got = S.lookup(keys, "key", st, schema, "url")
     return got.select("key", F.col("value").isNotNull().alias("hit"),
                       F.col("record.status").alias("j_status"), F.col("record.url_nums").alias("j_url_nums"))
 
@@ -391,17 +392,20 @@ def _crawl_records(spark, sf):
     """O57 + O44 + O70: a record per reached node (captured: 200, else 400), with its depth."""
     fr = _page_crawl(spark, sf)
     p = tables.pages(spark, sf)
-    ok = jobs.url_records(p, _rules(spark), HTML_OUT, SCREEN_OUT).drop("page_id")
+    first = fr.select(F.col("node").alias("url"), F.col("parent").alias("pre_url"))
+    ok = jobs.url_records(FX.captures(spark, sf), _rules(spark), HTML_OUT, SCREEN_OUT, pre_url=first).drop("page_id")
     ok = ok.join(fr.select(F.col("node").alias("url"), "depth"), "url").withColumn("node", F.col("url"))
     missing = fr.join(p.select(F.col("url").alias("node")), "node", "left_anti")
-    bad = jobs.failed_url_records(missing, _rules(spark), keep=("node", "depth"))
+    bad = jobs.failed_url_records(missing, _rules(spark), keep=("node", "depth"),
+                                  html_out=HTML_OUT, screen_out=SCREEN_OUT)
     return ok.unionByName(bad)
 
 
 def url_crawl(spark, sf):
     """Records for the whole crawl from the captured pages."""
     rec = _crawl_records(spark, sf)
-    return rec.select("url", "fqdn", "sld", F.col("pre_url")[0].alias("pre_url"), "url_nums", "status")
+    return rec.select("url", "fqdn", "sld", "redirect", F.col("pre_url")[0].alias("pre_url"), "url_nums", "title",
+                      "html", "screenshot", "status")
 
 
 def _url_writes(spark, sf):

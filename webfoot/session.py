@@ -1,20 +1,18 @@
-"""Session settings, shared-folder helpers and size-checked broadcast.
+"""Session settings and shared-folder helpers.
 
 Everything that needs durable scratch space (lineage cuts, written seed
 files, streaming checkpoints, store versions) goes below the folder the
 cluster names in ``spark.checkpoint.dir``.  Only when that is unset (local
-runs and tests) do we pick a folder of our own.
+runs and tests) do we pick a folder of our own; on any other master that is
+an error, since executors would write to disks nobody else can read.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings we want on every session we build ourselves.  A session handed to
 # us by a cluster keeps its own settings; the jobs do not depend on these.
@@ -59,6 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="webfoot-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -71,39 +71,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never localCheckpoint.
-
-    The frame is persisted first so the checkpoint write reuses the first
-    computation instead of running the plan a second time.
-    """
-    checkpoint_root(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
-def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small table of fixed values (rule lists, type lists).
-
-    Its size is fixed by the code, so joining it by broadcast is safe.
-    """
-    return spark.createDataFrame(rows, schema)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
-
-    Past the bound the plain frame is returned and the join shuffles (AQE
-    may still pick a broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+    """``df`` written once in the shared folder and read back (survives executor loss)."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,8 +30,16 @@ RICH_SNIPPETS_5 = [
     '<a href="HTTP://X.com/A">x</a><script src="/js/app.js" defer></script>',
     '<a href="#top">t</a><img src="data:image/gif;base64,R0lGOD">',
 ]
-# DNS record types asked for every target.
-RTYPES = ["A", "AAAA", "NS", "MX", "TXT", "ANY"]
+# DNS record types asked for every target (O38): all registered mnemonics.
+RTYPES = (
+    "TYPE0 A NS MD MF CNAME SOA MB MG MR NULL WKS PTR HINFO MINFO MX TXT RP AFSDB X25 ISDN RT NSAP "
+    "NSAP_PTR SIG KEY PX GPOS AAAA LOC NXT SRV NAPTR KX CERT A6 DNAME OPT APL DS SSHFP IPSECKEY RRSIG "
+    "NSEC DNSKEY DHCID NSEC3 NSEC3PARAM TLSA SMIMEA HIP NINFO CDS CDNSKEY OPENPGPKEY CSYNC ZONEMD SVCB "
+    "HTTPS SPF UNSPEC NID L32 L64 LP EUI48 EUI64 TKEY TSIG IXFR AXFR MAILB MAILA ANY URI CAA AVC AMTRELAY "
+    "RESINFO WALLET TA DLV "
+).split()
+# Types that the captured answers of F3 cover; for the rest the answer is missing.
+ANSWERED_TYPES = ["A", "AAAA", "NS", "MX", "TXT", "ANY"]
 # Public-suffix style rules for F6.
 SUFFIX_RULES = ["com", "net", "org", "uk", "co.uk", "*.ck", "!www.ck",
                 "example.com", "example.net", "example.org"]
@@ -71,7 +79,7 @@ def dns_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     Hosts whose md5 starts with 'f' have no rows at all (a missing answer).
     """
     hosts = page_hosts(tables.pages(spark, sf_dir)).where(~F.md5("fqdn").startswith("f"))
-    probes = hosts.select("fqdn", F.explode(F.array(*[F.lit(t) for t in RTYPES])).alias("rtype"))
+    probes = hosts.select("fqdn", F.explode(F.array(*[F.lit(t) for t in ANSWERED_TYPES])).alias("rtype"))
     h = F.md5(F.col("fqdn"))
     d0 = F.substring(F.md5(F.concat("fqdn", "rtype")), 1, 1)
     outcome = (F.when(d0.isin(*"01234567"), "answer").when(d0.isin("8", "9"), "no_answer")
@@ -89,7 +97,8 @@ def dns_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                name, F.lit(" 3600 IN NS ns2."), name))
         .when(F.col("rtype") == "MX", F.concat(name, F.lit(" 3600 IN MX 10 mail."), name))
         .when(F.col("rtype") == "TXT", F.concat(name, F.lit(' 300 IN TXT "v=spf1 -all"')))
-        .otherwise(F.concat(name, F.lit(' 300 IN HINFO "RFC8482" ""')))
+        # An ANY answer also holds an address line; it is no answer to an address query.
+        .otherwise(F.concat(name, F.lit(' 300 IN HINFO "RFC8482" ""\n'), name, F.lit(" 300 IN A 10.99."), x, F.lit("."), y))
     )
     return probes.select("fqdn", "rtype", outcome.alias("outcome"),
                          F.when(outcome == "answer", text).alias("rrset_text"))
@@ -158,6 +167,11 @@ def final_url_of(url) -> Column:
         .otherwise(u)
 
 
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured pages with the URL where the capture ended up."""
+    return tables.pages(spark, sf_dir).withColumn("final_url", final_url_of("url"))
+
+
 def final_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """where each captured URL ended up (http -> https)."""
     return tables.pages(spark, sf_dir).select("url", final_url_of("url").alias("final_url"))
@@ -167,7 +181,9 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: an attempt log from ``events``: one target URL per user, ok unless 'error'."""
     e = tables.events(spark, sf_dir)
     uid = F.col("user_id").cast("string")
-    target = F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("http://u"), uid, F.lit(".example.com/"))) \
+    target = F.when(F.col("user_id") % 6 == 0, F.concat(  # an inner URL that each failure rewrites again
+        F.lit("http://u"), uid, F.lit(".example.com/?u=https://b.example.net"))) \
+        .when(F.col("user_id") % 3 == 0, F.concat(F.lit("http://u"), uid, F.lit(".example.com/"))) \
         .otherwise(F.concat(F.lit("https://u"), uid, F.lit(".example.com/")))
     return e.select(target.alias("target"), F.col("event_id").alias("attempt_id"), "ts",
                     (F.col("event_type") != "error").alias("ok"))

@@ -10,31 +10,28 @@ TABLES = (
 ).split()
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
-
-    A file with a single row group is read by one task, so all the work of
-    the stage after it (HTML scanning above all) would run on one core.  Such
-    an input is small by construction, so a round-robin redistribution is
-    cheap; a large input already has many splits and is left untouched (no
-    shuffle is ever added at scale).
+SCAN_PARTITIONS = "webfoot.scan.partitions"
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan to as many partitions as the caller asks for, if the caller asks.
+
+    ``webfoot.scan.partitions`` is unset by default: a scan keeps its splits
+    and nothing is shuffled.  A caller who knows that a table is one small
+    file can set it, so that the CPU-heavy stage after the scan uses all cores.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    wanted = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted and not df.isStreaming else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    ``spread`` is for tables whose next stage is CPU-heavy per row (HTML
-    scanning of ``pages``, edge building from ``lineitem``).
+    ``spread`` marks tables whose next stage is CPU-heavy per row (HTML
+    scanning of ``pages``, edge building from ``lineitem``); see ``_spread``.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
+    return _spread(df) if spread else df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
