@@ -11,6 +11,8 @@ tag for the pattern.
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,11 +21,9 @@ LINK_KINDS = ["a", "link", "script", "img"]
 # tag -> attribute: a/@href, link/@href, script/@src, img/@src
 # --- end of fixed values ---
 
-# --- fixed values: entities decoded in attribute values and titles ('&amp;' last) ---
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
-            ("&amp;", "&")]
-# --- end of fixed values ---
+# Named character references of HTML 4, from the standard library's table (built by rule, not listed here).
+NAMED = {**{name: chr(point) for name, point in html.entities.name2codepoint.items()}, "apos": "'"}
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 WS = r"[ \t\n\r\f]"
 # Comments, and the bodies of script/style elements (their opening tag is kept
@@ -43,11 +43,25 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _reference(ref: Column) -> Column:
+    """The text of one reference; an unknown name or number stays as it is."""
+    number = F.when(ref.rlike("^&#[xX]"), F.conv(F.regexp_extract(ref, "([0-9a-fA-F]+);$", 1), 16, 10)) \
+        .otherwise(F.regexp_extract(ref, "([0-9]+);$", 1)).cast("bigint")
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    point = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    named = F.element_at(F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair]),
+                         F.regexp_extract(ref, "^&([A-Za-z0-9]+);$", 1))
+    return F.when(ref.startswith("&#"), F.when(valid, point).otherwise(ref)).otherwise(F.coalesce(named, ref))
+
+
 def decode_entities(c) -> Column:
-    out = _c(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Numeric and named character references decoded once; other texts are left alone."""
+    def decode(x: Column) -> Column:
+        between, found = F.split(x, REFERENCE, -1), F.regexp_extract_all(x, F.lit(REFERENCE), F.lit(0))
+        decoded = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size(found)), F.transform(found, _reference),
+                                                   lambda a, b: F.concat(a, b)), ""), F.element_at(between, -1))
+        return F.when(x.contains("&"), F.when(x.rlike(REFERENCE), decoded).otherwise(x)).otherwise(x)
+    return F.element_at(F.transform(F.array(_c(c)), decode), 1)  # the argument stands in the plan once
 
 
 def clean_html(c) -> Column:
