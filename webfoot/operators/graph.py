@@ -1,40 +1,39 @@
 """Link graph work.
 
 The traversal (O57) is a driver loop of DataFrame levels over tables written
-in the shared checkpoint folder (each write cuts lineage and survives
-executor loss):
-
-* edges are written once, bucketed by ``(src, salt)``.  ``salt`` is 0 except
-  for hub nodes (out-degree above ``hub_degree``), whose edges are spread
-  over ``salts`` buckets by a hash of ``dst``, so one very popular node does
-  not land in a single task;
-* every level is written bucketed by ``node`` with the same bucket count.
-
-Per level the frontier is expanded to ``(src, salt)`` (hubs get one row per
-salt), joined to the bucketed edges, reduced to the lowest parent per new
-node (a partial aggregate, so a node reached from many parents combines
-map-side), and anti-joined to every earlier level.  The anti-joins read
-tables bucketed on the join key, so they add no exchange: the aggregate is
-the one shuffle per level besides the (small) frontier.
+in the shared folder (each write cuts lineage and survives executor loss):
+
+* edges are written once, then again bucketed by ``(src, salt)``.  ``salt`` is
+  0 except for hub nodes, whose edges are spread by a hash of ``dst`` over as
+  many salts as their degree needs, so no task holds more than about
+  ``edges_per_task`` edges of one node;
+* every level is written once, as one partition folder of the result.
+
+Per level the frontier is expanded to ``(src, salt)``, joined to the bucketed
+edges (a small frontier is broadcast, a large one is shuffled to the buckets;
+the edges never move) and reduced to the lowest parent per node, map-side
+first.  Nodes seen before go: the seen nodes are kept as a few runs that are
+merged at doubling sizes, so the plan has a logarithmic number of scans
+however many levels there are.  A level of checked size meets them by a
+broadcast of the level, so that the seen nodes are not shuffled; a larger one
+by a shuffled anti-join.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 
 # --- fixed values: traversal defaults ---
-HUB_DEGREE = 1_000_000      # out-degree above which a node's edges are salted
-SALTS = 32                  # buckets a hub's edges are spread over
-MAX_BROADCAST_HUBS = 1_000_000
-EDGES_PER_BUCKET = 2_000_000  # about 100 MB of edge rows per bucket
-MAX_BUCKETS = 100_000         # Spark's default bucket limit
+EDGES_PER_TASK = 2_000_000  # about 100 MB of edge rows
+HUB_DEGREE = EDGES_PER_TASK  # out-degree above which a node's edges are salted
+MAX_BUCKETS = 100_000  # Spark's limit; beyond it a bucket holds more edges and its sort spills
+BROADCAST_LEVEL = 100_000  # rows of a level that are broadcast: some 10 MB
 # --- end of fixed values ---
 
 
@@ -57,86 +56,50 @@ def inlinks(edges: DataFrame) -> DataFrame:
     )
 
 
-def write_bucketed(df: DataFrame, cols: list[str], buckets: int, name: str,
-                   partitioned: bool = False) -> DataFrame:
-    """Write ``df`` as an external table bucketed by ``cols`` in the shared folder.
-
-    Unless ``df`` is already hash-partitioned by ``cols`` (``partitioned``), it
-    is repartitioned first so each bucket is written by one task (one file).
-    """
-    spark = df.sparkSession
-    table = f"wf_{name}_{uuid.uuid4().hex[:12]}"
-    data = df if partitioned else df.repartition(buckets, *cols)
-    (data.write.bucketBy(buckets, *cols)
-     .option("path", scratch_path(spark, name)).mode("errorifexists").saveAsTable(table))
-    return spark.table(table)
-
-
-def bucket_count(spark: SparkSession, n_edges: int) -> int:
-    """Buckets for the traversal tables: sized by the edge count, at least one per core."""
-    want = -(-n_edges // EDGES_PER_BUCKET)
-    return max(spark.sparkContext.defaultParallelism, min(want, MAX_BUCKETS))
-
-
-def _salt_edges(edges: DataFrame, hub_degree: int, salts: int) -> tuple[DataFrame, DataFrame, int]:
-    """Hub list written to the shared folder; edges with their salt; the edge count.
-
-    The edge and hub counts are observed while the hub list is written, so
-    they cost no extra job.
-    """
+def _bucketed_edges(edges: DataFrame, hubs: DataFrame, n_edges: int, edges_per_task: int) -> tuple[DataFrame, str]:
+    """The salted edges as an external table bucketed by ``(src, salt)``, and the table's name."""
     spark = edges.sparkSession
-    obs = Observation("wf_bfs_degrees")
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg")).observe(
-        obs, F.sum("deg").alias("edges"),
-        F.sum(F.when(F.col("deg") > hub_degree, 1).otherwise(0)).alias("hubs"))
-    path = scratch_path(spark, "bfs_hubs")
-    deg.where(F.col("deg") > hub_degree).select("src").write.mode("errorifexists").parquet(path)
-    stats = obs.get
-    n_edges, n_hubs = int(stats.get("edges") or 0), int(stats.get("hubs") or 0)
-    hubs = spark.read.schema("src string").parquet(path).withColumn("hub", F.lit(True))
-    if n_hubs <= MAX_BROADCAST_HUBS:  # size checked: at most n_edges / hub_degree rows
-        hubs = F.broadcast(hubs)
-    salted = edges.select("src", "dst").join(hubs, "src", "left").select(
-        "src",
-        F.when(F.col("hub"), F.pmod(F.xxhash64("dst"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-        .alias("salt"),
-        "dst")
-    return salted, hubs, n_edges
-
-
-def _levels(spark: SparkSession, e: DataFrame, hubs: DataFrame, seeds: DataFrame,
-            max_depth: int | None, already_seen: DataFrame | None, n: int, salts: int) -> list[DataFrame]:
-    start = seeds.select("node").where(F.col("node").isNotNull()).distinct()
-    if already_seen is not None:
-        start = start.join(already_seen.select("node"), "node", "left_anti")
-    level = write_bucketed(start.select("node", F.lit(0).alias("depth"),
-                                        F.lit(None).cast("string").alias("parent")), ["node"], n, "bfs_level")
-    levels = [level]
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        front = level.select(F.col("node").alias("src")).join(hubs, "src", "left").select(
-            "src", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                             .otherwise(F.array(F.lit(0)))).alias("salt"))
-        # The frontier is the hash-join build side: the edges stream through unsorted.
-        reached = (e.join(front.hint("shuffle_hash"), ["src", "salt"])
-                   .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent")))
-        for prev in levels:
-            reached = reached.join(prev.select("node").hint("shuffle_hash"), "node", "left_anti")
-        if already_seen is not None:
-            reached = reached.join(already_seen.select("node"), "node", "left_anti")
-        depth += 1
-        # The anti-joins leave ``reached`` hash-partitioned by node already.
-        level = write_bucketed(reached.select("node", F.lit(depth).alias("depth"), "parent"),
-                               ["node"], n, "bfs_level", partitioned=True)
-        if level.isEmpty():
-            break
-        levels.append(level)
-    return levels
+    buckets = max(1, min(-(-n_edges // edges_per_task), MAX_BUCKETS))
+    salted = edges.join(hubs, "src", "left").select(
+        "src", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("dst"), F.col("salts"))).otherwise(F.lit(0))
+        .cast("int").alias("salt"), "dst")
+    name = f"wf_bfs_{uuid.uuid4().hex[:12]}"
+    (salted.repartition(buckets, "src", "salt").write.bucketBy(buckets, "src", "salt")
+     .option("path", scratch_path(spark, "bfs_edges")).mode("errorifexists").saveAsTable(name))
+    return spark.table(name), name
+
+
+class _Seen:
+    """Nodes reached so far, as runs that are merged at doubling sizes."""
+
+    def __init__(self, spark: SparkSession, before: DataFrame | None):
+        self.spark, self.runs = spark, []
+        if before is not None:
+            table = cut_lineage(before.select("node"))
+            self.runs.append((table, table.count()))
+
+    def add(self, nodes: DataFrame, count: int) -> None:
+        self.runs.append((nodes.select("node"), count))
+        while len(self.runs) > 1 and self.runs[-2][1] <= 2 * self.runs[-1][1]:
+            (a, n), (b, m) = self.runs.pop(-2), self.runs.pop()
+            self.runs.append((cut_lineage(a.unionByName(b)), n + m))
+
+    def without(self, reached: DataFrame, count: int) -> DataFrame:
+        """Rows of ``reached`` whose node was not seen."""
+        if not self.runs:
+            return reached
+        seen = self.runs[0][0]
+        for run, _ in self.runs[1:]:
+            seen = seen.unionByName(run)
+        if count > BROADCAST_LEVEL:
+            return reached.join(seen, "node", "left_anti")
+        again = seen.join(F.broadcast(reached.select("node")), "node", "left_semi")
+        return reached.join(F.broadcast(again), "node", "left_anti")  # no more rows than ``reached``
 
 
 def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
-                   already_seen: DataFrame | None = None, buckets: int | None = None,
-                   hub_degree: int = HUB_DEGREE, salts: int = SALTS) -> DataFrame:
+                   already_seen: DataFrame | None = None, hub_degree: int = HUB_DEGREE,
+                   edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
     """Breadth-first levels from ``seeds(node)`` over ``edges(src, dst)``.
 
     Returns ``(node, depth, parent)``: every node reached within ``max_depth``
@@ -146,25 +109,30 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
     Stops when a level is empty or ``max_depth`` is reached.
     """
     spark: SparkSession = edges.sparkSession
-    # Two passes over the input (degrees, then the salted write): keep it cached.
-    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        salted, hubs, n_edges = _salt_edges(edges, hub_degree, salts)
-        n = buckets or bucket_count(spark, n_edges)
-        e = write_bucketed(salted, ["src", "salt"], n, "bfs_edges")
-    finally:
-        edges.unpersist()
-
-    # Shuffles inside the traversal use the bucket count, so the aggregate's
-    # output lines up with the bucketed level tables (restored at the end).
-    key = "spark.sql.shuffle.partitions"
-    saved = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        levels = _levels(spark, e, hubs, seeds, max_depth, already_seen, n, salts)
-    finally:
-        spark.conf.set(key, saved)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    edges = cut_lineage(edges.select("src", "dst"))
+    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    hubs = cut_lineage(degrees.where(F.col("deg") > hub_degree).select(
+        "src", F.ceil(F.col("deg") / edges_per_task).cast("int").alias("salts")))
+    table, name = _bucketed_edges(edges, hubs, edges.count(), edges_per_task)
+    base = scratch_path(spark, "bfs_levels")
+    seen = _Seen(spark, already_seen)
+
+    def write(rows: DataFrame, depth: int) -> tuple[DataFrame, int]:
+        rows.select("node", "parent").write.parquet(f"{base}/depth={depth}")
+        level = spark.read.schema("node string, parent string").parquet(f"{base}/depth={depth}")
+        return level, level.count()
+
+    start = seeds.select("node", F.lit(None).cast("string").alias("parent")).where("node is not null").distinct()
+    start = cut_lineage(start)
+    level, count = write(seen.without(start, start.count()), 0)
+    depth = 0
+    while count and (max_depth is None or depth < max_depth):
+        seen.add(level, count)
+        front = level.select(F.col("node").alias("src")).join(hubs, "src", "left").select("src", F.explode(
+            F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array(F.lit(0)))).alias("salt"))
+        reached = cut_lineage(table.join(front, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(
+            F.min("src").alias("parent")).where("node is not null"))
+        depth += 1
+        level, count = write(seen.without(reached, reached.count()), depth)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema("node string, parent string, depth int").parquet(base).select("node", "depth", "parent")
