@@ -1,4 +1,4 @@
-"""O54 attempt resolution against a direct simulation of the retry loop."""
+"""O54 attempt resolution against literal outcomes."""
 from collections import Counter
 
 from webfoot.operators import attempts as A
@@ -7,35 +7,28 @@ from webfoot.sources import fixtures as FX
 SF01 = "/root/testdata/sf0.01"
 
 
-def _simulate(log_rows, max_tries, page_timeout, idx):
-    by = {}
-    for r in sorted(log_rows, key=lambda r: (r.target, r.ts, r.attempt_id)):
-        by.setdefault(r.target, []).append(r)
-    out = {}
-    for target, rows in by.items():
-        url, timeout, total, last_err, status, tries = target, page_timeout, 0, None, 400, 0
-        for r in rows[:max_tries]:
-            tries += 1
-            total += timeout
-            if r.ok:
-                status = 200
-                break
-            last_err = r.attempt_id
-            timeout *= idx
-            if not url.startswith("https://www."):
-                url = url.replace("https://", "https://www.")
-        last_timeout = page_timeout * idx ** (tries - 1)
-        out[target] = (status, tries, url, last_timeout, total, last_err)
-    return out
-
-
-def test_against_simulation(spark):
-    log = FX.attempts(spark, SF01)
-    rows = log.collect()
-    for mt in (4, 2):
+CASES = {  # target: (outcomes of the tries in order, then for 4 and for 2 tries at most:
+    # status, tries, url, timeout of the last try, sum of the timeouts, last failed try)
+    "https://a.com/": ([1], (200, 1, "https://a.com/", 15000, 15000, None), (200, 1, "https://a.com/", 15000, 15000, None)),
+    "https://b.com/": ([0, 1], (200, 2, "https://www.b.com/", 30000, 45000, 0), (200, 2, "https://www.b.com/", 30000, 45000, 0)),
+    "http://c.com/?u=https://d.com": (
+        [0, 0, 0, 0, 1], (400, 4, "http://c.com/?u=https://www.www.www.www.d.com", 120000, 225000, 3),
+        (400, 2, "http://c.com/?u=https://www.www.d.com", 30000, 45000, 1)),
+    "https://e.com/?u=https://f.com": (
+        [0, 0, 1], (200, 3, "https://www.e.com/?u=https://www.f.com", 60000, 105000, 1),
+        (400, 2, "https://www.e.com/?u=https://www.f.com", 30000, 45000, 1)),
+    "https://www.g.com/": ([0, 0], (400, 2, "https://www.g.com/", 30000, 45000, 1), (400, 2, "https://www.g.com/", 30000, 45000, 1)),
+    "http://h.com/": ([0, 1], (200, 2, "http://h.com/", 30000, 45000, 0), (200, 2, "http://h.com/", 30000, 45000, 0)),
+}
+
+
+def test_expected_outcomes(spark):
+    rows = [(t, i, i, bool(ok)) for t, (tries, *_) in CASES.items() for i, ok in enumerate(tries)]
+    log = spark.createDataFrame(rows, "target string, attempt_id long, ts long, ok boolean")
+    for column, most in ((1, 4), (2, 2)):
         got = {r.target: (r.status, r.tries, r.url, r.timeout_ms, r.total_timeout_ms, r.last_error_id)
-               for r in A.resolve_attempts(log, max_tries=mt).collect()}
-        assert got == _simulate(rows, mt, A.PAGE_TIMEOUT_MS, A.TIMEOUT_INDEX)
+               for r in A.resolve_attempts(log, max_tries=most).collect()}
+        assert got == {t: case[column] for t, case in CASES.items()}
 
 
 def test_fixture_facts(spark):

@@ -34,7 +34,8 @@ def test_ip_prefix_match_against_brute_force(spark):
     blocks = [(ipaddress.ip_network(r.cidr), r.cidr) for r in FX.ip_blocks(spark, SF01).collect()]
     addrs = [r.ip for r in enrich.host_addresses(FX.dns_answers(spark, SF01)).collect()]
     addrs += ["10.208.0.1", "10.255.255.255", "9.0.0.1", "10.1.2.300", "fd00::1", "FD00::D123", "fd00::d123",
-              "fe80::1", "::", "1::2::3", "fd00:0:0:0:0:0:0:a001", "not an ip", "::ffff:zz"]
+              "fe80::1", "::", "1::2::3", "fd00:0:0:0:0:0:0:a001", "not an ip", "::ffff:zz",
+              "::ffff:10.1.2.3", "fd00::1.2.3.4", "1.2.3", "::1.2.3.400", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8:9"]
     df = spark.createDataFrame([(a,) for a in addrs], "ip string")
     got = {r.ip: (r.outcome, r.cidr) for r in enrich.ip_enrich(df, FX.ip_blocks(spark, SF01)).collect()}
     for a in addrs:
@@ -50,6 +51,33 @@ def test_ip_prefix_match_against_brute_force(spark):
             assert got[a] == ("ok", max(hits, key=lambda h: h[0].prefixlen)[1]), a
 
 
+def test_two_origins_of_one_prefix_are_decided(spark):
+    blocks = [("10.0.0.0/8", "AS2", "b"), ("10.0.0.0/8", "AS1", "z"), ("10.0.0.0/33", "bad", "x"), ("10.0.0/8", "bad", "x"), ("fd00::/8", "AS6", "s")]
+    df = spark.createDataFrame([("10.9.9.9",), ("fd00::1",)], "ip string")
+    b = spark.createDataFrame(blocks, "cidr string, asn string, country string").repartition(3)
+    assert {r.ip: r.asn for r in enrich.ip_enrich(df, b).collect()} == {"10.9.9.9": "AS2", "fd00::1": "AS6"}
+    from webfoot.operators.prefixjoin import bad_blocks
+    assert bad_blocks(b).count() == 2
+
+
+def test_prefix_join_without_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = enrich.ip_enrich(spark.createDataFrame([("10.16.0.9",), ("x",)], "ip string"), FX.ip_blocks(spark, SF01))
+        assert {r.ip: r.outcome for r in rows.collect()} == {"10.16.0.9": "ok", "x": "unknown"}
+    finally:
+        spark.conf.set(key, saved)
+
+
+def test_an_address_line_of_another_query_is_no_address(spark):
+    ans = spark.createDataFrame([("h", "ANY", "answer", "h. 300 IN A 10.0.0.1"), ("h", "A", "answer", "h. 300 IN A 10.0.0.2\nh. 300 IN CNAME g.")],
+                                "fqdn string, rtype string, outcome string, rrset_text string")
+    assert [tuple(r) for r in enrich.host_addresses(ans).collect()] == [("10.0.0.2", "h")]
+    assert [tuple(r) for r in enrich.address_lists(ans.unionByName(ans)).collect()] == [("h", ["10.0.0.2"])]
+
+
 def test_ip_enrich_plans_no_nested_loop(spark):
     df = Q.ip_enrich(spark, SF01)
     plan = df._jdf.queryExecution().executedPlan().toString()

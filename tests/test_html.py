@@ -63,3 +63,10 @@ def test_resolution_in_rows_matches_urljoin(spark):
 def test_title_entities(spark):
     df = spark.createDataFrame([("<title>x&amp;lt;y &quot;q&quot; &#39;s&#39;\t\n z</title>",)], "h string")
     assert df.select(H.page_title("h")).first()[0] == "x&lt;y \"q\" 's' z"
+
+
+def test_references_decoded_once(spark):
+    cases = {"&eacute;&Eacute;&euro;": "éÉ€", "&#233;&#xE9;&#x1F600;": "éé😀", "&amp;eacute;": "&eacute;", "&nosuch; &amp": "&nosuch; &amp",
+             "&#0;&#55296;&#x110000;": "&#0;&#55296;&#x110000;", "a&b;c": "a&b;c", "plain": "plain", "": "", "&apos;&quot;": "'\""}
+    df = spark.createDataFrame([(c,) for c in cases], "h string")
+    assert {r.h: r.d for r in df.select("h", H.decode_entities("h").alias("d")).collect()} == cases

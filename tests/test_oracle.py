@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from webfoot.plans import oracle, queries
 from webfoot.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = queries.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -36,3 +36,37 @@ def test_page_stream_back_pressure(spark):
          .format("memory").queryName("wf_bp_test").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("wf_bp_test").first().n == 50
+
+
+def test_scans_keep_their_splits_unless_asked(spark):
+    from webfoot.sources import tables
+    path = "/root/testdata/sf0.001"
+    assert "Exchange" not in tables.pages(spark, path)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(tables.SCAN_PARTITIONS, "5")
+    try:
+        assert "RoundRobinPartitioning(5)" in tables.pages(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(tables.SCAN_PARTITIONS)
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    from webfoot import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())

@@ -33,10 +33,36 @@ def test_json_keeps_nulls_and_round_trips(spark):
     assert j == '{"url":"u","title":null,"n":3}'
     st = S.to_store_rows(df, "url", "url", "n", ["url", "title", "n"])
     got = S.lookup(spark.createDataFrame([("u",), ("v",)], "k string"), "k", st,
-                   "url string, title string, n int").orderBy("k").collect()
+                   "url string, title string, n int", "url").orderBy("k").collect()
     assert got[0].record.n == 3 and got[0].record.title is None and got[1].record is None
 
 
+def test_same_key_in_two_stores(spark):
+    """A WHOIS key neither hides a DNS target nor answers a lookup in the URL store."""
+    from webfoot.operators import seen
+    df = spark.createDataFrame([("example.com", 1)], "k string, n int")
+    st = S.to_store_rows(df, "whois", "k", "n", ["k", "n"])
+    targets = spark.createDataFrame([("example.com",)], "k string")
+    assert seen.unseen(targets, st, "k", "dns").count() == 1 and seen.unseen(targets, st, "k", "whois").count() == 0
+    assert seen.already_seen(targets, st, "k", "whois").count() == 1 and seen.already_seen(targets, st, "k", "url").count() == 0
+    assert S.lookup(targets, "k", st, "k string, n int", "url").first().record is None
+
+
+def test_equal_write_order_is_decided(spark):
+    rows = spark.createDataFrame([("s", "d", "k", v, 5) for v in ("a", "c", "b")], S.STORE_SCHEMA)
+    assert [r.value for r in S.newest_per_key(rows.repartition(3)).collect()] == ["c"]
+
+
+def test_json_shapes(spark):
+    df = spark.sql("select 'u' url, named_struct('a', array('x'), 'link', array(), 'script', array('y','z'), 'img', array()) next_url")
+    assert S.record_json(df, ["url", "next_url"]).first().value == '{"url":"u","next_url":[["x"],[],["y","z"],[]]}'
+    ip = spark.sql("select * from values ('1.1.1.1', 'ok', named_struct('cidr', 'c', 'asn', 'a')), "
+                   "('2.2.2.2', 'failed', null) t(ip, outcome, ipinfo)")
+    got = {r.ip: r.value for r in S.record_json(ip, ["ip", "ipinfo"]).collect()}
+    import json
+    assert json.loads(got["1.1.1.1"])["ipinfo"] == {"cidr": "c", "asn": "a"} and json.loads(got["2.2.2.2"])["ipinfo"] == "failed"
+
+
 def test_write_index_matches_enumeration(spark):
     w = _writes(spark)
     idx = S.write_index(w, "s", "key", ["ts", "event_id"])

@@ -54,8 +54,8 @@ def test_host_digest_and_fixes(spark):
         assert r.h == urlparse(r.u).netloc
         assert r.k == hashlib.md5(r.u.encode()).hexdigest()
         assert r.f == (r.u if "://" in r.u else "http://" + r.u)
-        exp = r.u if r.u.startswith("https://www.") else r.u.replace("https://", "https://www.")
-        assert r.w == exp
+    assert [r.w for r in out] == ["https://www.u:p@H.Example.com:81/x", "h_x/y", "//cdn.example.net/a", "http://a b.com/c d",
+                                  "mailto:x@y", "https://www.ads-track.example.org"]
 
 
 def test_www_fallback_replaces_every_occurrence(spark):

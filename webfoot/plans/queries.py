@@ -176,7 +176,7 @@ def _attempt_resolution(max_tries):
 
 
 def _targets(spark, sf):
-    return FX.page_hosts(tables.pages(spark, sf))
+    return seeds.host_seeds(FX.page_hosts(tables.pages(spark, sf)), "fqdn")
 
 
 def dns_outcomes(spark, sf):

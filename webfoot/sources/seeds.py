@@ -53,7 +53,7 @@ def url_seeds(urls: DataFrame, url: str = "url") -> DataFrame:
 
 def host_seeds(df: DataFrame, host: str = "host") -> DataFrame:
     """Single-column seed hosts for DNS and WHOIS."""
-    return df.select(F.col(host).alias("fqdn"))
+    return df.select(F.col(host).alias("fqdn")).where(F.col("fqdn").isNotNull())
 
 
 def ip_seeds(df: DataFrame) -> DataFrame:
