@@ -12,8 +12,8 @@ shared checkpoint folder.
   watermark the de-duplication state holds every key ever seen (the
   reference's store never expires keys either); it lives in the state store,
   which spills to disk and survives restarts through the checkpoint.
-* ``stream_chain``: captures -> hosts -> DNS -> IP, each store upserted per
-  micro-batch inside one ``foreachBatch`` (O65).
+* ``stream_chain``: captures -> hosts -> DNS -> IP, each store extended by its
+  new keys per micro-batch inside one ``foreachBatch`` (O65).
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def page_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) ->
     root = sf_dir.rstrip("/")
     return (spark.readStream.schema(PAGES_SCHEMA)
             .option("maxFilesPerTrigger", files_per_trigger)
-            .option("basePath", root)
+            .option("basePath", root).option("recursiveFileLookup", "true")
             .parquet(f"{root}/{{pages}}.parquet"))
 
 
@@ -87,12 +87,14 @@ def stream_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class _Stores:
-    """DNS and IP stores of a chained stream, one version per micro-batch.
-
-    Versions live in ``{base}/{kind}/batch={id}``.  A batch reads the newest
-    version older than itself and writes its own with overwrite, so a batch
-    replayed after a failure (same id) recomputes exactly the same version,
-    and a restarted driver finds the stores where the last run left them.
+    """DNS and IP stores of a chained stream, one folder of new records per micro-batch.
+
+    ``{base}/{kind}/batch={id}`` holds only the keys that batch ``id`` brought:
+    the seen check lets no key in twice, so nothing is ever rewritten and the
+    store is all folders together.  A batch sees the folders before its own
+    and writes its own with overwrite, so a batch replayed after a failure
+    (same id) writes exactly the same rows, and a restarted driver finds the
+    stores where the last run left them.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, base: str):
@@ -100,36 +102,34 @@ class _Stores:
         self.answers = FX.dns_answers(spark, sf_dir)
         self.blocks = FX.ip_blocks(spark, sf_dir)
         self.rules = FX.suffix_rules(spark)
-        # An empty version -1 (written only if absent), so every read finds the folders.
+        # An empty folder -1 (written only if absent), so every read finds the store.
         empty = spark.createDataFrame([], S.STORE_SCHEMA)
         for kind in ("dns", "ip"):
             empty.write.mode("ignore").parquet(f"{self.base}/{kind}/batch=-1")
 
     def version(self, kind: str, before: int | None = None) -> DataFrame:
-        """The newest stored version of ``kind`` (older than batch ``before`` if given)."""
-        allv = self.spark.read.schema(S.STORE_SCHEMA + ", batch bigint").parquet(f"{self.base}/{kind}")
-        if before is not None:
-            allv = allv.where(F.col("batch") < before)
-        last = allv.agg(F.max("batch")).first()[0]
-        return allv.where(F.col("batch") == last).drop("batch")
+        """The store of ``kind`` (as it was before batch ``before`` if given); the folders are pruned, no job runs."""
+        rows = self.spark.read.schema(S.STORE_SCHEMA + ", batch bigint").parquet(f"{self.base}/{kind}")
+        return (rows if before is None else rows.where(F.col("batch") < before)).drop("batch")
 
-    def _write(self, kind: str, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.base}/{kind}/batch={batch_id}")
+    def _write(self, kind: str, df: DataFrame, batch_id: int) -> DataFrame:
+        path = f"{self.base}/{kind}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(S.STORE_SCHEMA).parquet(path)
 
     def batch(self, pages: DataFrame, batch_id: int) -> None:
         dns_store, ip_store = self.version("dns", batch_id), self.version("ip", batch_id)
         hosts = pages.select(U.url_host("url").alias("fqdn")).where(F.col("fqdn") != "")
         dns = jobs.dns_records(hosts, self.answers, self.rules, FX.RTYPES, store=dns_store)
         dns = dns.withColumn("seq", F.lit(batch_id).cast("bigint"))
-        # Only the hosts new in this batch bring addresses.
-        answers = self.answers.join(dns.select("fqdn"), "fqdn", "left_semi")
+        new = self._write("dns", S.newest_per_key(S.to_store_rows(dns, "dns", "fqdn", "seq", jobs.DNS_FIELDS)), batch_id)
+        # Only the hosts new in this batch, read back, bring addresses.
+        answers = self.answers.join(new.select(F.col("key").alias("fqdn")), "fqdn", "left_semi")
         pairs = jobs.dns_to_ip(answers, ip_store)
         cand = pairs.select("ip", "fqdn", F.lit(1).alias("src"), F.lit(batch_id).alias("idx"))
         ipr = jobs.ip_records(cand, self.blocks, store=ip_store).withColumn("seq", F.lit(batch_id).cast("bigint"))
-        dns_rows = S.to_store_rows(dns, "dns", "fqdn", "seq", jobs.DNS_FIELDS)
         ip_rows = S.to_store_rows(ipr, "ip", "ip", "seq", jobs.IP_FIELDS + ["outcome"])
-        self._write("dns", S.upsert(dns_store, dns_rows), batch_id)
-        self._write("ip", S.upsert(ip_store, ip_rows), batch_id)
+        self._write("ip", S.newest_per_key(ip_rows), batch_id)
 
 
 def stream_chain(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
