@@ -79,6 +79,22 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM s QUALIFY rank <= 10
 """
 
+_OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^ \t\n\v\f\r]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.node = d.doc_id
+"""
+
 _OP6 = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -152,4 +168,4 @@ FROM m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op4_top_k": _OP4, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}
+    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op4_top_k": _OP4, "op5_near_duplicates": _OP5, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}
