@@ -17,10 +17,11 @@ until nothing collides.  Only entities with an attempt above 0 (a handful) are
 joined back, by the digest of the texts that hold them.
 
 Only DataFrame functions are used.  A text without a digit, ``@``, title or
-secret's keyword is never searched by the long pattern.
+secret's prefix is never searched by the long pattern.
 
-Scale: documents are read twice and not shuffled; the entity table holds one
-row per distinct entity.  An entity in a third of all rows is one row after
+Scale: documents are read twice and their texts are not shuffled, only digests
+and entities of the texts that hold any; the entity table holds one row per
+distinct entity.  An entity in a third of all rows is one row after
 partial aggregation.
 
 Defined cases: null texts stay null, empty texts empty, both with no entity;
@@ -51,10 +52,11 @@ SECRET_NAMES = "password|passwd|pwd|secret|token|api_key|api-key|apikey"
 
 _L = r"\p{L}\p{N}"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
-_TITLE = rf"(?<![{_L}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.?"
+_INITIALS = "MSHFDPгдκ"
+_TITLE = rf"(?=[{_INITIALS}])(?<![{_L}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.?"
 PATTERNS = [
     rf"(?<![{_L}._%+-])[{_L}._%+-]++@[{_L}-]+(?:\.[{_L}-]+)+",
-    rf"(?<=(?i:{SECRET_NAMES})[ ]{{0,3}}[=:][ ]{{0,3}}[\"']{{0,1}})(?=[^\s\"']*\d)[A-Za-z0-9+/_.~=-]{{5,}}[A-Za-z0-9+/_~=-]",
+    rf"(?<=[=: \"'])(?<=(?i:{SECRET_NAMES})[ ]{{0,3}}[=:][ ]{{0,3}}[\"']{{0,1}})(?=[^\s\"']*\d)[A-Za-z0-9+/_.~=-]{{5,}}[A-Za-z0-9+/_~=-]",
     rf"(?<![{_L}])(?:AKIA|ASIA)[A-Z0-9]{{12,28}}(?![{_L}])",
     rf"(?<![{_L}])gh[pousr]_[A-Za-z0-9]{{30,60}}(?![{_L}])",
     r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
@@ -67,8 +69,10 @@ PATTERNS = [
     rf"{_TITLE} {_NAME}(?: {_NAME})?",
 ]
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS)
-#: Without any of these a text holds no entity.
-HINT = rf"[0-9@]|(?i:{SECRET_NAMES})|{_TITLE} \p{{Lu}}"
+#: Without any of these a text holds no entity (a secret after a keyword has a digit).  The look-ahead
+#: spares the alternatives at nearly all places.
+HINT = (rf"(?=[0-9@Ag{_INITIALS}])(?:[0-9@]|(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}|A[KS]IA[A-Z]{{12}}"
+        r"|gh[pousr]_[A-Za-z]{30})")
 
 _LATIN = "abcdefghijklmnopqrstuvwxyz"
 _CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
@@ -213,23 +217,24 @@ def masked_name(value: Column, attempt: Column, key: str) -> Column:
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """The surrogate of one mention."""
-    canon = canonical(kind, value)
-    stream = _stream(key, kind, canon, attempt.cast("string"))
     local, domain = F.regexp_extract(value, "^([^@]*)", 1), F.regexp_extract(value, r"@(.*)\.[^.]*$", 1)
     ending = F.regexp_extract(value, r"(\.[^.]*)$", 1)
     def email(s: Column) -> Column:
-        return F.concat(masked(local, s), F.lit("@"), let(_stream(key, F.lit("domain"), F.lower(domain)),
-                                                          lambda d: masked(domain, d)), ending)
+        return F.concat(let(local, lambda x: masked(x, s)), F.lit("@"), let(domain, lambda x: let(
+            _stream(key, F.lit("domain"), F.lower(x)), lambda d: masked(x, d))), ending)
     def ip(s: Column) -> Column:
         return F.concat_ws(".", *[(_byte(s, F.lit(i)) % 254 + 1).cast("string") for i in range(1, 5)])
     def secret(s: Column) -> Column:
         head = F.regexp_extract(value, r"^((?:AKIA|ASIA|gh[pousr]_)?)", 1)
         rest = F.substring(value, F.length(head) + 1, F.length(value))
-        return F.concat(head, F.when(rest.rlike("^[0-9a-f]+$"), masked_hex(rest, s)).otherwise(masked(rest, s)))
-    return let(stream, lambda s: F.when(kind == "email", email(s)).when(kind == "phone", masked_digits(value, s))
-               .when(kind == "card", masked_card(value, canon, s)).when(kind == "ip", ip(s))
-               .when(kind == "name", masked_name(value, attempt, key)).when(kind == "number", masked(value, s))
-               .otherwise(secret(s)))
+        return F.concat(head, let(rest, lambda x: F.when(x.rlike("^[0-9a-f]+$"), masked_hex(x, s)).otherwise(masked(x, s))))
+    def by_kind(canon: Column) -> Column:
+        return let(_stream(key, kind, canon, attempt.cast("string")), lambda s: (
+            F.when(kind == "email", email(s)).when(kind == "phone", masked_digits(value, s))
+            .when(kind == "card", masked_card(value, canon, s)).when(kind == "ip", ip(s))
+            .when(kind == "name", masked_name(value, attempt, key)).when(kind == "number", masked(value, s))
+            .otherwise(secret(s))))
+    return let(canonical(kind, value), by_kind)
 
 
 def mentions(text: Column) -> Column:
@@ -238,10 +243,17 @@ def mentions(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def entity_table(docs: DataFrame, text_col: str) -> DataFrame:
+def found_entities(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(digest, found)`` of each distinct text with entities; their order is the text's."""
+    text = col(text_col).cast("string")
+    return (docs.select(text.alias("text")).where(F.col("text").rlike(HINT)).withColumn("found", mentions(F.col("text")))
+            .where(F.size("found") > 0).select(F.sha2("text", 256).alias("digest"), "found")
+            .groupBy("digest").agg(F.first("found").alias("found")))
+
+
+def entity_table(found: DataFrame) -> DataFrame:
     """``(kind, canon, value)``: each distinct entity with one of its spellings."""
-    value = F.explode(mentions(col(text_col).cast("string"))).alias("value")
-    return (docs.select(value).withColumn("kind", kind_of(F.col("value")))
+    return (found.select(F.explode("found").alias("value")).withColumn("kind", kind_of(F.col("value")))
             .withColumn("canon", canonical(F.col("kind"), F.col("value")))
             .groupBy("kind", "canon").agg(F.min("value").alias("value")))
 
@@ -250,8 +262,8 @@ def settle(entities: DataFrame, key: str) -> DataFrame:
     """``(kind, canon, attempt)`` of the entities that need an attempt above 0."""
     tried = materialize(entities.withColumn("attempt", F.lit(0)), "entities")
     for _ in range(MAX_ATTEMPTS):
-        current = tried.withColumn("fake", canonical(F.col("kind"), surrogate(
-            F.col("kind"), F.col("value"), F.col("attempt"), key)))
+        current = materialize(tried.withColumn("fake", canonical(F.col("kind"), surrogate(
+            F.col("kind"), F.col("value"), F.col("attempt"), key))), "fakes")  # planned and computed once
         first = current.groupBy("kind", "fake").agg(
             F.min_by("canon", F.struct("attempt", "canon")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = current.join(first, ["kind", "fake"]).where("canon <> first").select("kind", "canon")
@@ -273,14 +285,14 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT
     """
     added = ["n_entities", "kinds"] if add else []
     kept = without(docs, added)
-    fixes = materialize(settle(entity_table(docs, text_col), key), "fixes")
+    found = materialize(found_entities(docs, text_col), "found")
+    fixes = materialize(settle(entity_table(found), key), "fixes")
     rows = docs.select(*map(col, kept)).withColumn("_wf_text", col(text_col).cast("string")).withColumn(
         "_wf_found", mentions(F.col("_wf_text")))
     attempts = F.transform("_wf_found", lambda v: F.lit(0))
     if not fixes.isEmpty():
         digest = F.sha2(F.col("_wf_text"), 256)
-        held = rows.where(F.size("_wf_found") > 0).select(digest.alias("_wf_key"), "_wf_found").distinct()
-        places = (held.select("_wf_key", F.posexplode("_wf_found").alias("place", "value"))
+        places = (found.select(F.col("digest").alias("_wf_key"), F.posexplode("found").alias("place", "value"))
                   .withColumn("kind", kind_of(F.col("value"))).withColumn("canon", canonical(F.col("kind"), F.col("value")))
                   .join(fixes, ["kind", "canon"]).groupBy("_wf_key")
                   .agg(F.map_from_entries(F.collect_list(F.struct("place", "attempt"))).alias("_wf_fix")))
@@ -291,8 +303,8 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT
         attempts = F.transform("_wf_found", lambda v, i: F.coalesce(F.element_at("_wf_fix", i), F.lit(0)))
     fakes = F.zip_with("_wf_found", attempts, lambda v, n: let(kind_of(v), lambda k: surrogate(k, v, n, key)))
     between = F.split("_wf_text", ENTITY, -1)
-    joined = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size("_wf_found")), fakes, lambda a, b: F.concat(a, b)), ""),
-                      F.element_at(between, -1))
+    joined = let(between, lambda parts: F.concat(F.array_join(F.zip_with(
+        F.slice(parts, 1, F.size("_wf_found")), fakes, lambda a, b: F.concat(a, b)), ""), F.element_at(parts, -1)))
     text = F.when(F.size("_wf_found") > 0, joined).otherwise(F.col("_wf_text"))
     out = {text_col: text}
     if add:
