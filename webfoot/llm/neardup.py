@@ -6,8 +6,10 @@ links connect, and its smallest id stands for it.
 
 1. One row-local pass gives each document its set size, a 128-bit fingerprint
    of the set, band keys of ``BANDS`` x ``ROWS`` MinHash values, and an odd
-   sketch: ``SAMPLES`` MinHash values folded into a parity bitmap.  The
-   population count of two sketches' XOR estimates a high similarity closely.
+   sketch: the MinHash samples of one permutation cut into ``BINS`` ranges (the
+   smallest hash of each) folded into a parity bitmap.  The population count
+   of two sketches' XOR estimates the samples' difference and so a high
+   similarity closely; for sets much smaller than ``BINS`` almost exactly.
 2. Documents with equal sets form a class; only its smallest id goes on, so
    thousands of copies cost one row.
 3. Representatives that share a band key form a bucket.  Every bucket names a
@@ -17,11 +19,14 @@ links connect, and its smallest id stands for it.
    candidate, then those that would still join two components.
 4. What pivots leave open is decided exactly: in buckets that still hold more
    than one component, members of different components are compared by sketch,
-   in blocks of bounded size, and what passes is confirmed too.  Pairs inside
-   a component need no further look.
+   in blocks of bounded size.  Members with a promising partner come back with
+   their full sets, again in blocks, and are confirmed inside the task: it
+   returns only links that join components, never pairs.  Pairs inside a
+   component need no further look.
 
 The bands miss a pair of similarity 0.8 with a probability below 1e-7.  The
-sketch filter's threshold lies more than four standard deviations under 0.8.
+sketch filter's threshold lies more than four standard deviations (of 0.008)
+under 0.8, so only pairs near the threshold are left to confirm.
 
 Scale: the text is shuffled only for candidates, buckets hold ids and 64-bit
 keys, a hot bucket or class is pre-aggregated and joined (not grouped) so that
@@ -38,9 +43,8 @@ other columns are not read.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -50,16 +54,18 @@ from webfoot.llm.common import col, discard, materialize, text_slices
 
 PERCENT = 80
 BANDS, ROWS = 32, 4
-SAMPLES = 256  # MinHash values in a sketch, those of the bands among them
-BITS = 512
-MARGIN = 0.14  # below the threshold, for the sketch's estimate
+BINS = 4096  # MinHash samples in a sketch at most, a power of two
+BITS = 4096
+MARGIN = 0.036  # below the threshold, for the sketch's estimate
+SLACK_BITS = 3  # for sets of a few dozen, where one lost sample weighs more than the margin
+GLANCE_WORDS = 8  # 64-bit words of a sketch that are compared first
 BLOCK = 2048  # members of a bucket compared at once
+BLOCK_SHINGLES = 500_000  # and shingles of theirs: 4 MB of sets
 MEMO = 300_000
 BROADCAST_IDS = 500_000  # ids of 8 bytes: 4 MB
 
-_WORDS = BITS // 64
 _rng = np.random.default_rng(20240101)
-_FACTORS = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _rng.integers(0, 2**63, (8, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -97,8 +103,8 @@ class Shingler:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
-    """``SAMPLES`` MinHash values."""
-    best = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
+    """``BANDS * ROWS`` MinHash values."""
+    best = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 512):
         part = _FACTORS[:, None] * shingles[None, at:at + 512]
         np.minimum(best, part.min(axis=1), out=best)
@@ -106,48 +112,61 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(best: np.ndarray) -> np.ndarray:
-    rows = best[:BANDS * ROWS].reshape(BANDS, ROWS)
+    rows = best.reshape(BANDS, ROWS)
     h = np.arange(1, BANDS + 1, dtype=np.uint64) * _M2
     for i in range(ROWS):
         h = _mix(h ^ rows[:, i]) + _PLACES[7, i]
     return h.view(np.int64)
 
 
-def odd_sketch(best: np.ndarray) -> np.ndarray:
-    """Parity of the samples that fall on each bit."""
-    place = _mix(best + (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32))) % np.uint64(BITS)
+def odd_sketch(shingles: np.ndarray) -> tuple[np.ndarray, int]:
+    """Parity of the samples that fall on each bit, and the number of samples.
+
+    The hashes are sorted, so the smallest of each range is where the range begins.
+    """
+    ranges = shingles >> np.uint64(64 - (BINS - 1).bit_length())
+    samples = shingles[np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))]
+    place = _mix(samples ^ _M1) % np.uint64(BITS)
     odd = (np.bincount(place.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
+    return np.packbits(odd).view(np.int64), len(samples)
 
 
-def most_differing_bits(similarity: float) -> int:
-    """XOR population count of two sketches whose estimated similarity is just ``similarity``."""
-    return int(BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - similarity) / BITS)))
+def most_differing_bits(filled, similarity, exp):
+    """XOR population count to expect of two sketches of ``filled`` samples together at ``similarity``.
+
+    A range's samples agree when the smallest hash of the union is shared, which
+    has the similarity's probability; the union fills ``BINS * (1 - x ** (2 / (1 + similarity)))``
+    ranges where ``x`` is the share of ranges that a set leaves empty.
+    """
+    empty = 1 - filled / (2 * BINS)
+    difference = filled - 2 * BINS * similarity * (1 - empty ** (2 / (1 + similarity)))
+    return BITS / 2 * (1 - exp(-2.0 * difference / BITS)) + SLACK_BITS
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """``(doc_id, n, f1, f2, bands, sketch)`` for each row."""
+    """``(doc_id, n, f1, f2, bands, sketch, filled)`` for each row."""
     def run(batches):
         shingle = Shingler(k)
         for batch, texts in text_slices(batches, 1):
-            n, f1, f2, bands, sketches = [], [], [], [], []
+            n, f1, f2, bands, sketches, filled = [], [], [], [], [], []
             for raw in texts:
                 s = shingle(raw)
                 n.append(len(s))
                 print_ = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                 f1.append(int(print_[0]))
                 f2.append(int(print_[1]))
-                best = minima(s) if len(s) else None
-                bands.append(band_keys(best) if len(s) else [])
-                sketches.append(odd_sketch(best) if len(s) else [])
+                bands.append(band_keys(minima(s)) if len(s) else [])
+                sketch, samples = odd_sketch(s) if len(s) else ([], 0)
+                sketches.append(sketch)
+                filled.append(samples)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(bands, longs), pa.array(sketches, longs)],
-                names=["doc_id", "n", "f1", "f2", "bands", "sketch"])
+                 pa.array(bands, longs), pa.array(sketches, longs), pa.array(filled, pa.int64())],
+                names=["doc_id", "n", "f1", "f2", "bands", "sketch", "filled"])
 
     return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>")
+        run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>, filled long")
 
 
 def _differing(a: Column, b: Column) -> Column:
@@ -160,21 +179,32 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 def promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """``(a, b, differing)`` of the pairs that pass the size and the sketch filter."""
-    most = most_differing_bits(percent / 100 - MARGIN)
-    one = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    one = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"), F.col("filled").alias("fa"))
+    two = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"), F.col("filled").alias("fb"))
+    filled = F.col("fa") + F.col("fb")
+    most = most_differing_bits(filled, percent / 100 - MARGIN, F.exp)
     return (pairs.join(one, "a").join(two, "b").where(_sizes_fit(F.col("na"), F.col("nb"), percent))
             .withColumn("differing", _differing(F.col("sa"), F.col("sb"))).where(F.col("differing") <= most)
             .select("a", "b", "differing"))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _texts(needed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text)`` of the documents ``needed(id)``."""
     if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)  # at most 4 MB of ids; beyond that the join shuffles
-    texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text")).join(
+    return docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text")).join(
         needed, "id", "left_semi")
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """The exact condition on two full sets."""
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return same > 0 and 100 * same >= percent * (len(x) + len(y) - same)
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose full sets are similar enough."""
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, id_col, text_col)
     both = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
 
@@ -189,9 +219,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: in
                     last, held = b[i], (raw := right[i].as_py(), shingle(raw))
                 elif (raw := right[i].as_py()) != held[0]:
                     held = raw, shingle(raw)
-                x, y = shingle(left[i].as_py()), held[1]
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * same >= percent * (len(x) + len(y) - same) and same:
+                if similar(shingle(left[i].as_py()), held[1], percent):
                     good.append(i)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())],
@@ -236,42 +264,98 @@ def crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _with_root(_with_root(pairs, roots, "a", "_ra"), roots, "b", "_rb").where("_ra <> _rb").drop("_ra", "_rb")
 
 
-def open_pairs(keys: DataFrame, reps: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that pass the sketch and the size filter.
-
-    A bucket of more than ``BLOCK`` members is compared block by block, each
+def _promising_partners(left, right, same: bool, percent: int):
+    """For each row of ``left`` the positions in ``right`` that may be linked to it, nearest first."""
+    bits = np.stack(right["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+    glance = np.ascontiguousarray(bits[:, :GLANCE_WORDS])
+    share = GLANCE_WORDS * 64 / BITS
+    rep, root, n, filled = (right[c].to_numpy() for c in ("rep", "root", "n", "filled"))
+    for r, o, m, sketch, f in zip(*(left[c] for c in ("rep", "root", "n", "sketch", "filled"))):
+        own = np.asarray(sketch, np.int64).view(np.uint64)
+        most = most_differing_bits(filled + f, percent / 100 - MARGIN, np.exp)
+        # A part of the bitmap first: its count lies within five deviations of its share of the whole.
+        first = np.bitwise_count(glance ^ own[:GLANCE_WORDS]).sum(axis=1)
+        at = np.flatnonzero((first <= most * share + 5 * np.sqrt(most * share) + 1) & (root != o)
+                            & (rep > r if same else rep != r)
+                            & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        if len(at):
+            differing = np.bitwise_count(bits[at] ^ own).sum(axis=1)
+            good = differing <= most[at]
+            at = at[good][np.argsort(differing[good], kind="stable")]
+        yield at
+
+
+def open_links(keys: DataFrame, reps: DataFrame, roots: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+               k: int, percent: int) -> DataFrame:
+    """Links between different components whose members share a bucket.
+
+    A bucket with many members or shingles is compared block by block, each
     pair of blocks in a group of its own.
     """
-    most = most_differing_bits(percent / 100 - MARGIN)
-    members = _with_root(keys, roots, "rep", "root")
-    mixed = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"))
-             .where("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    rows = (members.join(mixed, "key").join(reps.select("rep", "n", "sketch"), "rep")
+    members = _with_root(keys, roots, "rep", "root").join(reps.select("rep", "n"), "rep")
+    mixed = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                        F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("lo <> hi")
+             .select("key", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    sketches = reps.select("rep", "sketch", "filled")
+    rows = (members.join(mixed, "key").join(sketches, "rep")
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-            .select("key", "i", "j", "block", "rep", "root", "n", "sketch"))
+            .select("key", "i", "j", "block", "rep", "root", "n", "sketch", "filled"))
 
-    def compare(frame):
-        import pandas as pd
+    def sides(frame):
         i, j = frame["i"].iat[0], frame["j"].iat[0]
         left = frame[frame["block"] == i]
-        right = left if i == j else frame[frame["block"] == j]
-        out = []
+        return (left, left, True) if i == j else (left, frame[frame["block"] == j], False)
+
+    def flag(frame):
+        left, right, same = sides(frame)
+        seen = np.zeros(len(left), bool), np.zeros(len(right), bool)
         if len(left) and len(right):
-            bits = np.stack(right["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
-            rep, root, n = (right[c].to_numpy() for c in ("rep", "root", "n"))
-            for r, o, m, sketch in zip(left["rep"], left["root"], left["n"], left["sketch"]):
-                near = ((root != o) & (rep > r if i == j else rep != r)
-                        & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
-                at = np.flatnonzero(near)
-                if len(at):
-                    own = np.asarray(sketch, np.int64).view(np.uint64)
-                    differing = np.bitwise_count(bits[at] ^ own).sum(axis=1)
-                    out += [(min(r, x), max(r, x)) for x in rep[at[differing <= most]]]
+            for at, partners in enumerate(_promising_partners(left, right, same, percent)):
+                seen[0][at] |= len(partners) > 0
+                seen[1][partners] = True
+        out = left[seen[0] | seen[1]] if same else pd.concat([left[seen[0]], right[seen[1]]])
+        return out[["key", "i", "j", "block", "rep", "root"]]
+
+    flagged = materialize(rows.groupBy("key", "i", "j").applyInPandas(
+        flag, "key long, i int, j int, block int, rep long, root long"), "flagged")
+    sets = shingle_sets(flagged.select(F.col("rep").alias("id")).distinct(), docs, id_col, text_col, k)
+    full = flagged.join(reps.select("rep", "n", "sketch", "filled"), "rep").join(sets, "rep")
+
+    def link(frame):
+        left, right, same = sides(frame)
+        out, merged = [], {}
+
+        def find(x):
+            while x in merged:
+                x = merged[x]
+            return x
+
+        if len(left) and len(right):
+            ours, theirs = ([np.frombuffer(b, np.uint64) for b in side["shingles"]] for side in (left, right))
+            names = right["rep"].to_numpy(), right["root"].to_numpy()
+            for (r, o, x), partners in zip(zip(left["rep"], left["root"], ours),
+                                           _promising_partners(left, right, same, percent)):
+                for p in partners:
+                    a, b = find(o), find(names[1][p])
+                    if a != b and similar(x, theirs[p], percent):
+                        merged[max(a, b)] = min(a, b)
+                        out.append((min(r, names[0][p]), max(r, names[0][p])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return full.groupBy("key", "i", "j").applyInPandas(link, "a long, b long").distinct()
+
+
+def shingle_sets(needed: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """``(rep, shingles)``: the full sets of the documents ``needed(id)`` as bytes of 64-bit hashes."""
+    def run(batches):
+        shingle = Shingler(k)
+        for batch, texts in text_slices(batches, 1):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([shingle(t).tobytes() for t in texts], pa.binary())], names=["rep", "shingles"])
+
+    return _texts(needed, docs, id_col, text_col).mapInArrow(run, "rep long, shingles binary")
 
 
 def _extended(links: DataFrame, roots: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -289,7 +373,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = materialize(
         signed.where("n > 0 and doc_id is not null").groupBy("f1", "f2")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-             F.first("sketch").alias("sketch")), "classes")
+             F.first("sketch").alias("sketch"), F.first("filled").alias("filled")), "classes")
     keys = reps.select("rep", F.explode("bands").alias("key"))
     buckets = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"),
                                        F.min_by("rep", F.xxhash64("rep", "key")).alias("pivot")).where("m > 1").drop("m"))
@@ -303,9 +387,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links)
     rest = materialize(crossing(candidates.select("a", "b").join(best, ["a", "b"], "left_anti"), roots), "rest")
     links, roots = _extended(links, roots, confirm(rest, docs, id_col, text_col, k, percent))
-    still = materialize(open_pairs(shared.select("key", "rep"), reps, roots, percent)
-                        .join(candidates, ["a", "b"], "left_anti"), "open")
-    links, roots = _extended(links, roots, confirm(still, docs, id_col, text_col, k, percent))
+    links, roots = _extended(links, roots, open_links(
+        shared.select("key", "rep"), reps, roots, docs, id_col, text_col, k, percent))
     # An id whose rows have different sets stands for all of them.
     same_id = (signed.where("n > 0 and doc_id is not null").join(reps.select("f1", "f2", "rep"), ["f1", "f2"])
                .groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b"))
