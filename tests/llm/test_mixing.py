@@ -70,3 +70,36 @@ def test_edge_cases(spark):
 def test_main_path_is_native(spark):
     plan = queries.op1_mixing(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|NestedLoop|Cartesian", plan)
+
+
+def _drift(rows, weights):
+    """The largest distance of a source from its target weight while every source has blocks."""
+    slots = {r.mix_slot: r.source for r in rows}
+    total, last, done, worst = sum(weights.values()), Counter(), Counter(), 0.0
+    for r in rows:
+        assert r.mix_release <= r.mix_slot < r.mix_deadline
+        last[r.source] = max(last[r.source], r.mix_slot)
+    assert len({(r.source, r.mix_block) for r in rows}) == len(slots)
+    for t in range(min(last.values()) + 1):
+        done[slots[t]] += 1
+        worst = max([worst] + [abs((t + 1) * w / total - done[s]) for s, w in weights.items()])
+    return worst, min(last.values()) + 1
+
+
+def test_rounding_is_carried_over_many_cycles(spark):
+    weights = {"big": 7.3} | {f"s{i}": 1.0 for i in range(6)}
+    rows = [(i, s) for i, s in enumerate(s for s, w in weights.items() for _ in range(int(60 * w)))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_docs=1, period=16).collect()
+    worst, slots = _drift(got, weights)
+    assert len(got) == len(rows) and slots > 40 * 16 and worst < 2
+
+
+def test_weights_below_one_slot_are_not_lifted(spark):
+    weights = {"big": 1.0, "mid": 0.5, "low": 0.02, "tiny": 0.011, "none": 1e-9}
+    counts = {"big": 700, "mid": 350, "low": 14, "tiny": 8, "none": 1}
+    rows = [(i, s) for i, s in enumerate(s for s, n in counts.items() for _ in range(n))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_docs=1, period=16).collect()
+    assert len(got) == len(rows) and max(r.mix_slot for r in got if r.source == "none") > 10 ** 8
+    rest = [r for r in got if r.source != "none"]
+    worst, slots = _drift(rest, {s: w for s, w in weights.items() if s != "none"})
+    assert slots > 900 and worst < 3

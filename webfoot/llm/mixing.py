@@ -1,23 +1,31 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's documents, in a keyed pseudo-random order, form blocks of a fixed
-number.  Block ``i`` of a source of weight ``w`` may be emitted from slot
-``floor((i - 1) / w)`` on and before slot ``ceil(i / w)``: its release time and
-its deadline.  In each slot the released block with the earliest deadline is
-emitted.  With weights that sum to one this meets every deadline, so after any
-number of slots each source is less than one block away from its share.
-
-Weights are shares of a period: integers that sum to ``period``.  The schedule
-then repeats with the period, so it is made for one period only (a fold over
-its slots) and each block finds its slot by an equi-join on (source, number in
-the period).  When a source has no block left its slots stay empty; the others
-keep their proportions, and every document is emitted exactly once.
+number.  The slots are dealt in cycles of ``period``.  After ``c`` cycles a
+source has had ``c * period * weight`` slots, rounded down or up by the largest
+remainders of these running totals: rounding is carried on, never repeated.
+In a cycle block ``i`` of the ``n`` of a source may be emitted from slot
+``floor((i - 1) * period / n)`` on and before slot ``ceil(i * period / n)``:
+its release time and its deadline.  In each slot the released block with the
+earliest deadline is emitted, which meets every deadline.  So after any number
+of slots a source is less than one block away from its cycle's line and less
+than two from its target weight, however long the input.
+
+Sources too small for a slot in each cycle form groups, which are dealt slots
+like sources and deal them to their members in the same way, so no weight is
+lifted; a member is bounded as above within its group, and its release time and
+deadline are those of the group's block.  Only cycles that hold a block are
+scheduled (a fold over the slots of each, many cycles side by side).  When a
+source has no block left its slots stay empty; the others keep their
+proportions, and every document is emitted exactly once.
 
 Only DataFrame functions are used.  A document's number in its source comes
 from ranks within (source, hash range) plus the counts of the ranges before
 it: a source with a third of all rows is spread over as many ranges as it
-needs, and no task sorts more than one range.  The source table is bounded by
-``MAX_SOURCES`` and the period table by the period; both are broadcast.
+needs, and no task sorts more than one range.  Blocks find their slots by an
+equi-join of one row a block, and reach the documents as one array a range, so
+documents are shuffled once.  The source table is bounded by ``MAX_SOURCES``
+and broadcast.
 
 Defined cases: rows with a null source form a source of their own; null and
 repeated ids are ordered like others (ties are broken by the row's digest, and
@@ -29,11 +37,12 @@ an empty result; columns with the name of an added column are replaced.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webfoot.llm.common import col, without
+from webfoot.llm.common import col, materialize, without
 from webfoot.llm.pii import let
 
 BLOCK_DOCS = 16
@@ -45,46 +54,117 @@ NO_SOURCE = "\u0000"
 ADDED = ["mix_block", "mix_place", "mix_release", "mix_deadline", "mix_slot"]
 
 
+def groups(weights: dict[str, float], period: int = PERIOD) -> tuple[dict[str, list], list[tuple]]:
+    """Each source's ``(node, child, slots a cycle)`` from its group up to the root, and ``(node, slots, tiny)``.
+
+    All children of a node get a slot in each cycle or more, but for one at most: the number ``tiny``, else -1.
+    """
+    paths, nodes = {s: [] for s in weights}, []
+
+    def build(members: list[str]) -> None:
+        total = sum(weights[s] for s in members)
+        least = lambda w: period * w / total >= 1
+        children, held = [[s] for s in members if least(weights[s])], []
+        bundles = []
+        for s in members:
+            if not least(weights[s]):
+                held.append(s)
+                if least(sum(weights[x] for x in held)):
+                    bundles.append(held)
+                    held = []
+        if held and bundles:
+            bundles[-1] += held
+            held = []
+        children = sorted(children + bundles + [held] * bool(held))
+        node, slots = len(nodes), [period * sum(weights[s] for s in c) / total for c in children]
+        nodes.append((node, slots, children.index(held) if held else -1))
+        for child in children:
+            if len(child) > 1:
+                build(child)
+        for i, child in enumerate(children):
+            for s in child:
+                paths[s].append((node, i, slots[i]))
+
+    build(sorted(weights))
+    return paths, nodes
+
+
 def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Integers near ``period * weight`` that sum to ``period``, by largest remainder, none below 1."""
+    """The slots of the first cycle: integers near ``period * weight`` that sum to ``period``, by largest remainder."""
     total = sum(weights[s] for s in sorted(weights))
     raw = {s: period * w / total for s, w in weights.items()}
-    out = {s: max(1, math.floor(r)) for s, r in raw.items()}
-    by_rest = sorted(raw, key=lambda s: (math.floor(raw[s]) - raw[s], s))
-    for i in range(period - sum(out.values())):
-        out[by_rest[i % len(by_rest)]] += 1
-    while sum(out.values()) > period:  # many sources below one slot
-        out[max(sorted(out), key=out.get)] -= 1
+    out = {s: math.floor(r) for s, r in raw.items()}
+    for s in sorted(raw, key=lambda s: (math.floor(raw[s]) - raw[s], s))[:period - sum(out.values())]:
+        out[s] += 1
     return out
 
 
-def period_table(spark: SparkSession, parts: dict[str, int]) -> DataFrame:
-    """``(p_source, number, in_slot, in_release, in_deadline)`` for one period, earliest deadline first."""
-    names = sorted(parts)
-    q, n = sum(parts.values()), len(names)
-    sizes = F.array(*[F.lit(parts[s]) for s in names])
-    size = lambda s: F.element_at(sizes, s + 1)
-    release = lambda done, s: F.floor(done * q / size(s))
-    deadline = lambda done, s: F.ceil((done + 1) * q / size(s))
-
-    def emit(state, slot):
-        ready = F.filter(
-            F.transform(state["done"], lambda done, s: F.struct(
-                deadline(done, s).alias("deadline"), s.alias("s"), done.alias("done"))),
-            lambda x: (x["done"] < size(x["s"])) & (release(x["done"], x["s"]) <= slot))
-        return let(F.array_min(ready), lambda first: F.struct(
-            F.transform(state["done"], lambda done, s: F.when(s == first["s"], done + 1).otherwise(done)).alias("done"),
-            F.concat(state["order"], F.array(F.struct(
-                first["s"].alias("s"), (first["done"] + 1).alias("number"),
-                release(first["done"], first["s"]).alias("release"), first["deadline"].alias("deadline")))).alias("order")))
+def _totals(slots: Column, tiny: Column, cycles: Column, period: int) -> Column:
+    """The slots of each child after so many cycles; they sum to those of the cycles."""
+    parts = F.transform(slots, lambda x, i: F.struct(
+        (F.floor(x * cycles) - x * cycles).alias("rest"), i.alias("i"), F.floor(x * cycles).alias("n")))
 
-    start = F.struct(F.array_repeat(F.lit(0), n).alias("done"),
-                     F.array().cast("array<struct<s:int,number:int,release:bigint,deadline:bigint>>").alias("order"))
-    order = F.aggregate(F.sequence(F.lit(0), F.lit(q - 1)), start, emit, lambda state: state["order"])
-    return (spark.range(1, numPartitions=1).select(F.posexplode(order).alias("in_slot", "e"))
-            .select(F.element_at(F.array(*map(F.lit, names)), F.col("e.s") + 1).alias("p_source"),
-                    F.col("e.number").cast("long").alias("number"), F.col("in_slot").cast("long").alias("in_slot"),
-                    F.col("e.release").alias("in_release"), F.col("e.deadline").alias("in_deadline")))
+    def rounded(parts: Column) -> Column:
+        left = cycles * period - F.aggregate(parts, F.lit(0).cast("long"), lambda n, x: n + x["n"])
+        up = F.transform(F.slice(F.array_sort(F.filter(parts, lambda x: x["i"] != tiny)), F.lit(1), left.cast("int")),
+                         lambda x: x["i"])
+        return let(up, lambda up: F.transform(
+            parts, lambda x: x["n"] + F.when(F.array_contains(up, x["i"]), 1).otherwise(0)))
+    return let(parts, rounded)
+
+
+def cycle_table(cycles: DataFrame, period: int) -> DataFrame:
+    """``(node, child, number, release, deadline, slot)`` for ``(node, slots, tiny, cycle)``, earliest deadline first."""
+    def waiting(s: Column, done: Column, size: Column) -> Column:
+        some = F.greatest(size, F.lit(1).cast("long"))
+        return F.struct(F.ceil((done + 1) * period / some).alias("deadline"), s.alias("s"), done.alias("done"),
+                        F.floor(done * period / some).alias("release"), size.alias("size"))
+
+    def emit(state: Column, slot: Column) -> Column:
+        ready = F.filter(state["next"], lambda x: (x["done"] < x["size"]) & (x["release"] <= slot))
+        return let(F.array_min(ready), lambda first: F.struct(
+            F.transform(state["next"], lambda x: F.when(
+                x["s"] == first["s"], waiting(x["s"], x["done"] + 1, x["size"])).otherwise(x)).alias("next"),
+            F.concat(state["order"], F.array(first)).alias("order")))
+
+    one = "struct<deadline:bigint,s:int,done:bigint,release:bigint,size:bigint>"
+    before = _totals(F.col("slots"), F.col("tiny"), F.col("cycle"), period)
+    after = _totals(F.col("slots"), F.col("tiny"), F.col("cycle") + 1, period)
+    start = let(before, lambda a: F.struct(F.zip_with(a, F.sequence(F.lit(0), F.size(a) - 1), lambda n, i: F.struct(
+        n.alias("n"), i.alias("i"))).alias("a"), after.alias("b")))
+    first = let(start, lambda x: F.struct(
+        F.transform(x["a"], lambda y: waiting(y["i"], F.lit(0).cast("long"), F.get(x["b"], y["i"]) - y["n"])).cast(
+            f"array<{one}>").alias("next"), F.array().cast(f"array<{one}>").alias("order")))
+    order = F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), first, emit, lambda state: state["order"])
+    begin = F.col("cycle") * period
+    return (cycles.select("node", "cycle", before.alias("before"), F.posexplode(order).alias("in_slot", "e"))
+            .select("node", F.col("e.s").alias("child"), (F.get("before", F.col("e.s")) + F.col("e.done")).alias("number"),
+                    (begin + F.col("e.release")).alias("release"), (begin + F.col("e.deadline")).alias("deadline"),
+                    (begin + F.col("in_slot")).alias("slot")))
+
+
+def scheduled(blocks: DataFrame, nodes: list[tuple], depth: int, period: int) -> DataFrame:
+    """``blocks`` (with ``block`` and the ``path`` of their source) with ``release, deadline, slot``."""
+    spark, kept = blocks.sparkSession, blocks.columns
+    known = F.broadcast(spark.createDataFrame(nodes, "node int, slots array<double>, tiny int"))
+    number, q = F.col("number"), F.col("q")
+    rest, out = blocks.withColumn("slot", F.col("block")), []
+    for level in range(depth):  # groups within groups: one level for all but the smallest weights
+        here = rest.drop("release", "deadline").withColumnRenamed("slot", "number").select(
+            "*", F.col("path")[level]["node"].alias("node"), F.col("path")[level]["child"].alias("child"),
+            F.col("path")[level]["q"].alias("q"))
+        if level:
+            here = materialize(here, "blocks")
+        # Where totals round down or up, a block's cycle is one of these.
+        low = F.when(q < 1, F.ceil((number + 1) / q) - 2).otherwise(F.floor((number - 1) / q) - 1)
+        high = F.when(q < 1, F.ceil((number + 1) / q)).otherwise(F.floor((number + 1) / q) + 1)
+        cycles = (here.select("node", F.explode(F.sequence(F.greatest(low, F.lit(0).cast("long")), high)).alias("cycle"))
+                  .distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.hash("node", "cycle")))
+        placed = here.join(cycle_table(cycles.join(known, "node"), period), ["node", "child", "number"], "left").select(
+            *kept, "release", "deadline", "slot")
+        out.append(placed.where(F.size("path") == level + 1) if depth > 1 else placed)
+        rest = placed.where(F.size("path") > level + 1)
+    return reduce(DataFrame.unionByName, out)
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, source_col: str = "source", id_col: str = "doc_id",
@@ -108,32 +188,37 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, source_col: st
     given = {s: (n ** temperature if weights is None else weights.get(s, default_weight)) for s, n in sizes.items()}
     if min(given.values()) <= 0:
         raise ValueError("weights must be positive")
-    parts = shares(given, period)
+    period *= -(-4 // period)  # groups need a few slots to share
+    paths, nodes = groups(given, period)
     table = spark.createDataFrame(  # at most MAX_SOURCES rows
-        [(s, parts[s], math.ceil(n / RANGE_ROWS)) for s, n in sizes.items()], "_wf_s string, _wf_p long, _wf_ranges long")
+        [(s, paths[s], math.ceil(n / RANGE_ROWS)) for s, n in sizes.items()],
+        "_wf_s string, path array<struct<node:int,child:int,q:double>>, _wf_ranges long")
 
     # The digest's order is that of its first eight digits where these differ, so ranges of them are ranges of it.
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(col(id_col).cast("string"), F.lit("null"))))
     ranked = (docs.select(*map(col, kept)).withColumn("_wf_s", source).withColumn("_wf_key", key)
-              .join(F.broadcast(table), "_wf_s")
+              .join(F.broadcast(table.drop("path")), "_wf_s")
               .withColumn("_wf_range", F.floor(F.conv(F.substring("_wf_key", 1, 8), 16, 10).cast("double")
                                                / 4294967296.0 * F.col("_wf_ranges"))))
     within = Window.partitionBy("_wf_s", "_wf_range").orderBy("_wf_key", *[col(c) for c in [id_col]])
     before = Window.partitionBy("_wf_s").orderBy("_wf_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranked.groupBy("_wf_s", "_wf_range").agg(F.count(F.lit(1)).alias("n"))
-               .select("_wf_s", "_wf_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_wf_before")))
-    # One row for RANGE_ROWS documents; Spark broadcasts it where it is small.
-    numbered = (ranked.withColumn("_wf_n", F.row_number().over(within)).join(offsets, ["_wf_s", "_wf_range"])
+    # One row for RANGE_ROWS documents, and one for each block of those.
+    offsets = materialize(ranked.groupBy("_wf_s", "_wf_range").agg(F.count(F.lit(1)).alias("n")).select(
+        "_wf_s", "_wf_range", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_wf_before")), "ranges")
+    first = F.floor(F.col("_wf_before") / block_docs)
+    blocks = offsets.join(F.broadcast(table.drop("_wf_ranges")), "_wf_s").select("_wf_s", "_wf_range", "path", F.explode(
+        F.sequence(first, F.floor((F.col("_wf_before") + F.col("n") - 1) / block_docs))).alias("block"))
+    slots = (scheduled(blocks, nodes, max(map(len, paths.values())), period).groupBy("_wf_s", "_wf_range").agg(
+        F.array_sort(F.collect_list(F.struct("block", "release", "deadline", "slot"))).alias("_wf_slots")))
+    # Both sides lie by (source, range): documents are not shuffled again.
+    numbered = (ranked.withColumn("_wf_n", F.row_number().over(within))
+                .join(offsets.join(slots, ["_wf_s", "_wf_range"]), ["_wf_s", "_wf_range"])
                 .withColumn("_wf_at", F.col("_wf_before") + F.col("_wf_n") - 1)
                 .withColumn("mix_block", F.floor(F.col("_wf_at") / block_docs))
                 .withColumn("mix_place", F.col("_wf_at") % block_docs)
-                .withColumn("_wf_cycle", F.floor(F.col("mix_block") / F.col("_wf_p")))
-                .withColumn("_wf_number", F.col("mix_block") % F.col("_wf_p") + 1))
-    slots = F.broadcast(period_table(spark, parts))  # `period` rows
-    start = F.col("_wf_cycle") * period
-    return (numbered.join(slots, (F.col("_wf_s") == F.col("p_source")) & (F.col("_wf_number") == F.col("number")))
-            .select(*map(col, kept), "mix_block", "mix_place", (start + F.col("in_release")).alias("mix_release"),
-                    (start + F.col("in_deadline")).alias("mix_deadline"), (start + F.col("in_slot")).alias("mix_slot")))
+                .withColumn("_wf_slot", F.get("_wf_slots", (F.col("mix_block") - first).cast("int"))))
+    return numbered.select(*map(col, kept), "mix_block", "mix_place", *[
+        F.col(f"_wf_slot.{c}").alias(f"mix_{c}") for c in ("release", "deadline", "slot")])
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
