@@ -98,6 +98,29 @@ def test_too_narrow_a_format_is_an_error(spark, monkeypatch):
         _run(spark, ["10.0.0.1 10.0.0.2"])
 
 
+def test_more_entities_than_a_short_format_has_values(spark, monkeypatch):
+    """785 given names beside one surname, or 27 one-letter addresses, are more than the usual forms tell apart."""
+    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 16)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"Mr. N{a}{b}{c} Smith" for a in letters[:2] for b in letters for c in letters][:900]
+    emails = [f"{chr(0x4E00 + i)}@mail.example.com" for i in range(60)]
+    got = _run(spark, names + emails + ["Mr. Naaa Smith and " + emails[59]])
+    fakes = [got[i].text for i in range(len(names + emails))]
+    assert len(set(fakes)) == len(fakes) and not set(fakes) & set(names + emails)
+    assert got[len(fakes)].text == f"{fakes[0]} and {fakes[-1]}"
+    assert len({t.split()[-1] for t in fakes[:900]}) == 1 and all(re.fullmatch(r"Mr\. [A-Z][a-z]+o [A-Z][a-z]+", t) for t in fakes[:900])
+    assert len({t.split("@")[1] for t in fakes[900:]}) == 1 and all(re.fullmatch(r"[a-z]\d*@[a-z]+\.[a-z]+\.com", t) for t in fakes[900:])
+
+
+def test_every_kind_has_longer_forms(spark, monkeypatch):
+    monkeypatch.setattr(pii, "FORMAT_ATTEMPTS", 0)
+    got = _run(spark, ["+1 (386) 555-3733 or 386-555-3733", "4111 1111 1111 1111", "10.0.0.1", "123-45-6789", "secret=--__--1"])
+    a, b = re.fullmatch(r"(\+1 \(\d{3}\) \d{3}-\d{4} x\d\d) or (\d{3}-\d{3}-\d{4} x\d\d)", got[0].text).groups()
+    assert re.sub(r"\D", "", a)[1:] == re.sub(r"\D", "", b)
+    assert re.fullmatch(r"4\d{3} \d{4} \d{4} \d{4}-\d\d", got[1].text) and re.fullmatch(r"\d+\.\d+\.\d+\.\d+:\d\d", got[2].text)
+    assert re.fullmatch(r"\d{3}-\d{2}-\d{4}-\d\d", got[3].text) and re.fullmatch(r"secret=--__--\d\d\d", got[4].text)
+
+
 def test_main_path_is_native(spark):
     plan = queries.op10_surrogates(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|NestedLoop|Cartesian", plan)

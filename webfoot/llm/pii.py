@@ -13,8 +13,12 @@ number, so an entity has one surrogate in all documents without any join.
 Distinctness is checked over the whole corpus: entities are made distinct with
 partial aggregation, and where two of one kind share a surrogate, or one is
 itself an entity of the corpus, all but the first go on to the next attempt,
-until nothing collides.  Only entities with an attempt above 0 (a handful) are
-joined back, by the digest of the texts that hold them.
+until nothing collides.  No format runs out of values: a name that keeps
+colliding gets one more syllable with each attempt from ``NAME_ATTEMPTS`` on,
+anything else two more digits with each from ``FORMAT_ATTEMPTS`` on (an address
+before its ``@``, a telephone number as an extension, an IPv4 address as a
+port).  Only entities with an attempt above 0 are joined back, by the digest of
+the texts that hold them.
 
 Only DataFrame functions are used.  A text without a digit, ``@``, title or
 secret's prefix is never searched by the long pattern.
@@ -42,6 +46,8 @@ from webfoot.llm.common import col, materialize, without
 #: Key of the surrogates; a deployment passes its own.
 DEFAULT_KEY = "surrogate-key-1"
 MAX_ATTEMPTS = 64
+NAME_ATTEMPTS = 4  # attempts with a name of the usual number of syllables
+FORMAT_ATTEMPTS = 8  # attempts within the length of the original
 BROADCAST_TEXTS = 50_000  # rows of a digest and a few attempts: some 10 MB
 
 #: Titles and the gender they tell.
@@ -104,9 +110,11 @@ def kind_of(value: Column) -> Column:
 
 def canonical(kind: Column, value: Column) -> Column:
     """What makes two mentions the same entity."""
-    digits = F.regexp_replace(value, r"\D", "")
+    digits = F.regexp_replace(value, r" x\d+$|\D", "")
+    extension = F.regexp_extract(value, r" x\d+$", 0)  # surrogates only
     return (F.when(kind == "email", F.lower(value))
-            .when(kind == "phone", F.when(F.length(digits) >= 10, F.right(digits, F.lit(10))).otherwise(digits))
+            .when(kind == "phone", F.concat(
+                F.when(F.length(digits) >= 10, F.right(digits, F.lit(10))).otherwise(digits), extension))
             .when(kind == "card", digits)
             .when(kind == "number", F.replace(value, F.lit(" "), F.lit("")))
             .when(kind == "name", F.concat(_gender(value), F.lit(":"), F.lower(_bare_name(value))))
@@ -186,18 +194,28 @@ def masked_card(text: Column, canon: Column, stream: Column) -> Column:
         x for k in range(4) for x in ([separator] if k else []) + [F.substring(f, F.lit(4 * k + 1), F.lit(4))]])))
 
 
-def _syllables(script: str, stream: Column, count: int, at: int) -> Column:
+def _syllables(script: str, stream: Column, count: int, more: Column) -> Column:
     pool = F.array(*map(F.lit, SYLLABLES[script]))
-    return F.initcap(F.concat(*[F.element_at(pool, _byte(stream, F.lit(at + i)) % len(SYLLABLES[script]) + 1)
-                                for i in range(count)]))
+    return F.initcap(F.concat(*[F.element_at(pool, _byte(stream, F.lit(1 + i)) % len(SYLLABLES[script]) + 1)
+                                for i in range(count)], more))
 
 
-def _name_token(script: str, stream: Column, given: bool, gender: Column) -> Column:
+def _more_syllables(name: Column, stream: Column, attempt: Column) -> Column:
+    """Nothing, and from ``NAME_ATTEMPTS`` on one syllable more with each attempt."""
+    pools = {k: F.array(*map(F.lit, v)) for k, v in SYLLABLES.items()}
+    pool = F.when(name.rlike(r"^\p{IsCyrillic}"), pools["cyrillic"]).when(
+        name.rlike(r"^\p{IsGreek}"), pools["greek"]).otherwise(pools["latin"])
+    return F.when(attempt >= NAME_ATTEMPTS, F.array_join(F.transform(
+        F.sequence(F.lit(1), attempt - (NAME_ATTEMPTS - 1)),
+        lambda i: F.element_at(pool, _byte(stream, i + 3) % F.size(pool) + 1)), "")).otherwise("")
+
+
+def _name_token(script: str, stream: Column, given: bool, gender: Column, more: Column) -> Column:
     if not given:
-        name = _syllables(script, stream, 3, 1)
+        name = _syllables(script, stream, 3, more)
         return F.when(gender == "f", F.concat(name, F.lit("а"))).otherwise(name) if script == "cyrillic" else name
     male, female = ENDINGS[script]
-    return F.concat(_syllables(script, stream, 2, 1), F.when(gender == "f", female).when(gender == "m", male).otherwise(""))
+    return F.concat(_syllables(script, stream, 2, more), F.when(gender == "f", female).when(gender == "m", male).otherwise(""))
 
 
 def masked_name(value: Column, attempt: Column, key: str) -> Column:
@@ -208,9 +226,10 @@ def masked_name(value: Column, attempt: Column, key: str) -> Column:
         # A lone surname takes the attempt; with a given name the given name does, so that surnames agree.
         number = attempt if given else F.when(both, F.lit(0)).otherwise(attempt)
         stream = _stream(key, F.lit("given" if given else "surname"), F.lower(name), number.cast("string"))
-        return let(stream, lambda s: F.when(name.rlike(r"^\p{IsCyrillic}"), _name_token("cyrillic", s, given, gender))
-                   .when(name.rlike(r"^\p{IsGreek}"), _name_token("greek", s, given, gender))
-                   .otherwise(_name_token("latin", s, given, gender)))
+        return let(stream, lambda s: let(_more_syllables(name, s, number), lambda more: (
+            F.when(name.rlike(r"^\p{IsCyrillic}"), _name_token("cyrillic", s, given, gender, more))
+            .when(name.rlike(r"^\p{IsGreek}"), _name_token("greek", s, given, gender, more))
+            .otherwise(_name_token("latin", s, given, gender, more)))))
     return F.concat(title, F.when(both, F.concat(token(F.element_at(names, 1), True), F.lit(" "))).otherwise(""),
                     token(surname, False))
 
@@ -219,8 +238,8 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """The surrogate of one mention."""
     local, domain = F.regexp_extract(value, "^([^@]*)", 1), F.regexp_extract(value, r"@(.*)\.[^.]*$", 1)
     ending = F.regexp_extract(value, r"(\.[^.]*)$", 1)
-    def email(s: Column) -> Column:
-        return F.concat(let(local, lambda x: masked(x, s)), F.lit("@"), let(domain, lambda x: let(
+    def email(s: Column, more: Column) -> Column:
+        return F.concat(let(local, lambda x: masked(x, s)), more, F.lit("@"), let(domain, lambda x: let(
             _stream(key, F.lit("domain"), F.lower(x)), lambda d: masked(x, d))), ending)
     def ip(s: Column) -> Column:
         return F.concat_ws(".", *[(_byte(s, F.lit(i)) % 254 + 1).cast("string") for i in range(1, 5)])
@@ -228,12 +247,23 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         head = F.regexp_extract(value, r"^((?:AKIA|ASIA|gh[pousr]_)?)", 1)
         rest = F.substring(value, F.length(head) + 1, F.length(value))
         return F.concat(head, let(rest, lambda x: F.when(x.rlike("^[0-9a-f]+$"), masked_hex(x, s)).otherwise(masked(x, s))))
+    def longer(canon: Column) -> Column:
+        """Nothing, and from ``FORMAT_ATTEMPTS`` on two digits more with each attempt."""
+        return F.when(attempt >= FORMAT_ATTEMPTS, let(
+            _stream(key, F.lit("longer"), kind, canon, attempt.cast("string")), lambda s: F.array_join(F.transform(
+                F.sequence(F.lit(1), (attempt - (FORMAT_ATTEMPTS - 1)) * 2), lambda i: _pick("0123456789", _byte(s, i))),
+                ""))).otherwise("")
+    def after(mark: str, more: Column) -> Column:
+        return F.when(more == "", "").otherwise(F.concat(F.lit(mark), more))
     def by_kind(canon: Column) -> Column:
-        return let(_stream(key, kind, canon, attempt.cast("string")), lambda s: (
-            F.when(kind == "email", email(s)).when(kind == "phone", masked_digits(value, s))
-            .when(kind == "card", masked_card(value, canon, s)).when(kind == "ip", ip(s))
-            .when(kind == "name", masked_name(value, attempt, key)).when(kind == "number", masked(value, s))
-            .otherwise(secret(s))))
+        return let(_stream(key, kind, canon, attempt.cast("string")), lambda s: let(longer(canon), lambda more: (
+            F.when(kind == "email", email(s, more))
+            .when(kind == "phone", F.concat(masked_digits(value, s), after(" x", more)))
+            .when(kind == "card", F.concat(masked_card(value, canon, s), after("-", more)))
+            .when(kind == "ip", F.concat(ip(s), after(":", more)))
+            .when(kind == "name", masked_name(value, attempt, key))
+            .when(kind == "number", F.concat(masked(value, s), after("-", more)))
+            .otherwise(F.concat(secret(s), more)))))
     return let(canonical(kind, value), by_kind)
 
 
