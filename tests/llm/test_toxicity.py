@@ -71,6 +71,16 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert a.entries == b.entries and a.curve == b.curve and a.entries
 
 
+def test_a_clean_neighbour_leaves_misspellings_to_the_automaton(spark):
+    docs = [(i, ("trash " * 3 if i % 2 else "crash ") + f"word{i} other text here") for i in range(200)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.learn(d, spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int"))
+    scorer = Scorer(model)
+    hit = lambda w: [h[1:3] for h in scorer.hits(w, [w])]
+    assert hit("trash") == [("trash", 0)] and hit("tr4sh") == hit("traash") == [("trash", 1)]
+    assert hit("crash") == [] and model.known == {"crash"}
+
+
 def test_edge_cases(spark):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     texts = [None, "", "plain", "x" * 100_000, "ok " * 50_000]

@@ -11,8 +11,8 @@ Matching.  The entries form a trie.  A word meets an entry when it is within
 the edit budget that the entry's length allows.  The Levenshtein automaton of
 the word runs over the trie as sets of (node, errors); these sets are made
 into a deterministic automaton on demand, so a word costs one table look-up
-for each character and most words fail after three or four.  An entry that
-words of clean rows come near allows no edits.
+for each character and most words fail after three or four.  Words known from
+clean rows never match by edits; all other spellings near an entry do.
 
 Context.  Every hit is weighed by a window around it: inside quotation marks
 it counts less, and less again beside a word of reporting; beside a second
@@ -36,7 +36,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -183,10 +183,10 @@ class Automaton:
 
 
 class Model:
-    """Lexicon and curve."""
+    """Lexicon, curve, and the known words that match no entry by edits."""
 
-    def __init__(self, entries=(), curve=DEFAULT_CURVE):
-        self.entries, self.curve = list(entries), curve
+    def __init__(self, entries=(), curve=DEFAULT_CURVE, known=()):
+        self.entries, self.curve, self.known = list(entries), curve, frozenset(known)
 
     def score_of(self, strength: float) -> float:
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, self.curve[0] + self.curve[1] * strength))))
@@ -199,7 +199,8 @@ class Scorer:
     def _match(self, word: str):
         if len(word) > LONGEST_WORD + 2:
             word = word[:LONGEST_WORD + 2]  # no entry is longer; only a stem can still match
-        return self.automaton.match(word)
+        hit = self.automaton.match(word)
+        return None if hit and hit[1] and word in self.model.known else hit
 
     def hits(self, lower: str, words: list[str]) -> list[tuple[str, str, int, int, float]]:
         """(word, entry, errors, start, weight) of each hit, weighed by its window."""
@@ -322,17 +323,19 @@ def lexicon(table: DataFrame, n_toxic_docs: int) -> list[Entry]:
     return sorted(out)
 
 
-def without_neighbours(table: DataFrame, entries: list[Entry]) -> list[Entry]:
-    """Entries near words of clean rows allow no edits."""
+def clean_neighbours(table: DataFrame, entries: list[Entry]) -> list[str]:
+    """Words of clean rows within the edit budget of an entry, unless over twice as frequent in toxic rows."""
     def near(batches):
         automaton = Automaton(entries)
         for batch in batches:
-            hits = {hit[0] for w in batch.column(0).to_pylist() if (hit := automaton.match(w)) and hit[1]}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(hits), pa.int64())], names=["entry"])
+            words = [w for w in batch.column(0).to_pylist() if (hit := automaton.match(w)) and hit[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
 
-    crowded = {r["entry"] for r in table.where("clean > 0 and toxic <= clean").select("word").mapInArrow(
-        near, "entry long").distinct().collect()}  # at most one row an entry
-    return [replace(e, exact=i in crowded) for i, e in enumerate(entries)]
+    totals = table.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+    rare = (F.col("toxic") <= F.col("clean")) | (
+        F.col("toxic") / F.lit(max(totals["toxic"] or 0, 1)) <= 2 * F.col("clean") / F.lit(max(totals["clean"] or 0, 1)))
+    found = table.where((F.col("clean") > 0) & rare).select("word").mapInArrow(near, "word string").collect()
+    return sorted(r["word"] for r in found)  # words of the bounded sample
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -347,12 +350,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model()
     table = materialize(word_table(sample), "toxic-words")
     entries = lexicon(table, sizes[1])
-    for _ in range(3):  # with an entry made exact, a word may come near the next one
-        narrowed = [replace(a, exact=a.exact or b.exact) for a, b in zip(without_neighbours(table, entries), entries)]
-        if narrowed == entries:
-            break
-        entries = narrowed
-    model = Model(entries)
+    model = Model(entries, known=clean_neighbours(table, entries))
     model.curve = fit_curve([tuple(r) for r in append_columns(
         sample, "text", FIELDS, lambda: Scorer(model), ["_wf_doc", "_wf_toxic"])
         .select("_wf_doc", "_wf_toxic", "strength").collect()])  # bounded by the sample
