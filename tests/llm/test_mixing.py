@@ -103,3 +103,12 @@ def test_weights_below_one_slot_are_not_lifted(spark):
     rest = [r for r in got if r.source != "none"]
     worst, slots = _drift(rest, {s: w for s, w in weights.items() if s != "none"})
     assert slots > 900 and worst < 3
+
+
+def test_more_sources_than_one_group_holds(spark):
+    rows = [(i, f"site{i % 1500}") for i in range(3000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), block_docs=1, period=64).collect()
+    assert sorted(r.doc_id for r in got) == list(range(3000)) and len({r.mix_slot for r in got}) == 3000
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in got)
+    blocks = Counter(r.source for r in got if r.mix_slot < 1500)
+    assert len(got) == 3000 and max(blocks.values()) <= 2 and max(r.mix_slot for r in got) < 4 * 1500

@@ -24,8 +24,9 @@ from ranks within (source, hash range) plus the counts of the ranges before
 it: a source with a third of all rows is spread over as many ranges as it
 needs, and no task sorts more than one range.  Blocks find their slots by an
 equi-join of one row a block, and reach the documents as one array a range, so
-documents are shuffled once.  The source table is bounded by ``MAX_SOURCES``
-and broadcast.
+documents are shuffled once.  The source table, one short row a source, is made
+on the driver and broadcast; more than ``MAX_CHILDREN`` sources are scheduled
+in groups, at any number of sources.
 
 Defined cases: rows with a null source form a source of their own; null and
 repeated ids are ordered like others (ties are broken by the row's digest, and
@@ -47,7 +48,7 @@ from webfoot.llm.pii import let
 
 BLOCK_DOCS = 16
 PERIOD = 1024
-MAX_SOURCES = 512
+MAX_CHILDREN = 512  # sources scheduled together; more are put into groups
 RANGE_ROWS = 20_000  # rows of a hash range, about
 SEED = "mix-1"
 NO_SOURCE = "\u0000"
@@ -63,15 +64,16 @@ def groups(weights: dict[str, float], period: int = PERIOD) -> tuple[dict[str, l
 
     def build(members: list[str]) -> None:
         total = sum(weights[s] for s in members)
-        least = lambda w: period * w / total >= 1
-        children, held = [[s] for s in members if least(weights[s])], []
-        bundles = []
+        parts = period if len(members) <= MAX_CHILDREN else min(period, MAX_CHILDREN // 2)
+        enough = lambda w: parts * w / total >= 1
+        children, bundles, held, weight = [[s] for s in members if enough(weights[s])], [], [], 0.0
         for s in members:
-            if not least(weights[s]):
+            if not enough(weights[s]):
                 held.append(s)
-                if least(sum(weights[x] for x in held)):
+                weight += weights[s]
+                if enough(weight):
                     bundles.append(held)
-                    held = []
+                    held, weight = [], 0.0
         if held and bundles:
             bundles[-1] += held
             held = []
@@ -178,10 +180,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, source_col: st
     """
     spark = docs.sparkSession
     source = F.coalesce(col(source_col).cast("string"), F.lit(NO_SOURCE))
-    sizes = {r["s"]: r["n"] for r in docs.groupBy(source.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(
-        MAX_SOURCES + 1).collect()}
-    if len(sizes) > min(MAX_SOURCES, period):
-        raise ValueError(f"more than {min(MAX_SOURCES, period)} sources")
+    sizes = {r["s"]: r["n"] for r in docs.groupBy(source.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     kept = without(docs, ADDED)
     if not sizes:
         return docs.select(*map(col, kept)).withColumns({c: F.lit(0).cast("long") for c in ADDED})
@@ -190,7 +189,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, source_col: st
         raise ValueError("weights must be positive")
     period *= -(-4 // period)  # groups need a few slots to share
     paths, nodes = groups(given, period)
-    table = spark.createDataFrame(  # at most MAX_SOURCES rows
+    table = spark.createDataFrame(  # one row a source
         [(s, paths[s], math.ceil(n / RANGE_ROWS)) for s, n in sizes.items()],
         "_wf_s string, path array<struct<node:int,child:int,q:double>>, _wf_ranges long")
 
