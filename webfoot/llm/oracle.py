@@ -166,6 +166,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+_OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS tree,
+    concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head, text,
+    list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+      lambda acc, byte: list_reduce([xor(acc, byte)] || range(8)::BIGINT[],
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS register
+  FROM documents),
+leaf AS (
+  SELECT r, doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+    CASE WHEN xor(register, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed FROM d),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaf),
+t AS (
+  SELECT tree, 0 AS lvl, pos, n, h FROM numbered
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1
+  GROUP BY tree, lvl, pos // 8, n),
+subroots AS (
+  SELECT tree, lvl AS height, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, pos, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 8, n),
+sides AS (
+  SELECT r, t.lvl AS step, string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < own) AS a,
+    string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > own) AS b
+  FROM (SELECT r, tree, unnest(range(height)) AS lvl, pos // (8 ** lvl)::BIGINT AS own FROM
+          (SELECT r, numbered.tree, numbered.pos, height FROM numbered JOIN subroots USING (tree))) x
+    JOIN t ON t.tree = x.tree AND t.lvl = x.lvl AND t.pos // 8 = own // 8 GROUP BY r, t.lvl
+  UNION ALL
+  SELECT r, height + top.lvl, string_agg(top.h, '' ORDER BY top.pos) FILTER (top.pos < own),
+    string_agg(top.h, '' ORDER BY top.pos) FILTER (top.pos > own)
+  FROM (SELECT r, height, unnest(range((SELECT max(lvl) FROM top))) AS lvl, pos // (8 ** lvl)::BIGINT AS own FROM
+          (SELECT r, height, subroots.pos FROM numbered JOIN subroots USING (tree))) x
+    JOIN top ON top.lvl = x.lvl AND top.pos // 8 = own // 8 GROUP BY r, height, top.lvl),
+climb AS (
+  SELECT r, 0 AS step, coalesce(changed, h) AS h FROM numbered
+  UNION ALL
+  SELECT r, climb.step + 1, sha256(coalesce(a, '') || h || coalesce(b, '')) FROM climb JOIN sides USING (r, step)),
+folded AS (SELECT r, max_by(h, step) AS folded_root FROM climb GROUP BY r),
+proof AS (SELECT r, sha256(string_agg(coalesce(a, '') || coalesce(b, ''), '' ORDER BY step)) AS proof FROM sides GROUP BY r),
+root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT doc_id, numbered.h AS leaf, subroots.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM numbered JOIN subroots USING (tree) JOIN folded USING (r) LEFT JOIN proof USING (r), root
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op4_top_k": _OP4, "op5_near_duplicates": _OP5, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9}
+    return {"op1_mixing": _OP1, "op2_license_scan": _OP2, "op4_top_k": _OP4, "op5_near_duplicates": _OP5, "op7_warc": _OP7, "op6_url_filter": _OP6, "op9_repetition": _OP9,
+            "op13_merkle": _OP13}

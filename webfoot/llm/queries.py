@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webfoot.llm import licenses, mixing, neardup, packing, pii, repetition, topk, toxicity, urlrules, warc
-from webfoot.llm.common import read
+from webfoot.llm import (licenses, merkle, mixing, neardup, packing, pii, repetition, tokencount, topk, toxicity, urlrules, warc,
+                         whitening)
+from webfoot.llm.common import col, lower_az, read
+from webfoot.session import scratch_path
 
 #: (verdict, host, path)
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -69,5 +71,22 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(docs, length_col="n_chars")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.token_counts(docs, scratch_path(spark, "token-cache"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.proofs(merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"],
+                                         changed={"text": lower_az(col("text"))}, where=tampered))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_toxicity, op4_top_k, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition, op10_surrogates)}
+    return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_toxicity, op4_top_k, op5_near_duplicates, op6_url_filter, op7_warc, op8_packing, op9_repetition, op10_surrogates,
+                                  op11_token_counts, op12_whitening, op13_merkle)}
