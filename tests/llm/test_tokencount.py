@@ -29,6 +29,7 @@ def counted(df, cache, **more):
 
 
 ODD = ["", None, " ", "a  b\t\n c", "x<|endoftext|>y", " <|endoftext|> ", "é日本\U0001f600 　z", "don't we'll", "a\x00b", "́ e",
+       "naïve Ærø x\u0301y 日本 plain words, then ½ odd\u00a0ones \x1c\x1f end", "a" * 70 + "\n\n  <|endoftext|>\n  b",
        "word " * 60_000, "x" * 150_000, "1 " * 50_000 + "<|endoftext|>" * 9000 + " \n \n" * 9000, "one"]
 
 
@@ -112,3 +113,17 @@ def test_parts_join_to_the_text():
     for text in ("a b " * 50_000, "x" * 200_000, "", "ab \n" * 40_000):
         cut = tokencount.parts(text)
         assert "".join(cut) == text and all(len(p) >= tokencount.PART_CHARS for p in cut[:-1])
+
+
+def test_any_text_counts_as_the_library_counts_it():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    count, plain = tokencount.counter(tokencount.default_vocabulary()), library()
+    pieces = st.sampled_from(["a", "Word", " ", "  ", "\n", "\t", "\r\n", "é", "ß", "日", "'s", "'", "42", ".", "…", "\x85", "\u3000", "\x1c", "<|endoftext|>",
+                              "<|", "\u0301", "½", "٣", "\U0001f600", "x" * 40])
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(pieces | st.characters(codec="utf-8"), max_size=30).map("".join))
+    def check(text):
+        assert count([text]) == [plain(text)]
+    check()
