@@ -72,7 +72,8 @@ def test_families_and_chains(spark):
 def test_edge_cases(spark):
     docs = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "A b c d e f"), (8, "a B c d e f"),
             (9, "w " * 30_000), (10, "w " * 30_000 + "v"), (11, "École a b c d"), (12, "école a b c d"),
-            (7, "A b c d e f"), (13, "p q r s t"), (13, "u v w x y"), (14, "u v w x y"), (15, "p q r s t")]
+            (7, "A b c d e f"), (13, "p q r s t"), (13, "u v w x y"), (14, "u v w x y"), (15, "p q r s t"),
+            (20, "k l m n o"), (20, "l m n o p"), (20, "z y x w v"), (21, "l m n o p"), (22, "z y x w v")]
     df = spark.createDataFrame([d + ("x",) for d in docs] + [(None, "A b c d e f", "x"), (None, None, None)],
                                "doc_id long, text string, kept string")
     rows = neardup.near_duplicates(df, k=4).collect()

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from webfoot.llm import queries, tokencount
+from webfoot.llm import bytebpe, queries, tokencount
 from webfoot.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -111,8 +111,8 @@ def test_empty_table(spark):
 
 def test_parts_join_to_the_text():
     for text in ("a b " * 50_000, "x" * 200_000, "", "ab \n" * 40_000):
-        cut = tokencount.parts(text)
-        assert "".join(cut) == text and all(len(p) >= tokencount.PART_CHARS for p in cut[:-1])
+        cut = bytebpe.parts(text)
+        assert "".join(cut) == text and all(len(p) >= bytebpe.PART_CHARS for p in cut[:-1])
 
 
 def test_any_text_counts_as_the_library_counts_it():

@@ -9,21 +9,16 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plain(rows, every, k=10):
-    ints = {}
+    ints = set()
     for i, v in rows:
         if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
             continue
-        vec = [math.floor(1024.0 * x) for x in v]
-        data = np.array(vec, float).tobytes()
-        if i not in ints or data < ints[i][1]:
-            ints[i] = vec, data
-    out = set()
-    for q, (a, _) in ints.items():
-        if q % every:
-            continue
-        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, (b, _) in ints.items() if i != q and len(a) == len(b))
-        out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
-    return out
+        ints.add((i, tuple(math.floor(1024.0 * x) for x in v)))
+    scored = {}
+    for q, a in ints:
+        if q % every == 0:
+            scored.setdefault(q, []).extend((-sum(x * y for x, y in zip(a, b)), i) for i, b in ints if i != q and len(a) == len(b))
+    return {(q, r + 1, i, -s) for q, found in scored.items() for r, (s, i) in enumerate(sorted(found)[:k])}
 
 
 def test_query_against_brute_force(spark):
@@ -65,3 +60,27 @@ def test_large_components_stay_exact(spark):
     rows = [(0, [3.0e12, 1.0]), (1, [1.0, 0.5]), (2, [2.0, -7.0]), (3, [-1.0, 3.25])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert set(map(tuple, topk.top_k(df, lambda i: i == 0).collect())) == _plain(rows, 100)
+
+
+def test_long_vectors_and_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4097).tolist()) for i in range(2)] + [(i, rng.normal(size=3).tolist()) for i in (0, 0, 1, 1, 2, 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = set(map(tuple, topk.top_k(df, lambda i: i < 2, k=3).collect()))
+    assert got == {r for r in _plain(rows, 1, 3) if r[0] < 2}
+
+
+def test_blocks_that_cannot_reach_a_floor_stay_behind(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 40)
+    rng = np.random.default_rng(7)
+    rows = [(i, (rng.normal(size=6) * 2.0 ** (-(i % 40))).tolist()) for i in range(400)]
+    moved, true = [], topk._search
+
+    def watched(pairs, turned, k):
+        moved.append(pairs.count())
+        return true(pairs, turned, k)
+
+    monkeypatch.setattr(topk, "_search", watched)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert set(map(tuple, topk.top_k(df, lambda i: i % 40 == 0).collect())) == _plain(rows, 40)
+    assert moved[0] == 1 and 1 <= moved[1] < 6  # of some ten blocks

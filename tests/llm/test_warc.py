@@ -59,10 +59,11 @@ def test_salvage_of_members():
     broken[len(broken) // 2] ^= 0xFF
     data = b"".join(members[:3]) + bytes(broken) + members[4] + b"garbage \x1f\x8b\x08 more" + members[5] + members[6] + members[7][:-9]
     found = list(warc.salvage(data))
-    assert _ids(found) == [0, 1, 2, 4, 5, 6]
+    assert _ids(found) == [0, 1, 2, 4, 5, 6, 7]  # 3 has a garbled header, of 7 only the member's end is cut
+    assert [h["x-salvaged"] for kind, _, _, h, _ in found if kind == "record" and "x-salvaged" in h] == ["truncated member"]
     gaps = [(o, n) for kind, o, n, *_ in found if kind == "gap"]
     records = [(o, n) for kind, o, n, *_ in found if kind == "record"]
-    covered = sorted(gaps + records)
+    covered = sorted(set(gaps + records))
     assert covered[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(covered, covered[1:]))
     assert sum(n for _, n in covered) == len(data) and len(gaps) == 3
 
@@ -85,3 +86,25 @@ def test_damaged_archive_through_spark(spark, tmp_path):
     rows = warc.read_archives(spark, str(tmp_path), payloads=False).collect()
     assert sum(r.kind == "record" for r in rows) >= 6 and any(r.kind == "gap" and r.reason for r in rows)
     assert {os.path.basename(r.file) for r in rows} == {"a.warc.gz", "b.warc"}
+
+
+def test_half_of_a_member_gives_its_whole_records():
+    """One member of many records, cut off or with a flipped byte: what stands before is recovered."""
+    records = _records(100)
+    whole = warc.member(b"".join(records))
+    cut = list(warc.salvage(whole[:-3]))
+    assert _ids(cut) == list(range(100)) and cut[-1][0] == "gap" and "truncated" in cut[-1][3]
+    half = list(warc.salvage(whole[:len(whole) // 2]))
+    assert 40 <= len(_ids(half)) < 60 and _ids(half) == list(range(len(_ids(half))))
+    flipped = bytearray(whole)
+    flipped[-6] ^= 1  # the member's CRC
+    assert _ids(warc.salvage(bytes(flipped))) == list(range(100))
+    flipped = bytearray(whole)
+    flipped[len(whole) // 2] ^= 0x55
+    found = list(warc.salvage(bytes(flipped) + warc.member(records[7])))
+    ids = _ids(found)
+    assert ids[-1] == 7 and ids[:-1] == sorted(set(ids[:-1])) and len(ids) > 40 and set(range(40)) < set(ids)
+    blocks = {warc._row_id(h["warc-record-id"]): b for kind, _, _, h, b in found if kind == "record"}
+    assert all(b == warc.parse_record(records[i], 0)[1] for i, b in blocks.items())
+    covered = {(o, n) for _, o, n, *_ in found}
+    assert min(o for o, _ in covered) == 0 and max(o + n for o, n in covered) == len(whole) + len(warc.member(records[7]))

@@ -111,15 +111,17 @@ def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField],
 
 def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
     """The rows of ``df``, unchanged, for whose text the function gives True."""
+    at = df.columns.index(text_col)
+    as_text = dict(df.dtypes)[text_col] == "string"
     text = "_wf_text"
     while text in df.columns:
         text += "_"
     width = len(df.columns)
-    source = df.select(*map(col, df.columns), col(text_col).cast("string").alias(text))
+    source = df if as_text else df.select(*map(col, df.columns), col(text_col).cast("string").alias(text))
 
     def run(batches):
         fn = make()
-        for part, texts in text_slices(batches, width):
+        for part, texts in text_slices(batches, at if as_text else width):
             yield part.filter(pa.array(fn(texts), pa.bool_())).select(range(width))
 
     return source.mapInArrow(run, df.schema)

@@ -270,17 +270,19 @@ def _promising_partners(left, right, same: bool, percent: int):
     glance = np.ascontiguousarray(bits[:, :GLANCE_WORDS])
     share = GLANCE_WORDS * 64 / BITS
     rep, root, n, filled = (right[c].to_numpy() for c in ("rep", "root", "n", "filled"))
+    low, high = percent / 100, 100 / percent
     for r, o, m, sketch, f in zip(*(left[c] for c in ("rep", "root", "n", "sketch", "filled"))):
         own = np.asarray(sketch, np.int64).view(np.uint64)
-        most = most_differing_bits(filled + f, percent / 100 - MARGIN, np.exp)
-        # A part of the bitmap first: its count lies within five deviations of its share of the whole.
-        first = np.bitwise_count(glance ^ own[:GLANCE_WORDS]).sum(axis=1)
-        at = np.flatnonzero((first <= most * share + 5 * np.sqrt(most * share) + 1) & (root != o)
-                            & (rep > r if same else rep != r)
-                            & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        at = np.flatnonzero((root != o) & (n >= m * low) & (n <= m * high) & (rep > r if same else rep != r))
+        if len(at):
+            most = most_differing_bits(filled[at] + f, percent / 100 - MARGIN, np.exp)
+            # A part of the bitmap first: its count lies within five deviations of its share of the whole.
+            first = np.bitwise_count(glance[at] ^ own[:GLANCE_WORDS]).sum(axis=1)
+            near = first <= most * share + 5 * np.sqrt(most * share) + 1
+            at, most = at[near], most[near]
         if len(at):
             differing = np.bitwise_count(bits[at] ^ own).sum(axis=1)
-            good = differing <= most[at]
+            good = differing <= most
             at = at[good][np.argsort(differing[good], kind="stable")]
         yield at
 
@@ -389,9 +391,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, roots = _extended(links, roots, confirm(rest, docs, id_col, text_col, k, percent))
     links, roots = _extended(links, roots, open_links(
         shared.select("key", "rep"), reps, roots, docs, id_col, text_col, k, percent))
-    # An id whose rows have different sets stands for all of them.
-    same_id = (signed.where("n > 0 and doc_id is not null").join(reps.select("f1", "f2", "rep"), ["f1", "f2"])
-               .groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b"))
+    # An id whose rows have different sets stands for all of them: each of its classes is linked with the first.
+    classes = (signed.where("n > 0 and doc_id is not null").join(reps.select("f1", "f2", "rep"), ["f1", "f2"])
+               .select("doc_id", "rep").distinct())
+    several = classes.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
+    same_id = several.select("doc_id", "a").join(classes, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     _, roots = _extended(links, roots, same_id)
 
     discard(shared, candidates, links)

@@ -20,9 +20,9 @@ are packed in that order.  Pieces are written to the shared folder before they
 are counted; the numbering never changes when a task runs again.
 
 Token ids come from a public byte-level BPE vocabulary (its file is a
-parameter).  A token never spans the start of a run of white space, nor the
-place between a letter and ASCII punctuation, so texts are cut there and the
-ids of frequent cuts are kept, in a cache of bounded size.
+parameter).  No token spans the start of a run of blanks after a letter, so
+long texts are encoded in parts; parts of common characters go through a faster
+library with the same merges, all others through the vocabulary's own.
 
 Defined cases: null and empty texts hold the end id only; rows with null or
 repeated ids are packed like any other; strings that look like special tokens
@@ -32,33 +32,24 @@ not carried.
 
 from __future__ import annotations
 
-import json
 import os
-import re
 import sys
 import zlib
 from array import array
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from webfoot.llm.bytebpe import merges_of, parts, runs
 from webfoot.llm.common import col, materialize, text_slices
 
 CAPACITY = 2048
 SMALLEST_UNIT = 64
 END_ID = 1
-CACHE_ENTRIES = 150_000  # of each of two generations
-CACHE_LONGEST = 64
-
-#: The white space of the Unicode property, as the vocabulary's own pattern has it.
-WHITE = "\t-\r \x85\xa0  -     　"
-#: Letters of which each is one of the vocabulary's pattern, too; a run of them ends a cut before ASCII punctuation.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_CUT = re.compile(f"[{WHITE}]*[{LETTERS}]++(?=[!-/:-@\\[-`{{-~])|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-_PLAIN = re.compile(f" ?[{LETTERS}]+").fullmatch
 
 
 def default_vocabulary() -> str:
@@ -72,46 +63,28 @@ class Encoder:
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
+        held = Tokenizer.from_file(vocabulary)
+        held.encode_special_tokens = True
         if sys.byteorder != "little" or array("H").itemsize != 2:
             raise ValueError("ids are kept as little-endian 16-bit numbers")
-        if self._tokenizer.get_vocab_size() > 1 << 16:
+        if held.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
-        self._pieces = self._byte_pairs(vocabulary)
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    @staticmethod
-    def _byte_pairs(vocabulary: str):
-        """The same vocabulary's merges for cuts that are one pre-token, without the tokenizer's bookkeeping."""
-        import tiktoken
-        shown = [b for r in (range(33, 127), range(161, 173), range(174, 256)) for b in r]
-        byte_of = {chr(b): b for b in shown}  # the byte-level alphabet: printable bytes stand for themselves,
-        byte_of |= {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}  # the rest follow
-        with open(vocabulary, encoding="utf-8") as f:
-            held = json.load(f)
-        special = {t["content"] for t in held["added_tokens"]}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in held["model"]["vocab"].items() if token not in special}
-        return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def _ids(self, cut: str) -> bytes:
-        ids = self._pieces(cut) if _PLAIN(cut) else self._tokenizer.encode(cut, add_special_tokens=False).ids
-        return array("H", ids).tobytes()
+        self._tokenizer = held
+        self._merges = merges_of(held, [t.content for t in held.get_added_tokens_decoder().values()])
 
     def __call__(self, text: str) -> bytes:
-        cuts = _CUT.findall(text)
-        if len(self._young) > CACHE_ENTRIES:  # keep what was in use lately
-            self._young, self._old = {}, self._young
-        young, old, long = self._young, self._old, {}
-        for cut in set(cuts).difference(young):
-            if len(cut) > CACHE_LONGEST:
-                long[cut] = self._ids(cut)
-            else:
-                young[cut] = old.get(cut) or self._ids(cut)
-        if long:
-            return b"".join([long[c] if c in long else young[c] for c in cuts])
-        return b"".join(map(young.__getitem__, cuts))
+        out = array("H")
+        for part in parts(text):
+            for plain, piece in runs(part):
+                out.extend(self._merges(piece) if plain and self._merges else
+                           self._tokenizer.encode(piece, add_special_tokens=False).ids)
+        return out.tobytes()
+
+
+@lru_cache(1)
+def encoder(vocabulary: str) -> Encoder:
+    """One for a worker process, whatever its tasks."""
+    return Encoder(vocabulary)
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, unit: int = SMALLEST_UNIT) -> list[int]:
@@ -137,7 +110,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacit
     def run(batches):
         from pyspark import TaskContext
         task = f"#{TaskContext.get().partitionId():08d}"
-        encode, end = Encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         split, numbers = None, None
         for batch, texts in text_slices(batches, 2):
             out = [[] for _ in names]

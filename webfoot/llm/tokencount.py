@@ -42,18 +42,16 @@ read.
 
 from __future__ import annotations
 
-import json
 import os
-import re
 from collections.abc import Callable
 from functools import lru_cache
 from hashlib import sha256
-from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webfoot.llm.bytebpe import CUT, PART_CHARS, merges_of, parts, runs
 from webfoot.llm.common import col, discard, materialize, text_slices
 
 LIMIT = 1024
@@ -61,18 +59,8 @@ HOT = 500
 PLACES_PER_TEXT = 8
 MAX_PLACES = 1 << 27
 PAGE = 1 << 15  # places of one bitmap row
-PART_CHARS = 1 << 16  # texts are encoded in parts of about this size, together at most
 SEEN = 100_000  # digests a task remembers
 
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: The start of a run of blanks after such a letter or printable ASCII: no token of a byte-level vocabulary spans it.
-_CUT = re.compile(f"(?<=[!-~{LETTERS}])(?=[ \\n])")
-#: Text of characters whose class (letter, number, blank, other) no two Unicode tables doubt.
-_PLAIN = re.compile(f"[\\t\\n\\r -~{LETTERS}]*").fullmatch
-#: The faster library's time grows with the square of a run's length.
-_LONG = re.compile(r"\S{300}|\s{300}").search
-
-
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -117,34 +105,6 @@ def normal_form(vocabulary: str) -> Callable[[str], str] | None:
     return normal
 
 
-def parts(text: str) -> list[str]:
-    """The text cut at places that no token spans, after ``PART_CHARS`` characters or more."""
-    out, start = [], 0
-    while len(text) - start > 2 * PART_CHARS:
-        cut = _CUT.search(text, start + PART_CHARS)
-        if cut is None:
-            break
-        out.append(text[start:cut.start()])
-        start = cut.start()
-    return out + [text[start:]]
-
-
-def _merges(held, special: list[str]):
-    """The same merges by tiktoken, which counts several times faster; None where ids do not follow the merges."""
-    import public_tokenizers
-    import tiktoken
-    model = json.loads(held.to_str())["model"]
-    ids = {t: i for t, i in model["vocab"].items() if t not in special}
-    made = [ids.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
-    if None in made or made != sorted(made) or len(ids) != len(made) + 256 or min(made) < 256:
-        return None
-    shown = [b for r in (range(33, 127), range(161, 173), range(174, 256)) for b in r]
-    byte_of = {chr(b): b for b in shown}  # the byte-level alphabet: printable bytes stand for themselves,
-    byte_of |= {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}  # the rest follow
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in ids.items()}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-
 @lru_cache(2)
 def counter(vocabulary: str) -> Callable[[list[str]], list[int]]:
     """A function from whole texts to their numbers of tokens."""
@@ -157,8 +117,8 @@ def counter(vocabulary: str) -> Callable[[list[str]], list[int]]:
     special = [t.content for t in added]
     # Parts count alike only where neither a normalizer nor a prefix looks at a part's edges.
     divisible = (held.normalizer is None and type(before).__name__ == "ByteLevel" and not before.add_prefix_space
-                 and before.use_regex and not any(t.lstrip or t.rstrip or t.single_word or _CUT.search(t.content) for t in added))
-    merges = _merges(held, special) if divisible else None
+                 and before.use_regex and not any(t.lstrip or t.rstrip or t.single_word or CUT.search(t.content) for t in added))
+    merges = merges_of(held, special) if divisible else None
 
     def by_library(pieces: list[str]) -> int:
         total = start = size = 0
@@ -172,14 +132,12 @@ def counter(vocabulary: str) -> Callable[[list[str]], list[int]]:
     def of_part(part: str) -> int:
         if any(s in part for s in special):
             return by_library([part])
-        if _PLAIN(part) and not _LONG(part):
-            return len(merges(part))
         total, odd = 0, []
-        for plain, run in groupby(_CUT.split(part), lambda p: _PLAIN(p) is not None and not _LONG(p)):
+        for plain, piece in runs(part):
             if plain:
-                total += len(merges("".join(run)))
+                total += len(merges(piece))
             else:
-                odd.append("".join(run))
+                odd.append(piece)
         return total + by_library(odd)
 
     if not divisible:

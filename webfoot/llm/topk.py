@@ -18,14 +18,16 @@ bound to begin with.  Bounds only ever drop pairs that cannot be among the k
 best, ties included.  Each pair of blocks returns at most k rows a query, and
 Spark ranks these.
 
-Memory: a task holds two blocks.  The driver gets one ``dimension x dimension``
-matrix for each dimension.
+Memory: a task holds two blocks of at most ``BLOCK_BYTES``.  The driver gets one
+``dimension x dimension`` matrix for each dimension up to ``MAX_ROTATED``.
 
 Defined cases: null ids, null or empty vectors and vectors that hold null or
 non-finite components take no part; vectors of different dimensions are not
 compared; ties go to the smaller id; a row with the query's own id is not its
-candidate; rows that repeat an id and vector count once; an empty table gives
-an empty result; other columns are not read.
+candidate; rows that repeat an id and vector count once; an id with several
+vectors asks with each and is found by each, and its ``k`` best are taken of all
+its pairs; vectors may have any number of components; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ VECTOR_BLOCK = 4096
 QUERY_BLOCK = 2048
 CHUNK = 512
 LEAD_SHARE = 0.6  # of the corpus' energy in the leading coordinates
-MAX_DIMENSION = 4096
+BLOCK_BYTES = 64 << 20  # of vectors in a block at most
+MAX_ROTATED = 2048  # components of vectors that are rotated; longer ones are bounded by length alone
 
 _BLOCK_SCHEMA = "dim int, ids array<long>, data binary, longest double"
 
@@ -51,7 +54,7 @@ def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: flo
     """``(dim, length, vec_id, data)``: integer components as bytes of doubles."""
     v = col(vector_col)
     rows = (vectors.select(col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
-            .where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & (F.size("v") <= MAX_DIMENSION)).where(
+            .where(F.col("vec_id").isNotNull() & (F.size("v") > 0)).where(
                 F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), F.lit(False)))))
 
     def run(batches):
@@ -65,8 +68,8 @@ def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: flo
                  batch.column(0), pa.array([p.tobytes() for p in parts], pa.binary())],
                 names=["dim", "length", "vec_id", "data"])
 
-    return rows.mapInArrow(run, "dim int, length double, vec_id long, data binary").groupBy("vec_id").agg(
-        F.min(F.struct("data", "dim", "length")).alias("v")).select("v.dim", "v.length", "vec_id", "v.data")
+    return rows.mapInArrow(run, "dim int, length double, vec_id long, data binary").groupBy("vec_id", "data").agg(
+        F.first("dim").alias("dim"), F.first("length").alias("length")).select("dim", "length", "vec_id", "data")
 
 
 def second_moments(rows: DataFrame) -> dict[int, np.ndarray]:
@@ -83,7 +86,7 @@ def second_moments(rows: DataFrame) -> dict[int, np.ndarray]:
                 [pa.array(np.full(d * d, d), pa.int32()), pa.array(np.arange(d * d), pa.int32()), pa.array(m.ravel())],
                 names=["dim", "cell", "v"])
 
-    cells = rows.select("dim", "data").mapInArrow(run, "dim int, cell int, v double").groupBy("dim", "cell").agg(
+    cells = rows.where(F.col("dim") <= MAX_ROTATED).select("dim", "data").mapInArrow(run, "dim int, cell int, v double").groupBy("dim", "cell").agg(
         F.sum("v").alias("v")).collect()
     out: dict[int, np.ndarray] = {}
     for r in cells:
@@ -116,7 +119,7 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for d, length, i, data in zip(*(c.to_pylist() for c in batch.columns)):
                 held.setdefault(d, []).append((i, data, length))
-                if len(held[d]) == size:
+                if len(held[d]) >= min(size, max(1, BLOCK_BYTES // (8 * d))):
                     yield block(d)
         for d in list(held):
             yield block(d)
@@ -133,7 +136,7 @@ def best_of_block(q_ids, q, c_ids, c, floor_, rotation, lead: int, k: int):
     order = np.argsort(-lengths, kind="stable")
     c, c_ids, lengths = c[order], c_ids[order], lengths[order]
     exact = float(q_lengths.max(initial=0)) * float(lengths.max(initial=0)) < 2.0 ** 52
-    rq, rc = q @ rotation, c @ rotation
+    rq, rc = (q, c) if rotation is None else (q @ rotation, c @ rotation)
     q_rest = np.sqrt(np.maximum(q_lengths ** 2 - (rq[:, :lead] ** 2).sum(axis=1), 0))
     c_rest = np.sqrt(np.maximum(lengths ** 2 - (rc[:, :lead] ** 2).sum(axis=1), 0))
     best, names = np.full((len(q), k), -np.inf), np.zeros((len(q), k), np.int64)
@@ -176,7 +179,7 @@ def _search(pairs: DataFrame, turned: dict, k: int) -> DataFrame:
                 q, c = (np.frombuffer(batch.column(j)[i].as_py()).reshape(-1, dim) for j in (2, 5))
                 known = dict(batch.column(3)[i].as_py() or ())
                 lows = np.array([known.get(x, -np.inf) for x in q_ids.tolist()])
-                rows, ids, scores = best_of_block(q_ids, q, c_ids, c, lows, *turned[dim], k)
+                rows, ids, scores = best_of_block(q_ids, q, c_ids, c, lows, *turned.get(dim, (None, 0)), k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_ids[rows]), pa.array(ids), pa.array(scores.astype(np.int64))],
                     names=["query_id", "vec_id", "score"])
@@ -198,8 +201,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
     banded = rows.repartitionByRange(max(1, -(-n // VECTOR_BLOCK)), "dim", F.desc("length"), "vec_id").sortWithinPartitions(
         "dim", F.desc("length"), "vec_id")
     cells = materialize(blocks(banded, VECTOR_BLOCK), "vector-blocks")
-    asked = materialize(blocks(queries.repartition(max(1, -(-n_queries // QUERY_BLOCK)), "vec_id"), QUERY_BLOCK).select(
-        "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
+    asked = materialize(blocks(queries.repartitionByRange(  # queries of like length together: their blocks are pruned alike
+        max(1, -(-n_queries // QUERY_BLOCK)), "dim", F.desc("length"), "vec_id"), QUERY_BLOCK).select(
+        "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("longest").alias("q_longest"),
         F.monotonically_increasing_id().alias("q_block")), "query-blocks")
 
     # The block of the longest vectors of each dimension gives every query a floor.
@@ -209,13 +213,18 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
         "known", F.lit(None).cast("map<long,double>"))
     floors = (_search(seeds, turned, k).withColumn("r", F.row_number().over(rank)).where(F.col("r") == k)
               .select("query_id", F.col("score").cast("double").alias("floor")))
-    known = (asked.select("q_block", F.explode("q_ids").alias("query_id")).join(floors, "query_id").groupBy("q_block")
-             .agg(F.map_from_entries(F.collect_list(F.struct("query_id", "floor"))).alias("known")))  # one entry a query of the block
+    known = (asked.select("q_block", F.explode("q_ids").alias("query_id")).distinct().join(floors, "query_id", "left")
+             .groupBy("q_block").agg(
+                 F.map_from_entries(F.collect_list(F.when(F.col("floor").isNotNull(), F.struct("query_id", "floor")))).alias("known"),
+                 F.when(F.count_if(F.col("floor").isNull()) == 0, F.min("floor")).alias("low")))  # one entry a query of the block
     ready = materialize(asked.join(known, "q_block", "left"), "query-blocks-ready")
 
-    # Query blocks against vector blocks: the stated queries against all rows.
-    numbers = ready.groupBy("dim").agg(F.collect_list("q_block").alias("q_blocks"))
-    pairs = (cells.join(numbers, "dim").withColumn("q_block", F.explode("q_blocks")).drop("q_blocks", "dim")
-             .join(ready, "q_block"))
+    # Query blocks against vector blocks: the stated queries against all rows, but for blocks whose longest
+    # vector cannot reach the lowest floor of a query block; those never move.
+    numbers = ready.groupBy("dim").agg(F.collect_list(F.struct("q_block", "q_longest", "low")).alias("asked"))
+    reach = F.col("asked.q_longest") * F.col("longest") * (1 + 1e-9) + 1e-6
+    pairs = (cells.join(numbers, "dim").withColumn("asked", F.explode("asked"))
+             .where(F.col("asked.low").isNull() | (reach >= F.col("asked.low")))
+             .withColumn("q_block", F.col("asked.q_block")).drop("asked", "dim").join(ready, "q_block"))
     return (_search(pairs, turned, k).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -166,23 +166,39 @@ def write_archives(pages: DataFrame, path: str | None = None, id_col: str = "pag
 # ---------------------------------------------------------------- reading
 
 class Damaged(Exception):
-    """A member or record that fails its checks."""
+    """A member or record that fails its checks; ``content`` is what a member held up to there."""
+
+    def __init__(self, reason: str, content: bytes = b""):
+        super().__init__(reason)
+        self.content = content
 
 
 def inflate(data: memoryview, at: int) -> tuple[bytes, int]:
     """The member at ``at`` and the offset after it; its CRC and length are checked by zlib."""
     unpack, parts, pos = zlib.decompressobj(31), [], at
-    try:
-        while not unpack.eof:
-            if pos >= len(data):
-                raise Damaged("truncated member")
+    while not unpack.eof:
+        if pos >= len(data):
+            raise Damaged("truncated member", b"".join(parts))
+        before = unpack.copy()
+        try:
             parts.append(unpack.decompress(data[pos:pos + CHUNK]))
-            pos += CHUNK
-    except zlib.error as e:
-        raise Damaged(f"bad member: {e}") from None
+        except zlib.error as e:
+            raise Damaged(f"bad member: {e}", b"".join(parts) + _until_error(before, data[pos:pos + CHUNK])) from None
+        pos += CHUNK
     return b"".join(parts), min(pos, len(data)) - len(unpack.unused_data)
 
 
+def _until_error(unpack, data: memoryview) -> bytes:
+    """What can be decompressed of ``data`` before its error, in steps of a few bytes."""
+    parts = []
+    try:
+        for at in range(0, len(data), 16):
+            parts.append(unpack.decompress(data[at:at + 16]))
+    except zlib.error:
+        pass
+    return b"".join(parts)
+
+
 def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at ``at``."""
     if not data.startswith(b"WARC/1.", at):
@@ -232,10 +248,23 @@ def _walk(data: bytes, view: memoryview, base: int, outer: int | None) -> Iterat
                 found = [("record", pos if outer is None else base, end - pos if outer is None else outer,
                           headers, block)]
         except Damaged as e:
-            if bad is None:
-                bad, reason = pos, str(e)
             sign = _SIGN.search(data, pos + 1)
-            pos = sign.start() if sign else len(data)
+            after = sign.start() if sign else len(data)
+            # A member that breaks off: its whole records first, the rest of its content is the gap.
+            held = list(_walk(e.content, memoryview(e.content), pos, after - pos)) if e.content and outer is None else []
+            if any(kind == "record" for kind, *_ in held):
+                if bad is not None:
+                    yield _gap(bad, pos, reason, base, outer)
+                    bad = None
+                for _, offset, length, headers, block in (x for x in held if x[0] == "record"):
+                    # No check covers headers but the member's own: a payload digest that fits speaks for them.
+                    if headers.get("warc-type") != "response" or _payload_fits(headers, block):
+                        yield "record", offset, length, headers | {"x-salvaged": str(e)}, block
+                lost = [x[3] for x in held if x[0] == "gap"] or ["all of its records whole"]
+                yield "gap", pos, after - pos, "; ".join([str(e), *lost]), None
+            elif bad is None:
+                bad, reason = pos, str(e)
+            pos = after
             continue
         if bad is not None:
             yield _gap(bad, pos, reason, base, outer)
@@ -265,11 +294,17 @@ def payload_of(headers: dict[str, str], block: bytes) -> bytes:
     return payload if blank else block
 
 
+def _payload_fits(headers: dict[str, str], block: bytes) -> bool:
+    name, _, digest = headers.get("warc-payload-digest", "").partition(":")
+    return name != "sha1" or digest == hashlib.sha1(payload_of(headers, block)).hexdigest()
+
+
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Every record and every quarantined gap of the archives in a folder.
 
     ``kind`` is ``record`` or ``gap``; a gap has its file, offset, length and
-    reason.  Digest and length of a response are those of the bytes read;
+    reason.  A record that was recovered from a damaged member has the damage as
+    its reason.  Digest and length of a response are those of the bytes read;
     those of a revisit are what its headers say of the full payload.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(path)
@@ -288,7 +323,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                     payload = payload_of(what, block)
                     revisit = what.get("warc-type") == "revisit"
                     size = what.get("x-payload-length", "")
-                    row = (name, offset, length, kind, None, _row_id(what.get("warc-record-id")),
+                    row = (name, offset, length, kind, what.get("x-salvaged"), _row_id(what.get("warc-record-id")),
                            what.get("warc-type"), what.get("warc-target-uri"),
                            (int(size) if size.isdecimal() else None) if revisit else len(payload),
                            what.get("warc-payload-digest", "").rpartition(":")[2] if revisit
