@@ -12,10 +12,16 @@ PART_CHARS = 1 << 16  # texts are encoded in parts of about this size
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: The start of a run of blanks after such a letter or printable ASCII: no token of a byte-level vocabulary spans it.
 CUT = re.compile(f"(?<=[!-~{LETTERS}])(?=[ \\n])")
-#: Text of characters whose class (letter, number, blank, other) no two Unicode tables doubt.
-_PLAIN = re.compile(f"[\\t\\n\\r -~{LETTERS}]*").fullmatch
+#: Characters whose class (letter, number, blank, other) no two Unicode tables doubt: ASCII and the letters above, as UTF-8.
+_ASCII = bytes([9, 10, 13, *range(32, 127)])
+_LATIN = re.compile(rb"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*").fullmatch
 #: The faster library's time grows with the square of a run's length.
-_LONG = re.compile(r"\S{300}|\s{300}").search
+_BLANKS = re.compile(r"\s{300}").search
+
+
+def _plain(piece: str) -> bool:
+    rest = piece.encode("utf-8", "replace").translate(None, _ASCII)
+    return (not rest or _LATIN(rest) is not None) and max(map(len, piece.split()), default=0) < 300 and not _BLANKS(piece)
 
 
 def parts(text: str) -> list[str]:
@@ -32,11 +38,10 @@ def parts(text: str) -> list[str]:
 
 def runs(part: str) -> Iterator[tuple[bool, str]]:
     """The part in pieces that no token spans, True where both libraries surely agree on the piece and it is cheap."""
-    plain = lambda p: _PLAIN(p) is not None and not _LONG(p)
-    if plain(part):
+    if _plain(part):
         yield True, part
         return
-    for good, pieces in groupby(CUT.split(part), plain):
+    for good, pieces in groupby(CUT.split(part), _plain):
         yield good, "".join(pieces)
 
 

@@ -33,9 +33,7 @@ not carried.
 from __future__ import annotations
 
 import os
-import sys
 import zlib
-from array import array
 from collections import defaultdict
 from functools import lru_cache
 
@@ -65,20 +63,19 @@ class Encoder:
         from tokenizers import Tokenizer
         held = Tokenizer.from_file(vocabulary)
         held.encode_special_tokens = True
-        if sys.byteorder != "little" or array("H").itemsize != 2:
-            raise ValueError("ids are kept as little-endian 16-bit numbers")
         if held.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
         self._tokenizer = held
         self._merges = merges_of(held, [t.content for t in held.get_added_tokens_decoder().values()])
 
     def __call__(self, text: str) -> bytes:
-        out = array("H")
+        out = []
         for part in parts(text):
             for plain, piece in runs(part):
-                out.extend(self._merges(piece) if plain and self._merges else
-                           self._tokenizer.encode(piece, add_special_tokens=False).ids)
-        return out.tobytes()
+                ids = (self._merges(piece) if plain and self._merges else
+                       self._tokenizer.encode(piece, add_special_tokens=False).ids)
+                out.append(np.array(ids, "<u2").tobytes())
+        return b"".join(out)
 
 
 @lru_cache(1)
