@@ -72,3 +72,32 @@ def resolve_attempts(log: DataFrame, max_tries: int = MAX_TRIES,
         total.alias("total_timeout_ms"),
         F.when(F.size(failed_before) > 0, last_err).alias("last_error_id"),
     )
+
+
+def resolve_fetches(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
+    """O54 with what each try saw: one outcome per target of ``log(target, attempt_id, ts, ok, error, title, final_url)``.
+
+    Output: target, status, tries, url (as last attempted), exception (of the
+    last failed try), title and redirect (the last that any counted try saw,
+    failed ones too: D15).  A try redirects where its final URL is not the URL
+    it asked for, which each failure before it has rewritten (O27).
+    """
+    w = Window.partitionBy("target").orderBy("ts", "attempt_id")
+    kept = log.withColumn("try", F.row_number().over(w)).where(F.col("try") <= max_tries)
+    per = kept.groupBy("target").agg(
+        F.min(F.when(F.col("ok"), F.col("try"))).alias("ok_try"), F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_list(F.struct("try", "ok", "error", "title", "final_url"))).alias("__wf_tries"))
+    per = per.withColumn("tries", F.coalesce("ok_try", "n").cast("int")).withColumn(
+        "__wf_tries", F.slice("__wf_tries", F.lit(1), F.col("tries")))
+
+    def last(values: Column) -> Column:
+        return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
+
+    good = F.col("ok_try").isNotNull()
+    asked = lambda t: U.www_fallback_times("target", t["try"] - 1)
+    return per.select(
+        "target", F.when(good, F.lit(200)).otherwise(F.lit(400)).alias("status"), "tries",
+        U.www_fallback_times("target", F.when(good, F.col("tries") - 1).otherwise(F.col("tries"))).alias("url"),
+        last(F.transform("__wf_tries", lambda t: F.when(~t.ok, t.error))).alias("exception"),
+        last(F.transform("__wf_tries", lambda t: t.title)).alias("title"),
+        last(F.transform("__wf_tries", lambda t: F.when(t.final_url != asked(t), t.final_url))).alias("redirect"))

@@ -69,7 +69,7 @@ def _bucketed_edges(edges: DataFrame, hubs: DataFrame, n_edges: int, edges_per_t
     return spark.table(name), name
 
 
-class _Seen:
+class SeenNodes:
     """Nodes reached so far, as runs that are merged at doubling sizes."""
 
     def __init__(self, spark: SparkSession, before: DataFrame | None):
@@ -115,7 +115,7 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None,
         "src", F.ceil(F.col("deg") / edges_per_task).cast("int").alias("salts")))
     table, name = _bucketed_edges(edges, hubs, edges.count(), edges_per_task)
     base = scratch_path(spark, "bfs_levels")
-    seen = _Seen(spark, already_seen)
+    seen = SeenNodes(spark, already_seen)
 
     def write(rows: DataFrame, depth: int) -> tuple[DataFrame, int]:
         rows.select("node", "parent").write.parquet(f"{base}/depth={depth}")

@@ -19,7 +19,7 @@ from ..operators import domains, enrich, graph, links, seen
 from ..operators import store as S
 from ..sources import fixtures as FX
 from ..sources import seeds, tables
-from . import jobs
+from . import crawl, jobs
 
 # --- fixed values: parameters of the registered queries ---
 HTML_OUT = "/archive/html"
@@ -408,6 +408,24 @@ def url_crawl(spark, sf):
                       "html", "screenshot", "status")
 
 
+def _site(spark, sf):
+    """the captured site and the attempt log of its pages and their link targets."""
+    site = S.write_version(spark, FX.site_pages(spark, sf), "site")
+    linked = links.page_edges(links.extract_refs(site.select("page_id", "url", "html"))).select(F.col("dst").alias("url")).distinct()
+    return site, FX.fetch_log(site, linked.join(site.select("url"), "url", "left_anti"))
+
+
+def fetch_crawl(spark, sf):
+    """O70 + O57 + O54: the crawl from page 0, each step a fetch with its tries."""
+    site, log = _site(spark, sf)
+    table = crawl.fetch_table(site, log, _rules(spark), HTML_OUT, SCREEN_OUT)
+    rec = crawl.crawl(table, site.where("page_id = 0").select(F.col("url").alias("node")))
+    return rec.select(
+        "node", "depth", "tries", "url", "fqdn", "sld", "redirect", F.col("pre_url")[0].alias("pre_url"),
+        *[F.array_join(F.col("next_url." + k), " ").alias("next_" + k) for k in ("a", "link", "script", "img")],
+        "url_nums", "title", "html", "screenshot", "status", "exception")
+
+
 def _url_writes(spark, sf):
     """Crawl records numbered in write order (depth, then node): the O52 counter.
 
@@ -485,6 +503,7 @@ def _queries() -> dict[str, Query]:
         "url_records": url_records,
         "ip_records": ip_records,
         "url_crawl": url_crawl,
+        "fetch_crawl": fetch_crawl,
         "url_store": url_store,
         "url_index": url_index,
     }

@@ -30,6 +30,9 @@ RICH_SNIPPETS_5 = [
     '<a href="HTTP://X.com/A">x</a><script src="/js/app.js" defer></script>',
     '<a href="#top">t</a><img src="data:image/gif;base64,R0lGOD">',
 ]
+# Outcomes of a try by the first digit of md5(url, number of the try) in F10; digits not named succeed.
+FETCH_ERRORS = {"a": "TimeoutError", "b": "NetworkError", "c": "PageError", "d": "TimeoutError", "e": "NetworkError", "f": "PageError"}
+FETCH_TRIES = 5
 # DNS record types asked for every target (O38): all registered mnemonics.
 RTYPES = (
     "TYPE0 A NS MD MF CNAME SOA MB MG MR NULL WKS PTR HINFO MINFO MX TXT RP AFSDB X25 ISDN RT NSAP "
@@ -187,3 +190,41 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("https://u"), uid, F.lit(".example.com/")))
     return e.select(target.alias("target"), F.col("event_id").alias("attempt_id"), "ts",
                     (F.col("event_type") != "error").alias("ok"))
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 with links that make the pages a binary tree below page 0, and a link back to it.
+
+    Of pages with one URL the lowest ``page_id`` counts.
+    """
+    p = pages_rich(spark, sf_dir)
+    first = p.groupBy("url").agg(F.min_by(F.struct("page_id", "html"), "page_id").alias("p")).select(
+        F.col("p.page_id").alias("page_id"), "url", F.col("p.html").alias("html"))
+    names = first.select(F.col("page_id").alias("to"), F.col("url").alias("linked"))
+    targets = first.select("page_id", F.explode(F.array(
+        F.lit(0), F.col("page_id") * 2 + 1, F.col("page_id") * 2 + 2)).alias("to")).join(names, "to")
+    extra = targets.groupBy("page_id").agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat(F.lit('<a href="'), F.col("linked"), F.lit('">l</a>')))), "").alias("extra"))  # three links at most
+    return first.join(extra, "page_id", "left").select(
+        "page_id", "url", F.concat("html", F.coalesce("extra", F.lit(""))).alias("html"))
+
+
+def fetch_log(pages: DataFrame, others: DataFrame) -> DataFrame:
+    """tries of every URL of ``pages`` and failed ones of half the URLs of ``others(url)``.
+
+    ``(target, attempt_id, ts, ok, error, title, final_url)``; the outcome of a
+    try follows from a digest of URL and number.
+    """
+    hexdigit = F.substring(F.md5(F.concat("url", F.col("k").cast("string"))), 1, 1)
+    tries = F.sequence(F.lit(0), F.lit(FETCH_TRIES - 1))
+    known = pages.select("url", F.lit(True).alias("captured"), F.explode(tries).alias("k"))
+    lost = others.where(F.substring(F.md5("url"), 1, 1) < "8").select("url", F.lit(False).alias("captured"), F.explode(tries).alias("k"))
+    failed = hexdigit.isin(list(FETCH_ERRORS)) | ~F.col("captured")
+    errors = F.create_map(*[x for kv in FETCH_ERRORS.items() for x in map(F.lit, kv)])
+    return known.unionByName(lost).select(
+        F.col("url").alias("target"), F.col("k").cast("bigint").alias("attempt_id"),
+        F.timestamp_seconds(F.lit(1700000000) - F.col("k")).alias("ts"),  # the last attempt was the first in time
+        ~failed, F.when(failed, F.coalesce(errors[hexdigit], F.lit("NotFound"))),
+        F.when(hexdigit.isin("d", "e"), F.concat(F.lit("try "), F.col("k").cast("string"))),
+        F.when(~failed | hexdigit.isin("e", "f"), F.regexp_replace("url", "^http://", "https://"))
+    ).toDF("target", "attempt_id", "ts", "ok", "error", "title", "final_url")
