@@ -16,8 +16,10 @@ from ..functions import html as H
 from ..functions import urls as U
 from ..operators import attempts as A
 from ..operators import domains, enrich, graph, links, seen
+from ..operators import mergestore as M
 from ..operators import store as S
 from ..sources import fixtures as FX
+from ..session import scratch_path
 from ..sources import seeds, tables
 from . import crawl, jobs
 
@@ -350,6 +352,21 @@ def store_upsert(spark, sf):
                      j("$.value").cast("double").alias("j_value"))
 
 
+def store_merge(spark, sf):
+    """O58 by merge-on-read: the event writes in three batches, a compaction after the second."""
+    w = _event_writes(spark, sf)
+    fields = ["key", "event_id", "ts", "event_type", "value"]
+    held = M.MergeStore(spark, scratch_path(spark, "merge_store"))
+    for part in range(3):
+        batch = w.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)  # a batch may bring older writes
+        held.upsert(S.to_store_rows(batch, "events", "key", "event_id", fields))
+        if part == 1:
+            held.compact()
+    j = lambda p: F.get_json_object("value", p)
+    return held.read().select("store", "key_md5", "key", "seq", j("$.event_type").alias("j_event_type"),
+                              j("$.value").cast("double").alias("j_value"))
+
+
 def store_lookup(spark, sf):
     st = _url_store(spark, sf)
     p = tables.pages(spark, sf)
@@ -498,6 +515,7 @@ def _queries() -> dict[str, Query]:
         "seen_union": seen_union,
         "crawl_frontier": crawl_frontier,
         "store_upsert": store_upsert,
+        "store_merge": store_merge,
         "store_lookup": store_lookup,
         "html_archive": html_archive,
         "url_records": url_records,
