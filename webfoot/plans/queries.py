@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import urls as U
 from ..operators import attempts as A
-from ..operators import domains, enrich, graph, links, seen
+from ..operators import domains, enrich, graph, links, rangejoin, seen
 from ..operators import mergestore as M
 from ..operators import store as S
 from ..sources import fixtures as FX
@@ -261,6 +261,15 @@ def ip_enrich(spark, sf):
     return enrich.ip_enrich(_addresses(spark, sf), FX.ip_blocks(spark, sf))
 
 
+def ip_ranges(spark, sf):
+    """O41 for ranges that are no blocks: every pair of an address and a range that holds it."""
+    dotted = lambda n: F.concat_ws(".", *[F.shiftright(n, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)])
+    blocks = FX.ip_blocks(spark, sf).where("lo is not null")
+    first, last = F.col("lo") + 4097 * F.col("prefix_len"), F.col("hi") + 99_991  # unaligned; neighbours and nested ones overlap
+    ranges = blocks.select(dotted(first).alias("lo"), dotted(last).alias("hi"), "asn")
+    return rangejoin.in_ranges(_addresses(spark, sf), "ip", ranges)
+
+
 def _whois_targets(spark, sf):
     p = tables.pages(spark, sf)
     return p.select(U.url_host("url").alias("fqdn"), F.col("page_id").alias("idx"))
@@ -504,6 +513,7 @@ def _queries() -> dict[str, Query]:
         "dns_records": dns_records,
         "host_addresses": host_addresses,
         "ip_enrich": ip_enrich,
+        "ip_ranges": ip_ranges,
         "whois_records": whois_records,
         "whois_latest": whois_latest,
         "links_to_hosts": links_to_hosts,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..operators import links
+from ..operators import links, seenfilter
 from ..operators import store as S
 from ..plans import jobs
 from ..session import scratch_path
@@ -86,6 +86,28 @@ def stream_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("target string").parquet(out)
 
 
+def stream_seen(spark: SparkSession, sf_dir: str, base: str | None = None, fold_every: int = 16) -> DataFrame:
+    """O63/O36 without streaming state: each batch's new link targets, told by the two-level seen check.
+
+    A batch writes its targets and then its keys; a batch that is run again
+    replaces both.
+    """
+    base = base or scratch_path(spark, "stream_seen")
+    known = seenfilter.SeenFilter(spark, f"{base}/seen")
+
+    def batch(pages: DataFrame, batch_id: int) -> None:
+        targets = links.page_edges(links.extract_refs(pages)).select(F.col("dst").alias("target")).distinct()
+        folder = f"{base}/out/batch={batch_id}"
+        known.unseen(targets, "target", batch_id).write.mode("overwrite").parquet(folder)
+        known.add(spark.read.schema("target string").parquet(folder), "target", batch_id)
+        if batch_id % fold_every == fold_every - 1:
+            known.fold(batch_id)
+
+    _run_to_end(page_stream(spark, sf_dir).writeStream.foreachBatch(batch)
+                .option("checkpointLocation", f"{base}/checkpoint"), "stream_seen")
+    return spark.read.schema("target string").parquet(f"{base}/out").select("target")
+
+
 class _Stores:
     """DNS and IP stores of a chained stream, one folder of new records per micro-batch.
 
@@ -151,6 +173,6 @@ def stream_chain(spark: SparkSession, sf_dir: str, base: str | None = None) -> D
 def queries() -> dict:
     return {
         "stream_pages": stream_pages,
-        "stream_unseen": stream_unseen,
+        "stream_unseen": stream_unseen, "stream_seen": stream_seen,
         "stream_chain": stream_chain,
     }
