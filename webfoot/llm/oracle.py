@@ -5,27 +5,36 @@ from __future__ import annotations
 _OP1 = r"""
 WITH RECURSIVE sizes AS (
   SELECT source AS s, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
-raw AS (SELECT s, 1024 * w / (SELECT sum(w) FROM sizes) AS r FROM sizes),
-part AS (
-  SELECT s, row_number() OVER (ORDER BY s) AS i, floor(r)::BIGINT
-    + CASE WHEN row_number() OVER (ORDER BY r - floor(r) DESC, s) <= 1024 - sum(floor(r)) OVER () THEN 1 ELSE 0 END AS p FROM raw),
-lists AS (SELECT list(p ORDER BY i) AS ps FROM part),
+part AS MATERIALIZED (
+  SELECT s, n, row_number() OVER (ORDER BY s) AS i, greatest(1, round(w / sum(w) OVER () * 1073741824)::BIGINT) AS p FROM sizes),
+lists AS MATERIALIZED (SELECT list(p ORDER BY i) AS ps, sum(p)::BIGINT AS total FROM part),
+cuts AS MATERIALIZED (
+  SELECT unnest(range(1, (SELECT max((((n + 15) // 16) * total + p - 1) // p + 1023) // 1024 FROM part, lists) + 1)) * 1024 AS cut),
+behind(cut, slot, rest) AS (
+  SELECT cut, greatest(cut - 1026, 0), list_sort(list_filter(list_transform(ps, lambda p, i: {
+      'dl': (((p * cut) // total + 1) * total + p - 1) // p, 'i': i, 'rl': (((p * cut) // total) * total) // p, 'over': (p * cut) % total <> 0}),
+      lambda x: x.over)) FROM cuts, lists
+  UNION ALL
+  SELECT cut, slot + 1, CASE WHEN len(ready) > list_sum(list_transform(ps, lambda p: (p * (slot + 1) + total - 1) // total)) - (slot + 1)
+    THEN list_filter(rest, lambda x: x.i <> ready[1].i) ELSE rest END
+  FROM (SELECT cut, slot, rest, ps, total, list_filter(rest, lambda x: x.rl < slot + 1) AS ready FROM behind, lists WHERE slot < cut)),
+ends AS MATERIALIZED (
+  SELECT cut, list_transform(ps, lambda p, i: (p * cut) // total + CASE WHEN (p * cut) % total <> 0
+    AND NOT list_contains(list_transform(rest, lambda x: x.i), i) THEN 1 ELSE 0 END) AS es FROM behind, lists WHERE slot = cut),
 run(t, done, picked) AS (
-  SELECT 0, list_transform(ps, lambda x: 0::BIGINT), 0::BIGINT FROM lists
+  SELECT 0::BIGINT, list_transform(ps, lambda x: 0::BIGINT), 0::BIGINT FROM lists
   UNION ALL
   SELECT t + 1, list_transform(done, lambda d, i: d + CASE WHEN i = best.i THEN 1 ELSE 0 END), best.i
-  FROM (SELECT t, done, ps, list_min(list_filter(list_transform(ps, lambda p, i:
-      {'dl': CASE WHEN done[i] < p AND (done[i] * 1024) // p <= t THEN ((done[i] + 1) * 1024 + p - 1) // p ELSE 1000000 END, 'i': i}),
-      lambda x: x.dl < 1000000)) AS best FROM run, lists WHERE t < 1024)),
-slots AS (SELECT picked AS i, t - 1 AS slot, done[picked] AS number FROM run WHERE t > 0),
+  FROM (SELECT t, done, list_min(list_filter(list_transform(ps, lambda p, i:
+      {'dl': ((done[i] + 1) * total + p - 1) // p, 'i': i, 'ready': done[i] < es[i] AND (done[i] * total) // p <= t}),
+      lambda x: x.ready)) AS best FROM run, lists, ends WHERE cut = (t // 1024 + 1) * 1024)),
+slots AS (SELECT picked AS i, t - 1 AS slot, done[picked] - 1 AS block FROM run WHERE t > 0),
 numbered AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('mix-1:' || doc_id::VARCHAR), doc_id) - 1 AS n FROM documents),
-b AS (SELECT doc_id, source, n % 16 AS place, n // 16 AS block, p, i FROM numbered JOIN part ON source = s)
-SELECT doc_id, source, block AS mix_block, place AS mix_place,
-  (block // p) * 1024 + ((block % p) * 1024) // p AS mix_release,
-  (block // p) * 1024 + ((block % p + 1) * 1024 + p - 1) // p AS mix_deadline,
-  (block // p) * 1024 + slot AS mix_slot
-FROM b JOIN slots ON b.i = slots.i AND slots.number = block % p + 1
+b AS (SELECT doc_id, source, numbered.n % 16 AS place, numbered.n // 16 AS block, p, i FROM numbered JOIN part ON source = s)
+SELECT doc_id, source, block AS mix_block, place AS mix_place, (block * total) // p AS mix_release,
+  ((block + 1) * total + p - 1) // p AS mix_deadline, slot AS mix_slot
+FROM b JOIN slots USING (i, block), lists
 """
 
 _OP2 = r"""
