@@ -1,7 +1,6 @@
 """Surrogates: nothing left, formats kept, the same everywhere, distinct."""
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from webfoot.llm import pii, queries
@@ -91,16 +90,48 @@ def test_collisions_are_settled(spark, monkeypatch):
     assert len(set(mapping.values())) == len(mapping) == 6 and not set(mapping) & set(mapping.values())
 
 
-def test_too_narrow_a_format_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(pii, "surrogate", lambda kind, value, attempt, key: F.lit("1.1.1.1"))
-    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 2)
-    with pytest.raises(RuntimeError):
-        _run(spark, ["10.0.0.1 10.0.0.2"])
+def test_no_attempt_is_the_last(spark, monkeypatch):
+    """Entities that collide at attempt after attempt are told apart once their format has grown."""
+    monkeypatch.setattr(pii, "masked", lambda text, stream: F.regexp_replace(text, r"[a-z0-9]", "x"))
+    monkeypatch.setattr(pii, "FORMAT_ATTEMPTS", 3)
+    got = _run(spark, [f"a{i}@mail.example.com" for i in range(10)] + ["a0@mail.example.com", "xx@mail.example.com"])
+    fakes = [got[i].text for i in range(12)]
+    assert len(set(fakes[:10] + fakes[11:])) == 11 and fakes[10] == fakes[0]
 
 
-def test_more_entities_than_a_short_format_has_values(spark, monkeypatch):
+def test_surnames_are_settled_first(spark, monkeypatch):
+    """From a pool of three syllables and with few given names, everything collides; brute force over all mentions."""
+    monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["ba", "do", "ri"], "cyrillic": ["ба", "до", "ри"], "greek": ["βα", "δο", "ρι"]})
+    letters = "abcdefgh"
+    surnames = [f"S{a}{b}" for a in letters for b in letters[:6]] + ["Badori", "Ribaba", "Иванов", "Иванова", "Бадори", "Баририа"]
+    texts = [f"Mr. {g} {s} met Mr. {s} and Dr. {s}" for s in surnames for g in ("John", "Paul", "Badoo")]
+    texts += [f"г-жа {s} met г-н {s}" for s in surnames[-4:]] + [f"MR. {surnames[0]}", "Mrs. Sab Sab"]
+    got = _run(spark, texts)
+    name = r"(?:Mr|Mrs|Dr|г-н|г-жа)\.? \w+(?: (?!met|and)\w+)?"
+    families, people = {}, {}
+    for i, t in enumerate(texts):
+        old, new = re.findall(name, t), re.findall(name, got[i].text)
+        assert len(old) == len(new)
+        for a, b in zip(old, new):
+            assert a.split()[0] == b.split()[0] and len(a.split()) == len(b.split())
+            assert people.setdefault(a, b) == b
+            gender = a.split()[0] == "г-жа"
+            assert families.setdefault((gender, a.split()[-1].lower()), b.split()[-1]) == b.split()[-1]
+    assert len(set(people.values())) == len(people) > 200
+    for women in (False, True):
+        fakes = [b.lower() for (g, _), b in families.items() if g == women]
+        assert len(set(fakes)) == len(fakes) and not set(fakes) & {s.lower() for s in surnames}
+
+
+def test_clashing_names(spark):
+    names = ["_wf_found", "_wf_text", "_wf_key", "_wf_fix", "_wf_row", "kind", "found"]
+    df = spark.createDataFrame([("10.0.0.1 x",) + tuple(names)], "text string, " + ", ".join(f"{c} string" for c in names))
+    row = pii.replace_entities(df).first()
+    assert all(row[c] == c for c in names) and row.n_entities == 1 and "10.0.0.1" not in row.text
+
+
+def test_more_entities_than_a_short_format_has_values(spark):
     """785 given names beside one surname, or 27 one-letter addresses, are more than the usual forms tell apart."""
-    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 16)
     letters = "abcdefghijklmnopqrstuvwxyz"
     names = [f"Mr. N{a}{b}{c} Smith" for a in letters[:2] for b in letters for c in letters][:900]
     emails = [f"{chr(0x4E00 + i)}@mail.example.com" for i in range(60)]

@@ -48,3 +48,10 @@ def test_edge_cases(spark):
 def test_main_path_is_native(spark):
     plan = queries.op6_url_filter(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|NestedLoop|Cartesian", plan)
+
+
+def test_clashing_names(spark):
+    names = ["u_host", "won_verdict", "rule_", "_wf_head", "_wf_row", "won"]
+    df = spark.createDataFrame([("http://a.net/x",) + tuple(names)], "url string, " + ", ".join(f"{c} string" for c in names))
+    row = urlrules.judge(df, urlrules.rule_table(spark, [("block", "net", "/")])).first()
+    assert all(row[c] == c for c in names) and (row.verdict, row.rule) == ("block", "net/")

@@ -13,12 +13,17 @@ number, so an entity has one surrogate in all documents without any join.
 Distinctness is checked over the whole corpus: entities are made distinct with
 partial aggregation, and where two of one kind share a surrogate, or one is
 itself an entity of the corpus, all but the first go on to the next attempt,
-until nothing collides.  No format runs out of values: a name that keeps
-colliding gets one more syllable with each attempt from ``NAME_ATTEMPTS`` on,
-anything else two more digits with each from ``FORMAT_ATTEMPTS`` on (an address
-before its ``@``, a telephone number as an extension, an IPv4 address as a
-port).  Only entities with an attempt above 0 are joined back, by the digest of
-the texts that hold them.
+until nothing collides.  No format runs out of values and no attempt is the
+last: a name that keeps colliding gets one more syllable with each attempt from
+``NAME_ATTEMPTS`` on, anything else two more digits with each from
+``FORMAT_ATTEMPTS`` on (an address before its ``@``, a telephone number as an
+extension, an IPv4 address as a port).
+
+Surnames are entities of their own and are settled first, against all surnames
+of the corpus; then given names within them.  So a person named with and
+without the given name keeps one surname, whatever collides, and two surnames
+never become one.  Only entities with an attempt above 0 are joined back, by
+the digest of the texts that hold them.
 
 Only DataFrame functions are used.  A text without a digit, ``@``, title or
 secret's prefix is never searched by the long pattern.
@@ -31,7 +36,7 @@ partial aggregation.
 Defined cases: null texts stay null, empty texts empty, both with no entity;
 nulls in other columns and repeated rows pass through (equal texts stay equal);
 an empty table gives an empty result; columns with the name of an added column
-are replaced.
+are replaced, any other name is allowed.
 """
 
 from __future__ import annotations
@@ -45,10 +50,10 @@ from webfoot.llm.common import col, materialize, without
 
 #: Key of the surrogates; a deployment passes its own.
 DEFAULT_KEY = "surrogate-key-1"
-MAX_ATTEMPTS = 64
 NAME_ATTEMPTS = 4  # attempts with a name of the usual number of syllables
 FORMAT_ATTEMPTS = 8  # attempts within the length of the original
-BROADCAST_TEXTS = 50_000  # rows of a digest and a few attempts: some 10 MB
+BROADCAST_TEXTS = 50_000  # digests of texts to correct, and
+BROADCAST_PLACES = 500_000  # places in them: some 20 MB together
 
 #: Titles and the gender they tell.
 MALE = "Mr|Mister|Sir|Herr|Herrn|Monsieur|Señor|Sr|господин|г-н|κύριος|κύριο"
@@ -218,24 +223,33 @@ def _name_token(script: str, stream: Column, given: bool, gender: Column, more:
     return F.concat(_syllables(script, stream, 2, more), F.when(gender == "f", female).when(gender == "m", male).otherwise(""))
 
 
-def masked_name(value: Column, attempt: Column, key: str) -> Column:
-    """The title, then for a given name and a surname one each, by gender and script."""
+def _name_of(name: Column, given: bool, gender: Column, number: Column, key: str) -> Column:
+    stream = _stream(key, F.lit("given" if given else "surname"), F.lower(name), number.cast("string"))
+    return let(stream, lambda s: let(_more_syllables(name, s, number), lambda more: (
+        F.when(name.rlike(r"^\p{IsCyrillic}"), _name_token("cyrillic", s, given, gender, more))
+        .when(name.rlike(r"^\p{IsGreek}"), _name_token("greek", s, given, gender, more))
+        .otherwise(_name_token("latin", s, given, gender, more)))))
+
+
+def surname(value: Column) -> Column:
+    return F.element_at(F.split(_bare_name(value), " "), -1)
+
+
+def surname_forms(name: Column, attempt: Column, key: str) -> Column:
+    """The canonical surrogates of a surname: the plain one, and that of a woman where they differ."""
+    return F.array_distinct(F.array(*[F.lower(_name_of(name, False, F.lit(g), attempt, key)) for g in "mf"]))
+
+
+def masked_name(value: Column, attempt: Column, family: Column, key: str) -> Column:
+    """The title, then for a given name (by ``attempt``) and a surname (by ``family``) one each, by gender and script."""
     gender, title, names = _gender(value), F.regexp_extract(value, r"^([^ ]+ )", 1), F.split(_bare_name(value), " ")
-    surname, both = F.element_at(names, -1), F.size(names) > 1
-    def token(name: Column, given: bool) -> Column:
-        # A lone surname takes the attempt; with a given name the given name does, so that surnames agree.
-        number = attempt if given else F.when(both, F.lit(0)).otherwise(attempt)
-        stream = _stream(key, F.lit("given" if given else "surname"), F.lower(name), number.cast("string"))
-        return let(stream, lambda s: let(_more_syllables(name, s, number), lambda more: (
-            F.when(name.rlike(r"^\p{IsCyrillic}"), _name_token("cyrillic", s, given, gender, more))
-            .when(name.rlike(r"^\p{IsGreek}"), _name_token("greek", s, given, gender, more))
-            .otherwise(_name_token("latin", s, given, gender, more)))))
-    return F.concat(title, F.when(both, F.concat(token(F.element_at(names, 1), True), F.lit(" "))).otherwise(""),
-                    token(surname, False))
+    given = F.concat(_name_of(F.element_at(names, 1), True, gender, attempt, key), F.lit(" "))
+    return F.concat(title, F.when(F.size(names) > 1, given).otherwise(""), _name_of(
+        F.element_at(names, -1), False, gender, family, key))
 
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of one mention."""
+    """The surrogate of one mention that is not a name."""
     local, domain = F.regexp_extract(value, "^([^@]*)", 1), F.regexp_extract(value, r"@(.*)\.[^.]*$", 1)
     ending = F.regexp_extract(value, r"(\.[^.]*)$", 1)
     def email(s: Column, more: Column) -> Column:
@@ -261,12 +275,16 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
             .when(kind == "phone", F.concat(masked_digits(value, s), after(" x", more)))
             .when(kind == "card", F.concat(masked_card(value, canon, s), after("-", more)))
             .when(kind == "ip", F.concat(ip(s), after(":", more)))
-            .when(kind == "name", masked_name(value, attempt, key))
             .when(kind == "number", F.concat(masked(value, s), after("-", more)))
             .otherwise(F.concat(secret(s), more)))))
     return let(canonical(kind, value), by_kind)
 
 
+def replacement(kind: Column, value: Column, attempt: Column, family: Column, key: str) -> Column:
+    """The surrogate of one mention; ``family`` is the attempt of a name's surname."""
+    return F.when(kind == "name", masked_name(value, attempt, family, key)).otherwise(surrogate(kind, value, attempt, key))
+
+
 def mentions(text: Column) -> Column:
     """The entities of a text in order, as strings; none without a hint of one."""
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(
@@ -288,23 +306,44 @@ def entity_table(found: DataFrame) -> DataFrame:
             .groupBy("kind", "canon").agg(F.min("value").alias("value")))
 
 
-def settle(entities: DataFrame, key: str) -> DataFrame:
-    """``(kind, canon, attempt)`` of the entities that need an attempt above 0."""
-    tried = materialize(entities.withColumn("attempt", F.lit(0)), "entities")
-    for _ in range(MAX_ATTEMPTS):
-        current = materialize(tried.withColumn("fake", canonical(F.col("kind"), surrogate(
-            F.col("kind"), F.col("value"), F.col("attempt"), key))), "fakes")  # planned and computed once
+def settle(entities: DataFrame, forms: Callable[[Column], Column]) -> DataFrame:
+    """``entities`` (with ``kind, canon``) with the ``attempt`` at which nothing collides.
+
+    ``forms`` gives the canonical forms of the surrogate at an attempt; the first tells entities apart, and none
+    may be an entity of its kind.  ``entities`` is a written table.
+    """
+    kept = entities.columns
+    tried = entities.withColumn("attempt", F.lit(0))
+    while True:  # forms grow with the attempts, so this ends
+        current = materialize(tried.select("kind", "canon", "attempt", forms(F.col("attempt")).alias("forms")).withColumn(
+            "fake", F.get("forms", F.lit(0))), "fakes")  # planned and computed once
         first = current.groupBy("kind", "fake").agg(
             F.min_by("canon", F.struct("attempt", "canon")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = current.join(first, ["kind", "fake"]).where("canon <> first").select("kind", "canon")
-        real = current.join(tried.select("kind", F.col("canon").alias("fake")), ["kind", "fake"], "left_semi").select(
-            "kind", "canon")
+        real = current.select("kind", "canon", F.explode("forms").alias("form")).join(
+            tried.select("kind", F.col("canon").alias("form")), ["kind", "form"], "left_semi").select("kind", "canon")
         clash = materialize(shared.unionByName(real).distinct(), "clashes")
         if clash.isEmpty():
-            return tried.where("attempt > 0").select("kind", "canon", "attempt")
+            return tried
         tried = materialize(tried.join(clash.withColumn("again", F.lit(1)), ["kind", "canon"], "left").select(
-            "kind", "canon", "value", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")), "entities")
-    raise RuntimeError("surrogates still collide; the format has too few values")
+            *kept, (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")), "entities")
+
+
+def settled(entities: DataFrame, key: str) -> DataFrame:
+    """``(kind, canon, attempt, family)`` of the entities that need an attempt above 0: surnames first, then the rest."""
+    named = materialize(entities.withColumn("surname", F.when(F.col("kind") == "name", surname(F.col("value")))), "named")
+    surnames = materialize(named.where("surname is not null").groupBy(
+        F.lit("surname").alias("kind"), F.lower("surname").alias("canon")).agg(F.min("surname").alias("value")), "surnames")
+    families = settle(surnames, lambda n: surname_forms(F.col("value"), n, key)).where("attempt > 0").select(
+        F.col("canon").alias("lower_surname"), F.col("attempt").alias("family"))
+    whole = materialize(named.withColumn("lower_surname", F.lower("surname")).join(families, "lower_surname", "left").select(
+        "kind", "canon", "value", F.coalesce("family", F.lit(0)).alias("family"),
+        ((F.col("kind") == "name") & ~F.contains(F.split_part("canon", F.lit(":"), F.lit(-1)), F.lit(" "))).alias("lone")), "whole")
+    # A lone surname is settled by now; no name with a given one can meet it.
+    rest = settle(whole.where("not lone").drop("lone"), lambda n: F.array(canonical(F.col("kind"), replacement(
+        F.col("kind"), F.col("value"), n, F.col("family"), key))))
+    fixes = rest.drop("value").unionByName(whole.where("lone").select("kind", "canon", "family", F.lit(0).alias("attempt")))
+    return fixes.where("attempt > 0 or family > 0").select("kind", "canon", "attempt", "family")
 
 
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY,
@@ -316,31 +355,35 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT
     added = ["n_entities", "kinds"] if add else []
     kept = without(docs, added)
     found = materialize(found_entities(docs, text_col), "found")
-    fixes = materialize(settle(entity_table(found), key), "fixes")
-    rows = docs.select(*map(col, kept)).withColumn("_wf_text", col(text_col).cast("string")).withColumn(
+    fixes = materialize(settled(entity_table(found), key), "fixes")
+    # The caller's columns travel as one struct, so that no name clashes with those made here.
+    rows = docs.select(F.struct(*map(col, kept)).alias("_wf_row"), col(text_col).cast("string").alias("_wf_text")).withColumn(
         "_wf_found", mentions(F.col("_wf_text")))
-    attempts = F.transform("_wf_found", lambda v: F.lit(0))
+    none = F.struct(F.lit(0).alias("attempt"), F.lit(0).alias("family"))
+    tries = F.transform("_wf_found", lambda v: none)
     if not fixes.isEmpty():
         digest = F.sha2(F.col("_wf_text"), 256)
         places = (found.select(F.col("digest").alias("_wf_key"), F.posexplode("found").alias("place", "value"))
                   .withColumn("kind", kind_of(F.col("value"))).withColumn("canon", canonical(F.col("kind"), F.col("value")))
                   .join(fixes, ["kind", "canon"]).groupBy("_wf_key")
-                  .agg(F.map_from_entries(F.collect_list(F.struct("place", "attempt"))).alias("_wf_fix")))
+                  .agg(F.map_from_entries(F.collect_list(F.struct("place", F.struct("attempt", "family")))).alias("_wf_fix")))
         places = materialize(places, "fixed-texts")
-        if places.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
+        size = places.agg(F.count(F.lit(1)).alias("texts"), F.sum(F.size("_wf_fix")).alias("places")).first()
+        if size["texts"] <= BROADCAST_TEXTS and size["places"] <= BROADCAST_PLACES:
             places = F.broadcast(places)
         rows = rows.withColumn("_wf_key", F.when(F.size("_wf_found") > 0, digest)).join(places, "_wf_key", "left")
-        attempts = F.transform("_wf_found", lambda v, i: F.coalesce(F.element_at("_wf_fix", i), F.lit(0)))
-    fakes = F.zip_with("_wf_found", attempts, lambda v, n: let(kind_of(v), lambda k: surrogate(k, v, n, key)))
+        tries = F.transform("_wf_found", lambda v, i: F.coalesce(F.element_at("_wf_fix", i), none))
+    fakes = F.zip_with("_wf_found", tries, lambda v, n: let(kind_of(v), lambda k: replacement(
+        k, v, n["attempt"], n["family"], key)))
     between = F.split("_wf_text", ENTITY, -1)
     joined = let(between, lambda parts: F.concat(F.array_join(F.zip_with(
         F.slice(parts, 1, F.size("_wf_found")), fakes, lambda a, b: F.concat(a, b)), ""), F.element_at(parts, -1)))
     text = F.when(F.size("_wf_found") > 0, joined).otherwise(F.col("_wf_text"))
-    out = {text_col: text}
+    out = {c: F.col("_wf_row").getField(c) for c in kept} | {text_col: text}
     if add:
         out |= {"n_entities": F.size("_wf_found").cast("long"), "kinds": F.array_join(F.array_sort(
-        F.array_distinct(F.transform("_wf_found", lambda v: kind_of(v)))), ",")}
+            F.array_distinct(F.transform("_wf_found", lambda v: kind_of(v)))), ",")}
     if length_col:
-        out[length_col] = F.when(F.size("_wf_found") > 0, F.length(text)).otherwise(col(length_col)).cast(
+        out[length_col] = F.when(F.size("_wf_found") > 0, F.length(text)).otherwise(out[length_col]).cast(
             docs.schema[length_col].dataType)
-    return rows.withColumns(out).select(*map(col, kept), *added)
+    return rows.select(*[out[c].alias(c) for c in kept + added])

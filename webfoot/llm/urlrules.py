@@ -104,8 +104,10 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
 
     kept = without(pages if keep is None else pages.select(*map(col, keep)), OUTPUT)
     url = col(url_col).cast("string")
+    # The caller's columns travel as one struct, so that no name clashes with those made here.
     judged = pages.select(
-        *map(col, kept), F.coalesce(url_host(url), F.lit("")).alias("host"),
+        F.struct(F.lit(0).alias("any"), *[col(c).alias(f"c{i}") for i, c in enumerate(kept)]).alias("_wf_row"),
+        F.coalesce(url_host(url), F.lit("")).alias("host"),
         F.coalesce(url_path(url), F.lit("")).alias("path"))
     head = F.substring("path", 1, chars) if chars else F.lit("")
     pairs = judged.select(F.col("host").alias("u_host"), head.alias("u_head")).distinct()
@@ -118,5 +120,5 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     won = hits.select("u_host", "u_head", "won.rule", F.col("won.r_verdict").alias("won_verdict"))
     joined = judged.withColumn("_wf_head", head).join(
         won, (F.col("host") == F.col("u_host")) & (F.col("_wf_head") == F.col("u_head")), "left")
-    return joined.select(*map(col, kept), "host", "path", "rule",
+    return joined.select(*[F.col(f"_wf_row.c{i}").alias(c) for i, c in enumerate(kept)], "host", "path", "rule",
                          F.coalesce("won_verdict", F.lit(default)).alias("verdict"))
