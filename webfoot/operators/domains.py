@@ -16,6 +16,10 @@ labels are looked up with K left joins against the broadcast rule table.
 Nothing is shuffled and a very popular host costs nothing extra.  The rule
 table is broadcast only behind a row-count check; past the bound the work
 falls back to one row per *distinct* host joined back on the host.
+
+Hosts and rules meet in Unicode: a label in Punycode (``xn--``) is read first,
+so both forms of a name fall under the same rule.  The result keeps the form
+that the host came in.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import idna
 
 # --- fixed values ---
 # Hosts that are IPv4 literals have no suffix (domain is the whole address).
@@ -36,7 +41,7 @@ def bare_host(netloc) -> Column:
     """Lower-case host of a netloc: userinfo and port removed, one trailing dot dropped."""
     c = F.col(netloc) if isinstance(netloc, str) else netloc
     h = F.regexp_extract(c, r"^(?:.*@)?([^:]*)", 1)
-    return F.regexp_replace(F.lower(h), r"\.$", "")
+    return F.regexp_replace(F.lower(idna.ascii_dots(h)), r"\.$", "")
 
 
 def rules_table(spark: SparkSession, rules: list[str]) -> DataFrame:
@@ -55,12 +60,12 @@ def normalize_rules(rules_df: DataFrame) -> DataFrame:
         line = F.col("rule")
         kind = F.col("kind")
         return rules_df.select(
-            F.lower(F.regexp_replace(line, r"^(\*\.|!)", "")).alias("rule"),
+            idna.host_to_unicode(F.regexp_replace(line, r"^(\*\.|!)", "")).alias("rule"),
             F.when(line.startswith("!"), F.lit("exception"))
              .when(line.startswith("*."), F.lit("wildcard"))
              .otherwise(kind).alias("kind"))
     return rules_df.select(F.col("rule").alias("line")).select(
-        F.lower(F.regexp_replace(F.col("line"), r"^(\*\.|!)", "")).alias("rule"),
+        idna.host_to_unicode(F.regexp_replace(F.col("line"), r"^(\*\.|!)", "")).alias("rule"),
         F.when(F.col("line").startswith("!"), F.lit("exception"))
          .when(F.col("line").startswith("*."), F.lit("wildcard"))
          .otherwise(F.lit("normal")).alias("kind"))
@@ -76,11 +81,12 @@ def _domains_by_candidate_join(hosts: DataFrame, rules_df: DataFrame, host_col:
 
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull()).distinct()
     h = h.withColumn("__bare", bare_host("host")).withColumn("__labels", F.split("__bare", r"\."))
+    h = h.withColumn("__keys", idna.unicode_labels(F.col("__labels"), F.col("__bare")))
     n = F.size("__labels")
     cands = h.select(
-        "host", "__bare", "__labels",
+        "host", "__bare", "__labels", "__keys",
         F.explode(F.sequence(F.lit(1), n)).alias("k"),
-    ).withColumn("cand", F.array_join(F.slice("__labels", n - F.col("k") + 1, F.col("k")), "."))
+    ).withColumn("cand", F.array_join(F.slice("__keys", n - F.col("k") + 1, F.col("k")), "."))
 
     matched = cands.join(rules, cands["cand"] == rules["rule"], "left")
     k = F.col("k")
@@ -139,11 +145,12 @@ def with_registrable_domain(df: DataFrame, rules_df: DataFrame, host_col: str,
     k_max = stats["k"] or 1
 
     d = df.withColumn("__wf_bare", bare_host(F.col(host_col))) \
-          .withColumn("__wf_labels", F.split("__wf_bare", r"\."))
+          .withColumn("__wf_labels", F.split("__wf_bare", r"\.")) \
+          .withColumn("__wf_keys", idna.unicode_labels(F.col("__wf_labels"), F.col("__wf_bare")))
     n = F.size("__wf_labels")
     exc, best = [], []
     for k in range(1, k_max + 1):
-        cand = F.when(n >= k, F.array_join(F.slice("__wf_labels", -k, k), "."))
+        cand = F.when(n >= k, F.array_join(F.slice("__wf_keys", -k, k), "."))
         look = small.select(F.col("rule").alias(f"__wf_r{k}"), F.col("is_normal").alias(f"__wf_n{k}"),
                             F.col("is_wildcard").alias(f"__wf_w{k}"),
                             F.col("is_exception").alias(f"__wf_x{k}"))

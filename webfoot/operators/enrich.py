@@ -27,6 +27,8 @@ IP_OTHER_ERROR = "unknown"
 ADDRESS_TYPES = ["A", "AAAA"]
 # --- end of fixed values ---
 
+# A date with a time as a JSON text.
+DATE_TEXT = r'"(\d{4}-\d{2}-\d{2}) (\d{2}:\d{2}:\d{2}(?:\.\d+)?)"'
 RRSET_LINE = r"^(\S+)\s+(\d+)\s+(\S+)\s+(\S+)\s+(.*)$"
 
 
@@ -131,6 +133,36 @@ def whois_outcome(fqdn: Column, outcome: Column, registrar: Column, created: Col
             .otherwise(F.create_map(fqdn, F.lit(WHOIS_OTHER_ERROR))))
 
 
+def whois_document(fqdn: Column, outcome: Column, answer: Column) -> Column:
+    """O32 for nested answers: the JSON answer as a VARIANT, whatever its fields are.
+
+    Dates with a time become ISO text wherever they stand, lists included
+    (O69).  An answer that is no JSON object is a parser error: ``{fqdn:
+    unknown}``; any other failure, a missing answer included, ``{fqdn: failed}``.
+    """
+    marker = lambda text: F.parse_json(F.to_json(F.create_map(fqdn, F.lit(text))))
+    parsed = F.try_parse_json(F.regexp_replace(answer, DATE_TEXT, '"$1T$2"'))
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    return (F.when((outcome == "ok") & is_object, parsed)
+            .when(outcome.isin("ok", "parser_error"), marker(WHOIS_PARSER_ERROR))
+            .otherwise(marker(WHOIS_OTHER_ERROR)))
+
+
+def whois_collect_documents(targets: DataFrame, answers: DataFrame) -> DataFrame:
+    """O42 with nested answers ``(fqdn, outcome, answer)``: ``whois`` is a VARIANT."""
+    a = answers.select("fqdn", "outcome", "answer")
+    return targets.join(a, "fqdn", "left").select(
+        "fqdn", "idx", "sld", whois_document(F.col("fqdn"), F.col("outcome"), F.col("answer")).alias("whois"))
+
+
+def variant_texts(v: Column, path: str) -> Column:
+    """The texts at ``path``: a list as it is, a single value as a list of one, null where there is none."""
+    many = F.try_variant_get(v, path, "array<string>")
+    one = F.try_variant_get(v, path, "string")
+    return F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")).startswith("ARRAY"), many).when(
+        one.isNotNull(), F.array(one))
+
+
 def whois_collect(targets: DataFrame, answers: DataFrame) -> DataFrame:
     """Targets ``(fqdn, idx, sld)`` left-joined to captured WHOIS answers."""
     a = answers.select("fqdn", "outcome", "registrar", "created")

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
@@ -33,6 +33,8 @@ from ..session import cut_lineage, scratch_path
 EDGES_PER_TASK = 2_000_000  # about 100 MB of edge rows
 HUB_DEGREE = EDGES_PER_TASK  # out-degree above which a node's edges are salted
 MAX_BUCKETS = 100_000  # Spark's limit; beyond it a bucket holds more edges and its sort spills
+PAGE_REFERRERS = 1_000  # referrers of a target that one page of its list holds
+CUT_DIGITS = 4  # leading digest digits by which a target's referrers are spread: 65,536 cuts
 BROADCAST_LEVEL = 100_000  # rows of a level that are broadcast: some 10 MB
 # --- end of fixed values ---
 
@@ -47,7 +49,7 @@ def inlinks(edges: DataFrame) -> DataFrame:
 
     Counted from distinct (dst, src) pairs: the pair shuffle spreads a very
     popular target over many tasks, and the count then combines map-side.
-    The full in-link list stays as rows (``edges``), never one array per target.
+    The whole list is cut into pages by :func:`referrer_pages`.
     """
     pairs = edges.select("dst", "src").distinct()
     return pairs.groupBy("dst").agg(
@@ -56,6 +58,40 @@ def inlinks(edges: DataFrame) -> DataFrame:
     )
 
 
+def referrer_pages(edges: DataFrame, page_size: int = PAGE_REFERRERS) -> DataFrame:
+    """The whole referrer list of every target, as numbered pages ``(dst, page, n, srcs)``.
+
+    A target's referrers are ordered by ``(md5(src), src)``; page ``p`` holds
+    the places ``p * page_size`` up to the next page (``n`` of them).  The order is
+    cut by the leading digits of the digest, so the places come from counts per
+    ``(dst, cut)`` and a row number inside the cut: a target that has a third
+    of all links is spread over as many tasks as there are cuts, and
+    no list is longer than a page.  The edges are moved once to their cuts
+    (distinct, count and numbering share that partitioning) and once to their
+    pages.  Rows with a null ``dst`` or ``src`` are no links.
+    """
+    digest = F.md5("src")
+    cut = edges.where("dst is not null and src is not null").select(
+        "dst", "src", F.substring(digest, 1, CUT_DIGITS).alias("__wf_cut")).repartition("dst", "__wf_cut") \
+        .dropDuplicates(["dst", "__wf_cut", "src"])
+    counts = cut.groupBy("dst", "__wf_cut").agg(F.count(F.lit(1)).alias("__wf_n"))
+    before = F.sum("__wf_n").over(Window.partitionBy("dst").orderBy("__wf_cut").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("dst", "__wf_cut", F.coalesce(before, F.lit(0)).alias("__wf_start"))
+    place = F.row_number().over(Window.partitionBy("dst", "__wf_cut").orderBy(digest, "src")) - 1
+    placed = cut.withColumn("__wf_place", place).join(starts, ["dst", "__wf_cut"]).select(
+        "dst", "src", (F.col("__wf_start") + F.col("__wf_place")).alias("__wf_place"))
+    pages = placed.groupBy("dst", F.floor(F.col("__wf_place") / page_size).alias("page")).agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("__wf_place", "src"))).alias("__wf_rows"))
+    return pages.select("dst", "page", "n", F.transform("__wf_rows", lambda r: r.src).alias("srcs"))
+
+
+def with_referrers(records: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
+    """Records whose ``pre_url`` is the first page of their referrers; without any it stays as it is."""
+    first = pages.where("page = 0").select(F.col("dst").alias(url), F.col("srcs").alias("__wf_srcs"))
+    return records.join(first, url, "left").withColumn(
+        "pre_url", F.coalesce("__wf_srcs", "pre_url")).select(*records.columns)
+
+
 def _bucketed_edges(edges: DataFrame, hubs: DataFrame, n_edges: int, edges_per_task: int) -> tuple[DataFrame, str]:
     """The salted edges as an external table bucketed by ``(src, salt)``, and the table's name."""
     spark = edges.sparkSession

@@ -120,13 +120,15 @@ def whois_records(targets: DataFrame, answers: DataFrame, rules: DataFrame,
                   store: DataFrame | None = None) -> DataFrame:
     """``targets(fqdn, idx)`` -> the record the store holds per sld.
 
-    Targets already in ``store`` are not looked up.  The winner of each sld is
+    Targets already in ``store`` are not looked up.  Answers with a column
+    ``answer`` are JSON documents; ``whois`` is then a VARIANT.  The winner of each sld is
     chosen on the slim targets, so one row per sld meets the answers.
     """
     t = seen.drop_sentinel(targets.select("fqdn", "idx"), "fqdn")
     t = t if store is None else seen.unseen(t, store, "fqdn", "whois")
     t = domains.with_registrable_domain(t, rules, "fqdn", "sld")
-    latest = enrich.whois_collect(enrich.whois_latest(t), answers)
+    collect = enrich.whois_collect_documents if "answer" in answers.columns else enrich.whois_collect
+    latest = collect(enrich.whois_latest(t), answers)
     return latest.select("fqdn", "sld", "whois", F.lit(200).alias("status"),
                          F.lit(None).cast("string").alias("exception"), "idx")
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import idna
 from ..functions import urls as U
 from ..operators import attempts as A
 from ..operators import domains, enrich, graph, links, rangejoin, seen
@@ -28,6 +29,8 @@ HTML_OUT = "/archive/html"
 SCREEN_OUT = "/archive/png"
 FRONTIER_SEED = "o0"
 FRONTIER_MAX_DEPTH = None  # until no unseen node is left, as the reference crawl
+REFERRERS_A_PAGE = 64  # so that the test tables have lists of several pages
+IDNA_RULES = ["cn", "公司.cn", "xn--p1ai"]
 SPLIT_TS = "2024-01-15 00:00:00"
 # --- end of fixed values ---
 
@@ -106,6 +109,19 @@ def registrable_domain(spark, sf):
         .select("host", "sld")
 
 
+def idna_domain(spark, sf):
+    """Hosts made of the titles' words, in both forms, under rules of both forms."""
+    title = F.regexp_extract("html", "<title>([^<]*)", 1)
+    words = tables.pages(spark, sf).select(F.explode(F.regexp_extract_all(F.lower(title), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    words = words.where(F.col("word").rlike(r"[^\x00-\x7f]")).distinct()
+    suffix = F.when(F.substring(F.md5("word"), 1, 1) < "8", F.lit("公司.cn")).otherwise("рф")
+    hosts = words.select("word", F.concat(F.lit("WWW."), "word", F.lit("。"), suffix).alias("host"))
+    both = hosts.withColumn("ascii", idna.host_to_ascii("host")).withColumn("back", idna.host_to_unicode("ascii"))
+    rules = domains.rules_table(spark, IDNA_RULES)
+    both = domains.with_registrable_domain(both, rules, "host", "sld")
+    return domains.with_registrable_domain(both, rules, "ascii", "sld_ascii")
+
+
 def artifact_path(spark, sf):
     p = tables.pages(spark, sf)
     return p.select("url", U.artifact_path(HTML_OUT, "url", "html").alias("html_path"),
@@ -280,6 +296,20 @@ def whois_records(spark, sf):
     return rec.select("sld", "fqdn", "idx", _whois_str(F.col("whois")).alias("whois"), "status")
 
 
+def whois_documents(spark, sf):
+    """Nested answers through the store and back."""
+    rec = jobs.whois_records(_whois_targets(spark, sf), FX.whois_documents(spark, sf), _rules(spark))
+    rows = S.to_store_rows(rec, "whois", "sld", "idx", ["fqdn", "sld", "whois", "status", "exception"])
+    back = S.write_version(spark, S.upsert(None, rows), "whois_store").select("key", "seq", F.parse_json("value").alias("v"))
+    texts = lambda p: F.array_join(enrich.variant_texts(F.col("v"), "$.whois." + p), " ")
+    field = lambda p: F.try_variant_get("v", p, "string")
+    return back.select(
+        F.col("key").alias("sld"), F.col("seq").alias("idx"), field("$.fqdn").alias("fqdn"), texts("domain_name").alias("names"),
+        texts("registrar").alias("registrar"), texts("creation_date").alias("created"), texts("name_servers").alias("servers"),
+        F.element_at(F.from_json(F.to_json(F.try_variant_get("v", "$.whois", "variant")), "map<string,string>"),
+                     field("$.fqdn")).alias("failure"))  # the failure marker stands under the host's own name
+
+
 def whois_latest(spark, sf):
     t = domains.with_registrable_domain(_whois_targets(spark, sf), _rules(spark), "fqdn", "sld")
     return enrich.whois_latest(t).select("sld", "fqdn", "idx")
@@ -310,6 +340,22 @@ def inlinks(spark, sf):
     return graph.inlinks(links.page_edges(_refs_rich(spark, sf)))
 
 
+def referrer_pages(spark, sf):
+    """The numbered pages of each target's referrers."""
+    site = FX.site_pages(spark, sf).select("page_id", "url", "html")  # all of its pages link to page 0
+    pages = graph.referrer_pages(links.page_edges(links.extract_refs(site)), REFERRERS_A_PAGE)
+    return pages.select("dst", "page", "n", F.array_join("srcs", " ").alias("srcs"))
+
+
+def inlink_records(spark, sf):
+    """O46 -> O70: URL records whose ``pre_url`` holds the first page of their referrers."""
+    site = S.write_version(spark, FX.site_pages(spark, sf), "site")
+    edges = links.page_edges(links.extract_refs(site.select("page_id", "url", "html")))
+    rec = jobs.url_records(site.select("page_id", "url", "html"), _rules(spark), HTML_OUT, SCREEN_OUT)
+    got = graph.with_referrers(rec, graph.referrer_pages(edges, REFERRERS_A_PAGE))
+    return got.select("url", "sld", "url_nums", "title", F.array_join("pre_url", " ").alias("pre_url"))
+
+
 def first_referrer(spark, sf):
     """Per link target, the earliest linking page (page order, then URL)."""
     res = links.with_resolved(_refs_rich(spark, sf))
@@ -489,6 +535,7 @@ def _queries() -> dict[str, Query]:
         "key_digest": key_digest,
         "url_host": url_host,
         "registrable_domain": registrable_domain,
+        "idna_domain": idna_domain,
         "artifact_path": artifact_path,
         "redirects": redirects,
         "page_title": page_title,
@@ -515,10 +562,13 @@ def _queries() -> dict[str, Query]:
         "ip_enrich": ip_enrich,
         "ip_ranges": ip_ranges,
         "whois_records": whois_records,
+        "whois_documents": whois_documents,
         "whois_latest": whois_latest,
         "links_to_hosts": links_to_hosts,
         "frontier_capture": frontier_capture,
         "inlinks": inlinks,
+        "referrer_pages": referrer_pages,
+        "inlink_records": inlink_records,
         "first_referrer": first_referrer,
         "crawl_report": crawl_report,
         "write_index": write_index,

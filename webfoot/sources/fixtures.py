@@ -121,6 +121,26 @@ def whois_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whois_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4's answers as JSON documents: names and dates single or as lists, name servers, some cut off."""
+    h = F.md5("fqdn")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    listed = lambda *cs: F.concat(F.lit("["), F.concat_ws(", ", *[quoted(c) for c in cs]), F.lit("]"))
+    low = lambda pos: F.substring(h, pos, 1) < "8"
+    day = F.concat(F.date_format("created", "yyyy-MM-dd"), F.lit(" 00:00:00"))
+    later = F.concat(F.date_format(F.date_add("created", 1), "yyyy-MM-dd"), F.lit(" 12:30:00"))
+    servers = F.when(F.substring(h, 7, 1) < "4", F.lit("null")).otherwise(
+        listed(F.concat(F.lit("ns1."), F.col("fqdn")), F.concat(F.lit("ns2."), F.col("fqdn"))))
+    text = F.concat(
+        F.lit('{"domain_name": '), F.when(low(5), quoted(F.col("fqdn"))).otherwise(listed(F.upper("fqdn"), F.col("fqdn"))),
+        F.lit(', "registrar": '), quoted(F.col("registrar")),
+        F.lit(', "creation_date": '), F.when(low(6), quoted(day)).otherwise(listed(day, later)),
+        F.lit(', "name_servers": '), servers, F.lit("}"))
+    cut_off = F.substring(h, 8, 1) == "0"
+    return whois_answers(spark, sf_dir).select(
+        "fqdn", "outcome", F.when(cut_off, F.substring(text, 1, 40)).otherwise(text).alias("answer"))
+
+
 def ip_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10.0.0.0/8 in 16 /12 blocks, each with one nested /16; block 13 is a gap.
 
