@@ -19,7 +19,8 @@ falls back to one row per *distinct* host joined back on the host.
 
 Hosts and rules meet in Unicode: a label in Punycode (``xn--``) is read first,
 so both forms of a name fall under the same rule.  The result keeps the form
-that the host came in.
+that the host came in.  Where no rule has such a label or one beyond ASCII the
+reading could change nothing and is left out of the plan.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from ..functions import idna
 # --- fixed values ---
 # Hosts that are IPv4 literals have no suffix (domain is the whole address).
 IPV4_PATTERN = r"^(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\.){3}(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)$"
+# A rule that is not plain ASCII text.
+IDN_PATTERN = r"(^|\.)xn--|[^\x00-\x7f]"
 # Upper bound on a suffix-rule table we are willing to broadcast.
 MAX_BROADCAST_RULES = 200_000
 # --- end of fixed values ---
@@ -60,28 +63,33 @@ def normalize_rules(rules_df: DataFrame) -> DataFrame:
         line = F.col("rule")
         kind = F.col("kind")
         return rules_df.select(
-            idna.host_to_unicode(F.regexp_replace(line, r"^(\*\.|!)", "")).alias("rule"),
+            F.lower(idna.ascii_dots(F.regexp_replace(line, r"^(\*\.|!)", ""))).alias("rule"),
             F.when(line.startswith("!"), F.lit("exception"))
              .when(line.startswith("*."), F.lit("wildcard"))
              .otherwise(kind).alias("kind"))
     return rules_df.select(F.col("rule").alias("line")).select(
-        idna.host_to_unicode(F.regexp_replace(F.col("line"), r"^(\*\.|!)", "")).alias("rule"),
+        F.lower(idna.ascii_dots(F.regexp_replace(F.col("line"), r"^(\*\.|!)", ""))).alias("rule"),
         F.when(F.col("line").startswith("!"), F.lit("exception"))
          .when(F.col("line").startswith("*."), F.lit("wildcard"))
          .otherwise(F.lit("normal")).alias("kind"))
 
 
-def _domains_by_candidate_join(hosts: DataFrame, rules_df: DataFrame, host_col: str) -> DataFrame:
+def _in_unicode(rules: DataFrame) -> DataFrame:
+    return rules.withColumn("rule", idna.host_to_unicode("rule"))
+
+
+def _domains_by_candidate_join(hosts: DataFrame, rules_df: DataFrame, host_col: str, idn: bool = True) -> DataFrame:
     """Fallback for rule tables too large to broadcast: ``(host, sld)`` per distinct host.
 
     One row per candidate suffix joined to the rules (a shuffle join), then the
     prevailing match per host (an aggregate over at most one row per label).
     """
     rules = normalize_rules(rules_df)
+    rules = _in_unicode(rules) if idn else rules
 
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull()).distinct()
     h = h.withColumn("__bare", bare_host("host")).withColumn("__labels", F.split("__bare", r"\."))
-    h = h.withColumn("__keys", idna.unicode_labels(F.col("__labels"), F.col("__bare")))
+    h = h.withColumn("__keys", idna.unicode_labels(F.col("__labels"), F.col("__bare")) if idn else F.col("__labels"))
     n = F.size("__labels")
     cands = h.select(
         "host", "__bare", "__labels", "__keys",
@@ -117,10 +125,9 @@ def registrable_domains(hosts: DataFrame, rules_df: DataFrame, host_col: str = "
     return with_registrable_domain(h, rules_df, "host", "sld").select("host", "sld")
 
 
-def _rule_kinds(rules_df: DataFrame) -> DataFrame:
+def _rule_kinds(rules: DataFrame) -> DataFrame:
     """One row per rule text with flags for the kinds it has."""
-    r = normalize_rules(rules_df)
-    return r.groupBy("rule").agg(
+    return rules.groupBy("rule").agg(
         F.max(F.col("kind") == "normal").alias("is_normal"),
         F.max(F.col("kind") == "wildcard").alias("is_wildcard"),
         F.max(F.col("kind") == "exception").alias("is_exception"))
@@ -134,23 +141,28 @@ def with_registrable_domain(df: DataFrame, rules_df: DataFrame, host_col: str,
     a per-distinct-host table joined back when the rules are too many to
     broadcast.
     """
-    kinds = _rule_kinds(rules_df)
-    # One small job: the rule count (the broadcast bound) and the most labels.
-    stats = kinds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("rule", r"\."))).alias("k")).first()
+    rules = normalize_rules(rules_df)
+    # One small job: the rule lines (the broadcast bound), the most labels, any label in Punycode or beyond ASCII.
+    stats = rules.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("rule", r"\."))).alias("k"),
+                      F.max(F.col("rule").rlike(IDN_PATTERN)).alias("idn")).first()
+    kinds = _rule_kinds(_in_unicode(rules) if stats["idn"] else rules)
     if stats["n"] > MAX_BROADCAST_RULES:  # not broadcastable: per distinct host, then join back
-        doms = _domains_by_candidate_join(df, rules_df, host_col).select(
+        doms = _domains_by_candidate_join(df, rules_df, host_col, stats["idn"]).select(
             F.col("host").alias("__wf_host"), F.col("sld").alias(out))
         return df.join(doms, df[host_col] == doms["__wf_host"], "left").drop("__wf_host")
     small = F.broadcast(kinds)
     k_max = stats["k"] or 1
 
     d = df.withColumn("__wf_bare", bare_host(F.col(host_col))) \
-          .withColumn("__wf_labels", F.split("__wf_bare", r"\.")) \
-          .withColumn("__wf_keys", idna.unicode_labels(F.col("__wf_labels"), F.col("__wf_bare")))
+          .withColumn("__wf_labels", F.split("__wf_bare", r"\."))
+    keys = "__wf_labels"
+    if stats["idn"]:
+        keys = "__wf_keys"
+        d = d.withColumn(keys, idna.unicode_labels(F.col("__wf_labels"), F.col("__wf_bare")))
     n = F.size("__wf_labels")
     exc, best = [], []
     for k in range(1, k_max + 1):
-        cand = F.when(n >= k, F.array_join(F.slice("__wf_keys", -k, k), "."))
+        cand = F.when(n >= k, F.array_join(F.slice(keys, -k, k), "."))
         look = small.select(F.col("rule").alias(f"__wf_r{k}"), F.col("is_normal").alias(f"__wf_n{k}"),
                             F.col("is_wildcard").alias(f"__wf_w{k}"),
                             F.col("is_exception").alias(f"__wf_x{k}"))
