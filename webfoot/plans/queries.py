@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions import idna
+from ..functions import idna, markup
 from ..functions import urls as U
 from ..operators import attempts as A
 from ..operators import domains, enrich, graph, links, rangejoin, seen
@@ -144,6 +144,17 @@ def _links_of(kind):
     return q
 
 
+def markup_links(spark, sf):
+    """O17-O20 on whole tags: every link tag's reference in document order."""
+    refs = FX.pages_odd(spark, sf).select("page_id", markup.tag_refs("html").alias("refs"))
+    rows = links.explode_rows(refs, ["page_id"], F.col("refs"), ("ref",), with_pos=True)
+    return rows.select("page_id", "pos", F.col("ref.kind").alias("kind"), F.col("ref.raw").alias("raw"))
+
+
+def markup_titles(spark, sf):
+    return FX.pages_odd(spark, sf).select("page_id", markup.title("html").alias("title"))
+
+
 def distinct_refs(spark, sf):
     return links.ref_rows(_refs_rich(spark, sf)).select("page_id", "kind", "raw")
 
@@ -539,6 +550,8 @@ def _queries() -> dict[str, Query]:
         "artifact_path": artifact_path,
         "redirects": redirects,
         "page_title": page_title,
+        "markup_links": markup_links,
+        "markup_titles": markup_titles,
         "distinct_refs": distinct_refs,
         "resolved_links": resolved_links,
         "defrag": defrag,

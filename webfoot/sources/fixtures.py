@@ -30,6 +30,17 @@ RICH_SNIPPETS_5 = [
     '<a href="HTTP://X.com/A">x</a><script src="/js/app.js" defer></script>',
     '<a href="#top">t</a><img src="data:image/gif;base64,R0lGOD">',
 ]
+# Markup with quotes, raw text and references, by page_id % 6 (F12): before and after the page.
+ODD_BEFORE = [
+    "", "<!-- <title>no</title> --><script>var t='<title>no</title>';</script>", "<p title='<title>no</title>'>",
+    '<title lang=x data-x=">"> Odd\n&copy 2024 &lt;b> </title>', "<textarea><title>no</title></textarea>", "<titles>no</titles>",
+]
+ODD_AFTER = [
+    '<a title="1 > 0" href="/quoted">q</a>', "<div data-x='<a href=\"/no\">'><a href='/after'>a</a></div>",
+    "<textarea><a href=/no>n</a></textarea ><img alt='>' src=/i.png>", '<a href="?a=1&copy=2&amp;b=3&lt">r</a><a href>e</a>',
+    '<script data-x=">" src="/s.js">document.write("<a href=/no>");</script><link title=">" href=/l>',
+    '<a href="/first" href="/no">f</a><style><img src=/no></style><a href="/never',
+]
 # Outcomes of a try by the first digit of md5(url, number of the try) in F10; digits not named succeed.
 FETCH_ERRORS = {"a": "TimeoutError", "b": "NetworkError", "c": "PageError", "d": "TimeoutError", "e": "NetworkError", "f": "PageError"}
 FETCH_TRIES = 5
@@ -66,6 +77,12 @@ def pages_rich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", "url", F.concat(F.col("html"), s7, s5).alias("html"))
 
 
+def pages_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages inside markup that only a reader of whole tags gets right."""
+    pick = lambda texts: F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("page_id") % 6 + 1).cast("int"))
+    return tables.pages(spark, sf_dir).select("page_id", "url", F.concat(pick(ODD_BEFORE), "html", pick(ODD_AFTER)).alias("html"))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order <-> part graph from lineitem, both directions, distinct."""
     li = tables.lineitem(spark, sf_dir).select(
