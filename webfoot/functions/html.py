@@ -1,4 +1,4 @@
-"""HTML column expressions.
+"""HTML column expressions by plain patterns (O16-O20, O30a, O30b); the library reads whole tags with ``markup``.
 
 The page is scanned by regular expressions, not parsed into a DOM (a DOM or
 ``xpath()`` fails on broken markup).  To keep the cost of the largest column

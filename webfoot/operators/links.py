@@ -1,7 +1,7 @@
 """Per-page link work (O17-O24, O30a-c, O45).
 
 Everything here is a narrow transformation of one page row: the HTML is
-cleaned and scanned once, references are de-duplicated inside the row
+read once, tag by tag (``functions/markup.py``), references are de-duplicated inside the row
 (``array_distinct``), resolved and bundled, so none of it shuffles.  The
 ``html`` column is dropped as soon as the links and the title are taken.
 """
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import markup
 from ..functions import urls as U
 
 
@@ -21,18 +22,10 @@ def extract_refs(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -
     Distinctness is per page and kind, on the *raw* reference (D3); order is
     first appearance.  A page with no HTML gets an empty list (O30a).
     """
-    cleaned = H.clean_html("html")
-    staged = pages.select(*keep, cleaned.alias("__wf_clean"))
-    return staged.select(
-        *keep,
-        H.page_title("__wf_clean").alias("title"),
-        F.coalesce(
-            F.array_distinct(F.transform(
-                H.link_matches("__wf_clean"),
-                lambda m: F.struct(H.match_kind(m).alias("kind"), H.match_value(m).alias("raw")))),
-            F.array().cast("array<struct<kind:string,raw:string>>"),
-        ).alias("refs"),
-    )
+    refs = F.array_distinct(markup.tag_refs("html"))
+    return pages.select(
+        *keep, markup.title("html").alias("title"),
+        F.coalesce(refs, F.array().cast("array<struct<kind:string,raw:string>>")).alias("refs"))
 
 
 def with_resolved(refs_df: DataFrame, base: str = "url") -> DataFrame:
