@@ -66,12 +66,15 @@ def referrer_pages(edges: DataFrame, page_size: int = PAGE_REFERRERS) -> DataFra
     cut by the leading digits of the digest, so the places come from counts per
     ``(dst, cut)`` and a row number inside the cut: a target that has a third
     of all links is spread over as many tasks as there are cuts, and
-    no list is longer than a page.  The edges are moved once to their cuts
-    (distinct, count and numbering share that partitioning) and once to their
-    pages.  Rows with a null ``dst`` or ``src`` are no links.
+    no list is longer than a page.  The edges are written once, since both the
+    counts and the numbering read them and would else extract them twice;
+    they are moved once to their cuts (distinct, count and numbering share
+    that partitioning) and once to their pages.  Rows with a null ``dst`` or
+    ``src`` are no links.
     """
     digest = F.md5("src")
-    cut = edges.where("dst is not null and src is not null").select(
+    edges = cut_lineage(edges.where("dst is not null and src is not null").select("dst", "src"))
+    cut = edges.select(
         "dst", "src", F.substring(digest, 1, CUT_DIGITS).alias("__wf_cut")).repartition("dst", "__wf_cut") \
         .dropDuplicates(["dst", "__wf_cut", "src"])
     counts = cut.groupBy("dst", "__wf_cut").agg(F.count(F.lit(1)).alias("__wf_n"))
