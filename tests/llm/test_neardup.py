@@ -142,3 +142,48 @@ def test_both_filters_agree(spark):
     df = spark.createDataFrame([(float(f),) for f in (2, 80, 799, 800, 801, 1500, 2048)], "f double")
     for r in df.select("f", neardup.most_differing_bits(F.col("f"), 0.76, F.exp).alias("z")).collect():
         assert abs(r.z - neardup.most_differing_bits(r.f, 0.76, np.exp)) < 1e-9
+
+
+def _bucket_rows(blocks):
+    """Members of three buckets that overlap, as ``open_links`` deals them, and the pairs to find."""
+    shingle, rng = neardup.Shingler(4), random.Random(11)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(150)]
+    texts = [" ".join(base[:150 - 2 * i]) for i in range(4)] + [
+        " ".join(f"u{i}x{rng.randrange(10_000)}" for _ in range(150)) for i in range(4)]
+    keys = {r: sorted({5} | ({7} if r != 6 else set()) | ({9} if r % 2 else set())) for r in range(len(texts))}
+    rows, sets = [], [shingle(t.encode()) for t in texts]
+    for r, s in enumerate(sets):
+        sketch, filled = neardup.odd_sketch(s)
+        for key in keys[r]:
+            block = r % blocks
+            for other in range(blocks):
+                rows.append(dict(key=key, i=min(block, other), j=max(block, other), block=block, rep=r,
+                                 root=2 if r == 3 else r, n=len(s), filled=filled, keys=keys[r], sketch=sketch.tolist()))
+    rows.sort(key=lambda r: (r["key"], r["i"], r["j"], r["block"]))
+    want = sorted((a, b) for a, b in combinations(range(len(texts)), 2)
+                  if (a, b) != (2, 3) and neardup.similar(sets[a], sets[b], 80))
+    return rows, want
+
+
+def test_a_pair_in_several_buckets_is_compared_once():
+    """Across batches that cut the groups anywhere; before, each bucket had the pair and its full sets again."""
+    import pyarrow as pa
+    for blocks in (1, 3):
+        rows, want = _bucket_rows(blocks)
+        whole = pa.Table.from_pylist(rows)
+        for size in (1, 5, 1000):
+            got = []
+            for table in neardup.whole_groups(iter(whole.to_batches(max_chunksize=size))):
+                rep = table["rep"].to_pylist()
+                got += [tuple(sorted((rep[x], rep[y]))) for pairs in neardup.promising_pairs(table, 80) for x, y in pairs]
+            assert sorted(got) == want and len(want) >= 5
+
+
+def test_buckets_are_not_taken_one_by_one(spark):
+    """A call of Python for every small bucket took most of the time."""
+    docs = spark.createDataFrame([(0, "a"), (1, "b")], "doc_id long, text string")
+    reps = neardup.signatures(docs, "doc_id", "text", 4).withColumnRenamed("doc_id", "rep")
+    keys = spark.createDataFrame([(7, 0), (7, 1)], "key long, rep long")
+    roots = spark.createDataFrame([(1, 1)], "node long, root long")
+    plan = neardup.open_links(keys, reps, roots, docs, "doc_id", "text", 4, 80)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,6 +82,30 @@ def text_slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa
             yield batch.slice(lo, hi - lo), raw.slice(lo, hi - lo).to_pylist()
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, whose memory goes back when its task ends.
+
+    Workers are used again by later stages and stand beside the executor's
+    heap: what one stage leaves there would add to the needs of the next.
+    """
+    @wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return whole
+
+
 def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField],
                    make: Callable[[], Callable[[list], list[list]]],
                    keep: list[str] | None = None) -> DataFrame:
@@ -106,7 +133,7 @@ def append_columns(df: DataFrame, text_col: str, fields: list[T.StructField],
             cols += [pa.array(v, type=arrow.field(width + i).type) for i, v in enumerate(made)]
             yield pa.RecordBatch.from_arrays(cols, names=arrow.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
@@ -124,4 +151,4 @@ def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list]
         for part, texts in text_slices(batches, at if as_text else width):
             yield part.filter(pa.array(fn(texts), pa.bool_())).select(range(width))
 
-    return source.mapInArrow(run, df.schema)
+    return source.mapInArrow(lean(run), df.schema)

@@ -44,13 +44,12 @@ other columns are not read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webfoot.llm.common import col, discard, materialize, text_slices
+from webfoot.llm.common import col, discard, lean, materialize, text_slices
 
 PERCENT = 80
 BANDS, ROWS = 32, 4
@@ -61,6 +60,7 @@ SLACK_BITS = 3  # for sets of a few dozen, where one lost sample weighs more tha
 GLANCE_WORDS = 8  # 64-bit words of a sketch that are compared first
 BLOCK = 2048  # members of a bucket compared at once
 BLOCK_SHINGLES = 500_000  # and shingles of theirs: 4 MB of sets
+PAIRS_AT_ONCE = 1 << 13  # with 512 bytes of sketch on either side: 8 MB if none is dropped before
 MEMO = 300_000
 BROADCAST_IDS = 500_000  # ids of 8 bytes: 4 MB
 
@@ -166,7 +166,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
                 names=["doc_id", "n", "f1", "f2", "bands", "sketch", "filled"])
 
     return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>, filled long")
+        lean(run), "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>, filled long")
 
 
 def _differing(a: Column, b: Column) -> Column:
@@ -225,7 +225,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: in
                 [pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())],
                 names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(lean(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -264,27 +264,82 @@ def crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _with_root(_with_root(pairs, roots, "a", "_ra"), roots, "b", "_rb").where("_ra <> _rb").drop("_ra", "_rb")
 
 
-def _promising_partners(left, right, same: bool, percent: int):
-    """For each row of ``left`` the positions in ``right`` that may be linked to it, nearest first."""
-    bits = np.stack(right["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+def whole_groups(batches):
+    """Tables of the sorted record batches, cut only where a group ``(key, i, j)`` ends."""
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held else table
+            last = int(_group_starts(table)[-1])
+            if last:
+                yield table.slice(0, last)
+            held = table.slice(last)
+    if held:
+        yield held
+
+
+def _group_starts(table: pa.Table) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for name in ("key", "i", "j"):
+        ids = table[name].to_numpy()
+        new[1:] |= ids[1:] != ids[:-1]
+    return np.flatnonzero(new)
+
+
+def _partner_ranges(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each row where the rows begin and end that it is compared with: later ones of its block, or the other block's."""
+    i, j, block = (table[c].to_numpy() for c in ("i", "j", "block"))
+    starts, here = _group_starts(table), np.arange(table.num_rows)
+    sizes = np.diff(starts, append=table.num_rows)
+    end = np.repeat(starts + sizes, sizes)
+    other = np.repeat(starts + np.add.reduceat((block == i).astype(np.int64), starts), sizes)
+    return np.where(i == j, here + 1, np.where(block == i, other, end)), end
+
+
+def promising_pairs(table: pa.Table, percent: int):
+    """Positions ``(left, right)`` of rows of one group that may be linked, nearest first, some at a time.
+
+    ``table`` has whole groups, sorted by key, i, j and block.  Two rows that
+    share several keys are a pair under the smallest of them only.
+    """
+    key, rep, root, n, filled = (table[c].to_numpy() for c in ("key", "rep", "root", "n", "filled"))
+    bits = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
     glance = np.ascontiguousarray(bits[:, :GLANCE_WORDS])
     share = GLANCE_WORDS * 64 / BITS
-    rep, root, n, filled = (right[c].to_numpy() for c in ("rep", "root", "n", "filled"))
-    low, high = percent / 100, 100 / percent
-    for r, o, m, sketch, f in zip(*(left[c] for c in ("rep", "root", "n", "sketch", "filled"))):
-        own = np.asarray(sketch, np.int64).view(np.uint64)
-        at = np.flatnonzero((root != o) & (n >= m * low) & (n <= m * high) & (rep > r if same else rep != r))
-        if len(at):
-            most = most_differing_bits(filled[at] + f, percent / 100 - MARGIN, np.exp)
-            # A part of the bitmap first: its count lies within five deviations of its share of the whole.
-            first = np.bitwise_count(glance[at] ^ own[:GLANCE_WORDS]).sum(axis=1)
-            near = first <= most * share + 5 * np.sqrt(most * share) + 1
-            at, most = at[near], most[near]
-        if len(at):
-            differing = np.bitwise_count(bits[at] ^ own).sum(axis=1)
-            good = differing <= most
-            at = at[good][np.argsort(differing[good], kind="stable")]
-        yield at
+    begin, end = _partner_ranges(table)
+    counts = end - begin
+    before = np.append(0, np.cumsum(counts))
+    shared: dict[int, frozenset] = {}
+
+    def smallest(a: int, b: int) -> int:
+        for x in (a, b):
+            if x not in shared:
+                shared[x] = frozenset(table["keys"][x].as_py())
+        return min(shared[a] & shared[b])
+
+    lo = 0
+    while lo < len(counts):
+        hi = max(lo + 1, int(np.searchsorted(before, before[lo] + PAIRS_AT_ONCE, "right")) - 1)
+        some = counts[lo:hi]
+        left = np.repeat(np.arange(lo, hi), some)
+        right = np.arange(len(left)) + np.repeat(begin[lo:hi] - (before[lo:hi] - before[lo]), some)
+        lo = hi
+        fit = (root[left] != root[right]) & (
+            np.minimum(n[left], n[right]) * 100 >= np.maximum(n[left], n[right]) * percent)
+        left, right = left[fit], right[fit]
+        most = most_differing_bits(filled[left] + filled[right], percent / 100 - MARGIN, np.exp)
+        # A part of the bitmap first: its count lies within five deviations of its share of the whole.
+        first = np.bitwise_count(glance[left] ^ glance[right]).sum(axis=1)
+        near = first <= most * share + 5 * np.sqrt(most * share) + 1
+        left, right, most = left[near], right[near], most[near]
+        differing = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1)
+        good = np.flatnonzero(differing <= most)
+        good = good[np.argsort(differing[good], kind="stable")]
+        pairs = [(a, b) for a, b in zip(left[good].tolist(), right[good].tolist()) if smallest(a, b) == key[a]]
+        if pairs:
+            yield pairs
 
 
 def open_links(keys: DataFrame, reps: DataFrame, roots: DataFrame, docs: DataFrame, id_col: str, text_col: str,
@@ -292,61 +347,58 @@ def open_links(keys: DataFrame, reps: DataFrame, roots: DataFrame, docs: DataFra
     """Links between different components whose members share a bucket.
 
     A bucket with many members or shingles is compared block by block, each
-    pair of blocks in a group of its own.
+    pair of blocks in a group of its own.  Most buckets are small, so a task
+    takes the groups of its partition one batch after the other, not one by one.
     """
     members = _with_root(keys, roots, "rep", "root").join(reps.select("rep", "n"), "rep")
     mixed = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                         F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("lo <> hi")
              .select("key", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
-    sketches = reps.select("rep", "sketch", "filled")
-    rows = (members.join(mixed, "key").join(sketches, "rep")
+    opened = materialize(members.join(mixed, "key"), "open-buckets")
+    own = opened.groupBy("rep").agg(F.collect_set("key").alias("keys"))  # BANDS at most
+    group = ["key", "i", "j", "block"]
+    rows = (opened.join(reps.join(own, "rep").select("rep", "sketch", "filled", "keys"), "rep")
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-            .select("key", "i", "j", "block", "rep", "root", "n", "sketch", "filled"))
-
-    def sides(frame):
-        i, j = frame["i"].iat[0], frame["j"].iat[0]
-        left = frame[frame["block"] == i]
-        return (left, left, True) if i == j else (left, frame[frame["block"] == j], False)
-
-    def flag(frame):
-        left, right, same = sides(frame)
-        seen = np.zeros(len(left), bool), np.zeros(len(right), bool)
-        if len(left) and len(right):
-            for at, partners in enumerate(_promising_partners(left, right, same, percent)):
-                seen[0][at] |= len(partners) > 0
-                seen[1][partners] = True
-        out = left[seen[0] | seen[1]] if same else pd.concat([left[seen[0]], right[seen[1]]])
-        return out[["key", "i", "j", "block", "rep", "root"]]
-
-    flagged = materialize(rows.groupBy("key", "i", "j").applyInPandas(
-        flag, "key long, i int, j int, block int, rep long, root long"), "flagged")
+            .select(*group, "rep", "root", "n", "filled", "keys", "sketch"))
+
+    def flag(batches):
+        for table in whole_groups(batches):
+            seen = np.zeros(table.num_rows, bool)
+            for pairs in promising_pairs(table, percent):
+                seen[np.array(pairs).ravel()] = True
+            yield from table.filter(pa.array(seen)).to_batches()
+
+    def sorted_groups(df):
+        return df.repartition("key", "i", "j").sortWithinPartitions(*group)
+
+    flagged = materialize(sorted_groups(rows).mapInArrow(lean(flag), rows.schema), "flagged")
     sets = shingle_sets(flagged.select(F.col("rep").alias("id")).distinct(), docs, id_col, text_col, k)
-    full = flagged.join(reps.select("rep", "n", "sketch", "filled"), "rep").join(sets, "rep")
 
-    def link(frame):
-        left, right, same = sides(frame)
-        out, merged = [], {}
+    def link(batches):
+        merged: dict[int, int] = {}
 
         def find(x):
             while x in merged:
                 x = merged[x]
             return x
 
-        if len(left) and len(right):
-            ours, theirs = ([np.frombuffer(b, np.uint64) for b in side["shingles"]] for side in (left, right))
-            names = right["rep"].to_numpy(), right["root"].to_numpy()
-            for (r, o, x), partners in zip(zip(left["rep"], left["root"], ours),
-                                           _promising_partners(left, right, same, percent)):
-                for p in partners:
-                    a, b = find(o), find(names[1][p])
-                    if a != b and similar(x, theirs[p], percent):
+        for table in whole_groups(batches):
+            rep, root = table["rep"].to_pylist(), table["root"].to_pylist()
+            out = []
+            for pairs in promising_pairs(table, percent):
+                for x, y in pairs:
+                    a, b = find(root[x]), find(root[y])
+                    if a != b and similar(*(np.frombuffer(table["shingles"][p].as_buffer(), np.uint64) for p in (x, y)),
+                                          percent):
                         merged[max(a, b)] = min(a, b)
-                        out.append((min(r, names[0][p]), max(r, names[0][p])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                        out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+            yield pa.RecordBatch.from_arrays([pa.array([p[at] for p in out], pa.int64()) for at in (0, 1)],
+                                             names=["a", "b"])
 
-    return full.groupBy("key", "i", "j").applyInPandas(link, "a long, b long").distinct()
+    return sorted_groups(flagged.join(sets, "rep").select(*rows.columns, "shingles")).mapInArrow(
+        lean(link), "a long, b long").distinct()
 
 
 def shingle_sets(needed: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -357,7 +409,7 @@ def shingle_sets(needed: DataFrame, docs: DataFrame, id_col: str, text_col: str,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([shingle(t).tobytes() for t in texts], pa.binary())], names=["rep", "shingles"])
 
-    return _texts(needed, docs, id_col, text_col).mapInArrow(run, "rep long, shingles binary")
+    return _texts(needed, docs, id_col, text_col).mapInArrow(lean(run), "rep long, shingles binary")
 
 
 def _extended(links: DataFrame, roots: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
