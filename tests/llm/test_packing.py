@@ -74,3 +74,19 @@ def test_order_is_kept(spark, tmp_path):
     got = packing.pack(spark.read.parquet(str(tmp_path / "d"))).where("length = 512").orderBy("sequence_id", "offset").collect()
     ids = [r.doc_id for r in got]
     assert ids == sorted(ids) and len(ids) == 60
+
+
+def test_workers_keep_no_encoder(spark):
+    """Workers serve later stages too: an encoder left in them adds to what those need."""
+    import gc
+
+    import pyarrow as pa
+
+    packing.pack(spark.createDataFrame([(i, "some words") for i in range(64)], "doc_id long, text string").repartition(16)).count()
+
+    def left(batches):
+        for batch in batches:
+            n = sum(type(x).__name__ == "Encoder" and type(x).__module__ == "webfoot.llm.packing" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], names=["n"])
+
+    assert spark.range(0, 64, 1, 64).mapInArrow(left, "n long").agg({"n": "max"}).first()[0] == 0

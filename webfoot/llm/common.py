@@ -18,7 +18,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: Texts handed to the per-batch helpers at once hold about this many bytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa
         sizes = [n or 0 for n in pa.compute.binary_length(raw).to_pylist()]
         for lo, hi in _slices(sizes):
             yield batch.slice(lo, hi - lo), raw.slice(lo, hi - lo).to_pylist()
+        del batch, raw  # not held while the next one arrives
 
 
 def give_back() -> None:

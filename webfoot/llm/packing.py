@@ -35,7 +35,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections import defaultdict
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webfoot.llm.bytebpe import merges_of, parts, runs
-from webfoot.llm.common import col, materialize, text_slices
+from webfoot.llm.common import col, lean, materialize, text_slices
 
 CAPACITY = 2048
 SMALLEST_UNIT = 64
@@ -78,12 +77,6 @@ class Encoder:
         return b"".join(out)
 
 
-@lru_cache(1)
-def encoder(vocabulary: str) -> Encoder:
-    """One for a worker process, whatever its tasks."""
-    return Encoder(vocabulary)
-
-
 def cut_lengths(n: int, capacity: int = CAPACITY, unit: int = SMALLEST_UNIT) -> list[int]:
     """Lengths of the pieces of a document of ``n`` tokens, in order."""
     full, rest = divmod(n, capacity)
@@ -107,7 +100,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacit
     def run(batches):
         from pyspark import TaskContext
         task = f"#{TaskContext.get().partitionId():08d}"
-        encode, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encode, end = Encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         split, numbers = None, None
         for batch, texts in text_slices(batches, 2):
             out = [[] for _ in names]
@@ -129,7 +122,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacit
 
     schema = ("split string, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, number long"
               + ", ids binary" * with_ids)
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webfoot.llm.common import append_columns, col, discard, filter_rows, materialize, text_slices
+from webfoot.llm.common import append_columns, col, discard, filter_rows, lean, materialize, text_slices
 
 SAMPLE_PER_CLASS = 6000
 MAX_LEXICON = 2000
@@ -59,7 +59,7 @@ PRIOR_HITS, WORDS_PER_HIT = 2.0, 50.0
 LONGEST_WORD = 40
 WINDOW_CHARS = 64
 DEFAULT_CURVE = (-4.0, 10.0)
-MEMO = 200_000
+MEMO = 50_000
 
 #: Words of reporting and of address, in the languages of the texts.
 REPORTING = frozenset(
@@ -147,7 +147,7 @@ class Automaton:
                     if self.word[n] is not None and e <= self.entries[self.word[n]].budget]
             stems = [self.stem[n] for n, e in nodes.items() if e == 0 and self.stem[n] is not None]
             self.numbers[key] = len(self.sets)
-            self.sets.append(nodes)
+            self.sets.append(key)
             self.steps.append({})
             self.ends.append(min(ends, default=None))
             self.stems.append(min(stems, default=None))
@@ -155,7 +155,7 @@ class Automaton:
 
     def _step(self, state: int, ch: str) -> int:
         out: dict[int, int] = {}
-        for node, errors in self.sets[state].items():
+        for node, errors in self.sets[state]:
             moves = [(c, errors + (k != ch)) for k, c in self.children[node].items()] + [(node, errors + 1)]
             for to, e in moves:
                 if e <= self.most[to] and e < out.get(to, 99):
@@ -285,7 +285,7 @@ def word_table(sample: DataFrame) -> DataFrame:
                                                   for c in (sums[1], sums[0], docs)],
                 names=["word", "toxic", "clean", "docs"])
 
-    return (sample.select("text", "_wf_toxic").mapInArrow(count, "word string, toxic long, clean long, docs long")
+    return (sample.select("text", "_wf_toxic").mapInArrow(lean(count), "word string, toxic long, clean long, docs long")
             .groupBy("word").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "docs")]))
 
 
@@ -334,7 +334,7 @@ def clean_neighbours(table: DataFrame, entries: list[Entry]) -> list[str]:
     totals = table.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     rare = (F.col("toxic") <= F.col("clean")) | (
         F.col("toxic") / F.lit(max(totals["toxic"] or 0, 1)) <= 2 * F.col("clean") / F.lit(max(totals["clean"] or 0, 1)))
-    found = table.where((F.col("clean") > 0) & rare).select("word").mapInArrow(near, "word string").collect()
+    found = table.where((F.col("clean") > 0) & rare).select("word").mapInArrow(lean(near), "word string").collect()
     return sorted(r["word"] for r in found)  # words of the bounded sample
 
 
